@@ -11,7 +11,7 @@ from lakeplan.sources.writers import append_rows
 
 
 def wape(actual: str, forecast: str):
-    return ratio(F.sum(F.abs(F.col(actual) - F.col(forecast))), F.sum(actual))
+    return ratio(F.round(F.sum(F.abs(F.col(actual) - F.col(forecast))), 6), F.sum(actual))
 
 
 def series_accuracy(bt: DataFrame, products: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def series_accuracy(bt: DataFrame, products: DataFrame) -> DataFrame:
         F.round(wape("actual", "forecast_units"), 4).alias("wape_model"),
         F.round(wape("actual", "direct_units"), 4).alias("wape_direct"),
         F.round(wape("actual", "seasonal_naive_units"), 4).alias("wape_seasonal_naive"),
-        F.round(ratio(F.sum(F.col("forecast_units") - F.col("actual")), F.sum("actual")), 4).alias("bias_model"),
+        F.round(ratio(F.round(F.sum(F.col("forecast_units") - F.col("actual")), 6), F.sum("actual")), 4).alias("bias_model"),
         F.round(F.avg(F.coalesce(inside, F.lit(False)).cast("int")), 3).alias("interval_coverage"),
     )
     return lookup(per_series, products.select("sku_id", "category", "base_product"), "sku_id")
@@ -36,7 +36,7 @@ def run_summary(accuracy: DataFrame, bt: DataFrame) -> DataFrame:
     live = accuracy.where("actual_units > 0").join(sums, ["sku_id", "zone"])
     return live.agg(
         F.avg((F.col("wape_model") < F.col("wape_seasonal_naive")).cast("int")).alias("share_beating_naive"),
-        ratio(F.sum(F.col("fc") - F.col("act")), F.sum("act")).alias("bias"),
+        ratio(F.round(F.sum(F.col("fc") - F.col("act")), 6), F.sum("act")).alias("bias"),
         F.count(F.lit(1)).alias("series"))
 
 

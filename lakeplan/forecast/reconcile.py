@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeplan.operators.joins import broadcast_if_small, trailing_join
+from lakeplan.operators.joins import trailing_join
 from lakeplan.operators.windows import share_of
 
 NAIVE = "seasonal_naive"
@@ -41,8 +41,8 @@ def top_down(child: DataFrame, parent: DataFrame, share: DataFrame, parent_key:
     up = parent.select(parent_key, "zone", "cutoff", "week_start", F.col("yhat").alias("_up"))
     part = share.select("sku_id", "zone", "cutoff", F.col("share").alias("_share"))
     return (
-        child.join(broadcast_if_small(part), ["sku_id", "zone", "cutoff"], "left")
-        .join(broadcast_if_small(up), [parent_key, "zone", "cutoff", "week_start"], "left")
+        child.join(part, ["sku_id", "zone", "cutoff"], "left")
+        .join(up, [parent_key, "zone", "cutoff", "week_start"], "left")
         .withColumn("topdown", F.coalesce(F.col("_up") * F.col("_share"), F.col("direct")))
         .drop("_up", "_share")
     )
@@ -57,7 +57,7 @@ def wape_by_candidate(bt: DataFrame, level: str) -> DataFrame:
     names = list(candidates())
     total = F.nullif(F.sum("actual"), F.lit(0.0))
     wide = bt.agg(*[
-        (F.sum(F.abs(F.col("actual") - F.col(column_of(n)))) / total).alias(column_of(n)) for n in names])
+        (F.round(F.sum(F.abs(F.col("actual") - F.col(column_of(n)))), 6) / total).alias(column_of(n)) for n in names])
     entry = F.array(*[F.struct(F.lit(n).alias("candidate"), F.col(column_of(n)).alias("wape")) for n in names])
     return wide.select(F.lit(level).alias("level"), F.inline(entry))
 

@@ -28,12 +28,17 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
 
 
+def mean(c: str | Column, digits: int = 6) -> Column:
+    """Average from a sum rounded to ``digits``: the order of additions leaves no trace."""
+    return F.round(F.sum(col(c)), digits) / F.nullif(F.count(col(c)), F.lit(0))
+
+
 def sum_if(cond: Column, value: str | Column) -> Column:
     return F.sum(F.when(cond, col(value)))
 
 
-def avg_if(cond: Column, value: str | Column) -> Column:
-    return F.avg(F.when(cond, col(value)))
+def avg_if(cond: Column, value: str | Column, digits: int = 2) -> Column:
+    return mean(F.when(cond, col(value)), digits)
 
 
 def count_if(cond: Column) -> Column:

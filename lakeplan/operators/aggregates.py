@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeplan.functions.columns import month_start, ratio, week_start
+from lakeplan.functions.columns import mean, month_start, ratio, week_start
 from lakeplan.operators.joins import lookup
 
 DELIVERED = "order_status = 'Delivered'"
@@ -104,5 +104,5 @@ def layer_counts(layers: list[tuple[str, DataFrame]]) -> DataFrame:
 def supplier_score(pos: DataFrame, keys: list[str]) -> DataFrame:
     return pos.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("pos"), total("po_value"),
-        F.round(F.avg("fill_rate"), 6).alias("avg_fill_rate"),
+        F.round(mean("fill_rate", 3), 6).alias("avg_fill_rate"),
         F.round(F.avg("delay_days"), 6).alias("avg_delay_days"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeplan.functions.columns import money, ratio, week_start
+from lakeplan.functions.columns import mean, money, ratio, week_start
 from lakeplan.operators.facts import dec
 from lakeplan.operators.joins import lookup, monthly_lookup
 from lakeplan.operators.windows import rolling_mean, running_sum
@@ -29,8 +29,8 @@ def ledger(movements: DataFrame, opening: int = 0) -> DataFrame:
 
 def inventory_daily(snapshots: DataFrame, costs: DataFrame, cover_rows: int = 28) -> DataFrame:
     """Daily position with unfulfilled demand, stockout flags, cover and value."""
-    mean = F.nullif(rolling_mean("demand_units", ITEM, "snapshot_date", cover_rows), F.lit(0.0))
-    covered = snapshots.withColumn("days_of_cover", F.round(F.col("closing_units") / mean, 1))
+    demand = F.nullif(rolling_mean("demand_units", ITEM, "snapshot_date", cover_rows), F.lit(0.0))
+    covered = snapshots.withColumn("days_of_cover", F.round(F.col("closing_units") / demand, 1))
     valued = monthly_lookup(covered, costs.select("sku_id", "month", "unit_cost"), ["sku_id"], "snapshot_date")
     return valued.withColumns({
         "unfulfilled_units": F.col("demand_units") - F.col("shipped_units"),
@@ -47,7 +47,7 @@ def inventory_weekly(inv: DataFrame, products: DataFrame) -> DataFrame:
         .agg(F.sum("demand_units").alias("demand_units"), F.sum("shipped_units").alias("shipped_units"),
              F.sum("unfulfilled_units").alias("unfulfilled_units"),
              F.sum(F.col("is_stockout").cast("long")).alias("stockout_days"),
-             F.round(F.avg("days_of_cover"), 1).alias("avg_days_of_cover"),
+             F.round(mean("days_of_cover", 1), 1).alias("avg_days_of_cover"),
              last("closing_units").alias("closing_units"),
              F.round(last("stock_value"), 2).alias("closing_stock_value"))
         .withColumn("fill_rate", F.round(ratio("shipped_units", "demand_units"), 4))
@@ -63,11 +63,11 @@ def policy_levels(demand: DataFrame, lead_days: int, review_days: int = 7, z: fl
     """
     w = Window.partitionBy(*ITEM).orderBy("snapshot_date").rowsBetween(-rows, -1)
     span = float(lead_days + review_days)
-    mean = F.greatest(F.avg("demand_units").over(w), F.lit(0.05))
+    daily = F.greatest(F.avg("demand_units").over(w), F.lit(0.05))
     safety = z * F.stddev_pop("demand_units").over(w) * F.sqrt(F.lit(span))
     return demand.withColumns({
         "safety_stock": F.round(safety, 4),
-        "reorder_point": F.round(mean * span + safety, 4),
+        "reorder_point": F.round(daily * span + safety, 4),
     })
 
 

@@ -62,7 +62,7 @@ def trailing_join(cutoffs: DataFrame, grid: DataFrame, weeks: int, cutoff: str =
     """Grid rows of the ``weeks`` weeks up to and including each cutoff Monday."""
     back = F.sequence(F.date_sub(F.col(cutoff), 7 * (weeks - 1)), F.col(cutoff), F.expr("INTERVAL 7 DAY"))
     spans = cutoffs.select(cutoff).distinct().withColumn(week, F.explode(back))
-    return grid.join(broadcast_if_small(spans), week)
+    return grid.join(spans, week)
 
 
 def grid_with(df: DataFrame, values: list, column: str) -> DataFrame:
@@ -87,7 +87,7 @@ def shifted_join(df: DataFrame, calendar: DataFrame, day: str, offset: int, keys
                  value: str, calendar_day: str, default) -> DataFrame:
     """Value of a day ``offset`` days ahead, with a default where the calendar has none."""
     ahead = calendar.select(*keys, F.date_sub(F.col(calendar_day), offset).alias(day), value)
-    return df.join(broadcast_if_small(ahead), [*keys, day], "left").fillna({value: default})
+    return df.join(ahead, [*keys, day], "left").fillna({value: default})
 
 
 def asof_price(days: DataFrame, history: DataFrame, key: str, day: str) -> DataFrame:

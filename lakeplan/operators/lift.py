@@ -52,8 +52,8 @@ def event_uplift(events: DataFrame, daily: DataFrame, dims: list[str], window: i
     base_days = base[0] - base[1] + 1
     return (
         joined.groupBy(*keys)
-        .agg((sum_if(back < window, "rev") / window).alias("_e"),
-             (sum_if(back.between(base[1], base[0]), "rev") / base_days).alias("_b"))
+        .agg((F.round(sum_if(back < window, "rev"), 2) / window).alias("_e"),
+             (F.round(sum_if(back.between(base[1], base[0]), "rev"), 2) / base_days).alias("_b"))
         .select(
             *keys,
             F.round("_e", 2).alias("event_daily_revenue"),

@@ -105,7 +105,7 @@ def alerts(recommendations: DataFrame, backtest: DataFrame, summary: DataFrame,
     """The three threshold alerts as status rows."""
     high = recommendations.agg(F.sum((F.col("stockout_risk") == "High").cast("long")).alias("n"))
     wape = backtest.agg(
-        ratio(F.sum(F.abs(F.col("actual") - F.col("forecast_units"))), F.sum("actual")).alias("wape"))
+        ratio(F.round(F.sum(F.abs(F.col("actual") - F.col("forecast_units"))), 6), F.sum("actual")).alias("wape"))
     return union_all([
         check_row("high_risk_items", high, F.coalesce(F.col("n"), F.lit(0)), max_high),
         check_row("forecast_wape", wape, F.col("wape"), max_wape),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeplan.config import PlanConfig
-from lakeplan.functions.columns import band, sum_if
+from lakeplan.functions.columns import band, mean, sum_if
 from lakeplan.operators.aggregates import DELIVERED
 from lakeplan.operators.inventory import ITEM, weekly_variability
 from lakeplan.operators.joins import lookup
@@ -30,8 +30,8 @@ def allocate(forecast: DataFrame, share: DataFrame, first_week: str) -> DataFram
     return (
         ahead.join(share.select("zone", *ITEM, "share"), ["zone", "sku_id"])
         .groupBy(*ITEM, "week_start")
-        .agg(F.sum(F.col("forecast_units") * F.col("share")).alias("fc_units"),
-             F.sum(F.col("forecast_upper") * F.col("share")).alias("fc_upper"))
+        .agg(F.round(F.sum(F.col("forecast_units") * F.col("share")), 6).alias("fc_units"),
+             F.round(F.sum(F.col("forecast_upper") * F.col("share")), 6).alias("fc_upper"))
     )
 
 
@@ -42,9 +42,9 @@ def horizon_sums(allocated: DataFrame, first_week: str) -> DataFrame:
     """
     before = lambda days: F.col("week_start") < F.date_add(d(first_week), days)
     return allocated.groupBy(*ITEM).agg(
-        sum_if(before(28), "fc_units").alias("fc_next_4w"),
-        sum_if(before(84), "fc_units").alias("fc_next_12w"),
-        F.avg("fc_units").alias("fc_avg_week"),
+        F.round(sum_if(before(28), "fc_units"), 6).alias("fc_next_4w"),
+        F.round(sum_if(before(84), "fc_units"), 6).alias("fc_next_12w"),
+        mean("fc_units").alias("fc_avg_week"),
         F.sort_array(F.collect_list(F.struct("week_start", "fc_units"))).alias("weekly"),
     )
 
@@ -67,8 +67,8 @@ def open_orders(pos: DataFrame, as_of: str) -> DataFrame:
 
 def lead_times(pos: DataFrame, as_of: str, default_days: int = 14, days: int = 365) -> DataFrame:
     recent = pos.where(F.col("po_date") > F.date_sub(d(as_of), days))
-    mean = F.avg(F.coalesce(F.col("actual_lead_days"), F.lit(default_days)))
-    return recent.groupBy(*ITEM).agg(F.greatest(F.lit(1.0), F.round(mean / 7, 1)).alias("lead_time_weeks"))
+    days_mean = F.avg(F.coalesce(F.col("actual_lead_days"), F.lit(default_days)))
+    return recent.groupBy(*ITEM).agg(F.greatest(F.lit(1.0), F.round(days_mean / 7, 1)).alias("lead_time_weeks"))
 
 
 def reorder(horizon: DataFrame, stock: DataFrame, open_po: DataFrame, variability: DataFrame, leads: DataFrame,
@@ -88,10 +88,10 @@ def reorder(horizon: DataFrame, stock: DataFrame, open_po: DataFrame, variabilit
     on_hand = F.coalesce(F.col("on_hand_units"), F.lit(0))
     pending = F.coalesce(F.col("open_po_units"), F.lit(0))
     lead = F.coalesce(F.col("lead_time_weeks"), F.lit(cfg.default_lead_weeks))
-    mean = F.col("fc_avg_week")
+    weekly = F.col("fc_avg_week")
     safety = cfg.service_z * F.coalesce(F.col("sd_week"), F.lit(0.0)) * F.sqrt(lead)
-    cover = on_hand / F.nullif(mean, F.lit(0.0))
-    need = mean * (lead + cfg.review_weeks) + safety - on_hand - pending
+    cover = on_hand / F.nullif(weekly, F.lit(0.0))
+    need = weekly * (lead + cfg.review_weeks) + safety - on_hand - pending
     return wide.select(
         *ITEM, "warehouse_name", "product_name", "base_product", "category",
         on_hand.cast("long").alias("on_hand_units"),

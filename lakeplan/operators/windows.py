@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeplan.session import broadcast_if_small, checkpoint_table
+from lakeplan.session import checkpoint_table
 
 
 def rolling(keys: list[str], order: str, rows: int) -> Window:
@@ -34,7 +34,7 @@ def share_of(df: DataFrame, value: str, keys: list[str], out: str = "share") ->
     """
     total = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
     part = F.coalesce(F.col(value) / F.nullif(F.col("_total").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return df.join(broadcast_if_small(total), keys).withColumn(out, part).drop("_total")
+    return df.join(total, keys).withColumn(out, part).drop("_total")
 
 
 def cumulative_intervals(df: DataFrame, share: str, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -97,7 +97,7 @@ def dense_index(df: DataFrame, keys: list[str], order: list[Column], out: str =
     indexed = global_index(df, [F.col(k) for k in keys] + order, "_idx", "dense_index")
     first = indexed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
     return (
-        indexed.join(broadcast_if_small(first), keys)
+        indexed.join(first, keys)
         .withColumn(out, F.col("_idx") - F.col("_first"))
         .drop("_idx", "_first")
     )

@@ -12,7 +12,7 @@ from lakeplan.operators.quality import union_all
 from lakeplan.operators.rfm import rfm_totals
 from lakeplan.plans import reports
 from lakeplan.plans.catalogue import query
-from lakeplan.plans.oracle import B, R, S, month, ratio as sql_ratio, week
+from lakeplan.plans.oracle import B, M, R, S, month, ratio as sql_ratio, week
 from lakeplan.plans.stand_in import CFG
 
 ZONES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -45,7 +45,7 @@ def agg5(s):
 
 @query("agg6_conditional", f"""SELECT o_orderpriority AS channel_code,
     {R("sum(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END)", 2)} AS cancelled,
-    {R("avg(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END)", 4)} AS delivered_mean,
+    {R(M("CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END", 2), 4)} AS delivered_mean,
     count(CASE WHEN o_totalprice > 400000 THEN 1 END) AS large FROM orders GROUP BY 1""")
 def agg6(s):
     p, cancelled = F.col("o_totalprice"), F.col("o_orderstatus") == "P"
@@ -188,7 +188,7 @@ def agg25(s):
 
 
 @query("agg26_supplier_score", f"""SELECT supplier_name, supplier_tier, count(*) AS pos, {S('po_value')},
-    {R('avg(fill_rate)', 6)} AS avg_fill_rate, {R('avg(delay_days)', 6)} AS avg_delay_days FROM s_pos GROUP BY ALL""")
+    {R(M('fill_rate', 3), 6)} AS avg_fill_rate, {R('avg(delay_days)', 6)} AS avg_delay_days FROM s_pos GROUP BY ALL""")
 def agg26(s):
     return ag.supplier_score(s.pos, ["supplier_name", "supplier_tier"])
 
@@ -229,7 +229,7 @@ def set1(s):
     FROM s_weekly GROUP BY ALL UNION ALL
     SELECT 'forecast', week_start, zone, """ + R("sum(forecast_units)", 1) + " FROM s_forecast GROUP BY ALL")
 def set2(s):
-    actual = s.weekly.groupBy("week_start", "zone").agg(F.sum("units").cast("double").alias("units"))
+    actual = s.saved_weekly.groupBy("week_start", "zone").agg(F.sum("units").cast("double").alias("units"))
     fc = s.plan.forecast.groupBy("week_start", "zone").agg(F.round(F.sum("forecast_units"), 1).alias("units"))
     return union_all([actual.select(F.lit("actual").alias("part"), "*"), fc.select(F.lit("forecast").alias("part"), "*")])
 

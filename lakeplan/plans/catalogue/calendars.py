@@ -7,7 +7,7 @@ from lakeplan.functions.columns import in_season
 from lakeplan.operators import demand as dm
 from lakeplan.operators.windows import share_of
 from lakeplan.plans.catalogue import query
-from lakeplan.plans.oracle import R, week
+from lakeplan.plans.oracle import M, R, week
 from lakeplan.plans.stand_in import CFG
 
 ZONES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -71,13 +71,13 @@ def multipliers(s):
 
 REACH_SQL = ", ".join(f"('{k}', {a}, {b}::DOUBLE, '{z}')" for k, (a, b, z) in REACH.items())
 CURVE = {
-    "s_reach": f"""SELECT e.event_date + off AS order_date, zone, off, lead_days, uplift,
+    "s_reach": f"""SELECT e.event_date + CAST(off AS INTEGER) AS order_date, zone, off, lead_days, uplift,
         (zones = 'All' OR list_contains(string_split(zones, ','), zone)) AS own
         FROM s_events e JOIN (VALUES {REACH_SQL}) r(event_name, lead_days, uplift, zones) ON r.event_name = e.event_name,
         range(-14, 11) o(off), (SELECT r_name AS zone FROM region) WHERE off >= -lead_days""",
-    "s_curve": """SELECT order_date, zone, product((CASE WHEN off >= 3 AND own THEN 1 - 0.12::DOUBLE * (1 - (off - 3) / 8) ELSE 1 END) *
+    "s_curve": """SELECT order_date, zone, CAST(round(product((CASE WHEN off >= 3 AND own THEN 1 - 0.12::DOUBLE * (1 - (off - 3) / 8) ELSE 1 END) *
         (1 + (uplift - 1) * (CASE WHEN off BETWEEN -7 AND 0 THEN 1 WHEN off < -7 THEN 0.5 WHEN off BETWEEN 1 AND 2 THEN 0.3 ELSE 0 END)
-        * CASE WHEN own THEN 1 ELSE 0.25 END)) AS m FROM s_reach GROUP BY ALL""",
+        * CASE WHEN own THEN 1 ELSE 0.25 END)), 9) AS DOUBLE) AS m FROM s_reach GROUP BY ALL""",
     "s_mult": """SELECT o.order_date, o.zone, o.orders, coalesce(c.m, 1) AS multiplier FROM (SELECT order_date, zone,
         count(*) AS orders FROM s_fact_orders GROUP BY ALL) o LEFT JOIN s_curve c ON c.order_date = o.order_date AND c.zone = o.zone""",
 }
@@ -97,7 +97,7 @@ def cal4(s):
         "in_season", in_season("order_date", WEDDING_WINDOWS))
 
 
-@query("cal5_weekly_mean", f"""SELECT {week('order_date')} AS week_start, zone, {R('avg(multiplier)', 6)} AS multiplier
+@query("cal5_weekly_mean", f"""SELECT {week('order_date')} AS week_start, zone, {R(M('multiplier', 9), 6)} AS multiplier
     FROM s_mult GROUP BY ALL""", CURVE)
 def cal5(s):
     return dm.weekly_mean(multipliers(s), "multiplier", ["zone"], "order_date").withColumn(

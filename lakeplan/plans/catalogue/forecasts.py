@@ -9,8 +9,9 @@ from lakeplan.forecast import models as md
 from lakeplan.forecast import reconcile as rc
 from lakeplan.forecast.run import CHILD_LEVEL, candidate_table, plan_from_candidates, structural_forecasts
 from lakeplan.plans.catalogue import query
-from lakeplan.plans.oracle import R
+from lakeplan.plans.oracle import R, W
 from lakeplan.plans.stand_in import CFG
+from lakeplan.session import checkpoint_table
 
 
 def shown(df, **digits):
@@ -61,13 +62,13 @@ def fc6(s):
 @query("fc7_structural_fit")
 def fc7(s):
     """The per-series model on both levels; values are checked by invariants."""
-    return structural_forecasts(s.weekly, s.products, s.events, CFG)
+    return structural_forecasts(s.saved_weekly, s.products, s.events, CFG)
 
 
 @query("udf1_grouped_map")
 def udf1(s):
     """Grouped pandas over the child series only: one call per series."""
-    grid = gr.weekly_grid(s.weekly, ["sku_id", "zone"], CFG.last_full_week, CFG.horizon_weeks + 1)
+    grid = gr.weekly_grid(s.saved_weekly, ["sku_id", "zone"], CFG.last_full_week, CFG.horizon_weeks + 1)
     child = grid.select(F.lit("sku").alias("level"), F.col("sku_id").alias("series_key"), "zone", "week_start", "units",
                         "promo_share")
     return md.fit_series(gr.with_events(child, s.events), CFG)
@@ -138,7 +139,7 @@ def fc16(s):
 
 
 @query("fc17_run_summary", f"""SELECT {R('avg(CASE WHEN a.wape_model < a.wape_seasonal_naive THEN 1 ELSE 0 END)', 6)} AS share_beating_naive,
-    {R('sum(b.fc - b.act) / sum(b.act)', 6)} AS bias, count(*) AS series FROM s_accuracy a JOIN (SELECT sku_id, zone,
+    {R(R('sum(b.fc - b.act)', 6) + ' / sum(b.act)', 6)} AS bias, count(*) AS series FROM s_accuracy a JOIN (SELECT sku_id, zone,
     sum(forecast_units) AS fc, sum(actual) AS act FROM s_backtest GROUP BY ALL) b USING (sku_id, zone) WHERE a.actual_units > 0""")
 def fc17(s):
     return shown(ac.run_summary(s.plan.accuracy, s.plan.backtest), share_beating_naive=6, bias=6)
@@ -169,8 +170,8 @@ def fc19(s):
     return ac.compare_models(s.plan.forecast, s.baseline, ["week_start", "zone"])
 
 
-@query("fc20_run_metrics", f"""SELECT {R('sum(abs(actual - forecast_units)) / sum(actual)', 6)} AS wape_champion,
-    {R('sum(abs(actual - seasonal_naive_units)) / sum(actual)', 6)} AS wape_naive, count(*) AS points FROM s_backtest""")
+@query("fc20_run_metrics", f"""SELECT {R(W('forecast_units'), 6)} AS wape_champion,
+    {R(W('seasonal_naive_units'), 6)} AS wape_naive, count(*) AS points FROM s_backtest""")
 def fc20(s):
     bt = s.plan.backtest
     return shown(bt.agg(ac.wape("actual", "forecast_units").alias("wape_champion"),
@@ -191,7 +192,7 @@ def forecast_backtest(s):
 @query("forecast_structural_champion")
 def structural_champion(s):
     """The published forecast on the structural model, the way a planning run makes it."""
-    raw = structural_forecasts(s.weekly, s.products, s.events, CFG)
-    from lakeplan.session import checkpoint_table
+    raw = structural_forecasts(s.saved_weekly, s.products, s.events, CFG)
     raw = checkpoint_table(raw, "forecast_raw")
-    return plan_from_candidates(candidate_table(raw, s.grid, s.products, CFG), s.products, CFG).forecast
+    cand = checkpoint_table(candidate_table(raw, s.grid, s.products, CFG), "candidates")
+    return plan_from_candidates(cand, s.products, CFG).forecast

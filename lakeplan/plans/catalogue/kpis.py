@@ -35,7 +35,7 @@ SALES = {
 }
 ORDERS = {
     "orders": ("count(*)", 0), "net_revenue": ("sum(a.net_revenue)", 2),
-    "average_order_value": ("sum(a.net_revenue) / count(*)", 4), "lines_per_order": ("avg(a.line_count)", 6),
+    "average_order_value": (R("sum(a.net_revenue)", 2) + " / count(*)", 4), "lines_per_order": ("avg(a.line_count)", 6),
     "active_customers": ("count(DISTINCT a.customer_id)", 0),
 }
 STOCK = {

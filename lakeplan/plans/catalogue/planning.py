@@ -8,7 +8,7 @@ from lakeplan.operators import reorder as ro
 from lakeplan.operators.decisions import planner_view
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.catalogue.kpis import sales_view
-from lakeplan.plans.oracle import AS_OF, FIRST_FC, R
+from lakeplan.plans.oracle import AS_OF, FIRST_FC, R, W
 from lakeplan.plans.stand_in import CFG, FIRST_FORECAST_WEEK
 
 
@@ -165,7 +165,7 @@ def dq7(s):
 
 @query("dq8_alerts", f"""SELECT 'high_risk_items' AS check_name, CAST(count(*) FILTER (stockout_risk = 'High') AS DOUBLE) AS value,
     100.0::DOUBLE AS limit_value, count(*) FILTER (stockout_risk = 'High') > 100 AS breached FROM s_reorder UNION ALL
-    SELECT 'forecast_wape', {R('sum(abs(actual - forecast_units)) / sum(actual)', 6)}, 0.3,
+    SELECT 'forecast_wape', {R(W('forecast_units'), 6)}, 0.3,
     sum(abs(actual - forecast_units)) / sum(actual) > 0.3 FROM s_backtest UNION ALL
     SELECT 'reject_rate', {R(REJECTS + ' / (SELECT count(*) FROM s_raw_lines)', 6)}, 0.01,
     {REJECTS} / (SELECT count(*) FROM s_raw_lines) > 0.01""")

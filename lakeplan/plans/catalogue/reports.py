@@ -8,7 +8,7 @@ from lakeplan.operators.rfm import customer_rfm
 from lakeplan.plans import reports as rp
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.catalogue.kpis import rounded, sales_view
-from lakeplan.plans.oracle import B, PRODUCT_GROUP, R, S, ratio
+from lakeplan.plans.oracle import B, M, PRODUCT_GROUP, R, S, ratio
 from lakeplan.plans.stand_in import CFG, group_a
 
 MIN_BASE = 1000
@@ -46,7 +46,7 @@ def rpt2(s):
     return rp.orders(s.fact_orders, s.channels)
 
 
-@query("rpt2_orders_kpis", f"""SELECT c.channel_group, count(*) AS total_orders, {R('sum(o.net_revenue) / count(*)', 4)} AS aov
+@query("rpt2_orders_kpis", f"""SELECT c.channel_group, count(*) AS total_orders, {R(R('sum(o.net_revenue)', 2) + ' / count(*)', 4)} AS aov
     FROM s_fact_orders o JOIN s_channels c ON o.channel_code = c.channel_code WHERE order_status = 'Delivered' GROUP BY ALL""")
 def rpt2_kpis(s):
     view = rp.orders_kpis(rp.orders(s.fact_orders, s.channels))
@@ -89,7 +89,7 @@ def rpt6(s):
     "s_act": """SELECT w.week_start, w.zone, p.category, CAST(sum(w.units) AS DOUBLE) AS actual_units FROM s_weekly w
         JOIN s_products p ON w.sku_id = p.sku_id WHERE w.week_start BETWEEN DATE '1999-07-26' AND DATE '2001-07-23' GROUP BY ALL"""})
 def rpt7(s):
-    return rp.actual_forecast(s.weekly, s.plan.forecast, s.products, "1999-07-26", CFG.last_full_week)
+    return rp.actual_forecast(s.saved_weekly, s.plan.forecast, s.products, "1999-07-26", CFG.last_full_week)
 
 
 @query("rpt8_model_compare", f"""SELECT f.week_start, f.zone, p.category, {R('sum(f.forecast_units)', 1)} AS champion_units,
@@ -110,10 +110,10 @@ def rpt9(s):
     return rp.accuracy_rows(s.plan.accuracy)
 
 
-@query("rpt9_accuracy_kpis", f"""SELECT zone, {R('sum(abs_err_model) / sum(actual_units)', 6)} AS total_wape_model,
-    {R('sum(abs_err_direct) / sum(actual_units)', 6)} AS total_wape_direct,
-    {R('sum(abs_err_snaive) / sum(actual_units)', 6)} AS total_wape_naive,
-    {R('sum(covered_weeks) / sum(backtest_weeks)', 6)} AS coverage FROM ({ACCURACY_SQL}) GROUP BY zone""")
+@query("rpt9_accuracy_kpis", f"""SELECT zone, {R(R('sum(abs_err_model)', 4) + ' / sum(actual_units)', 6)} AS total_wape_model,
+    {R(R('sum(abs_err_direct)', 4) + ' / sum(actual_units)', 6)} AS total_wape_direct,
+    {R(R('sum(abs_err_snaive)', 4) + ' / sum(actual_units)', 6)} AS total_wape_naive,
+    {R(R('sum(covered_weeks)', 4) + ' / sum(backtest_weeks)', 6)} AS coverage FROM ({ACCURACY_SQL}) GROUP BY zone""")
 def rpt9_kpis(s):
     names = ["total_wape_model", "total_wape_direct", "total_wape_naive", "coverage"]
     return rounded(rp.accuracy_kpis(rp.accuracy_rows(s.plan.accuracy)).query(["zone"], names), {n: 6 for n in names})
@@ -165,7 +165,7 @@ def rpt13_kpis(s):
 
 
 @query("rpt14_supplier", f"""SELECT supplier_name, supplier_tier, base_product, quality_grade, count(*) AS pos, {S('po_value')},
-    {R('avg(fill_rate)', 6)} AS avg_fill_rate, {R('avg(delay_days)', 6)} AS avg_delay_days FROM s_pos GROUP BY ALL""")
+    {R(M('fill_rate', 3), 6)} AS avg_fill_rate, {R('avg(delay_days)', 6)} AS avg_delay_days FROM s_pos GROUP BY ALL""")
 def rpt14(s):
     return supplier_score(s.pos, ["supplier_name", "supplier_tier", "base_product", "quality_grade"])
 
@@ -207,7 +207,7 @@ def rpt19(s):
 
 @query("rpt20_event_growth", f"""SELECT base_product, {R('a', 0)} AS first_daily, {R('b', 0)} AS second_daily,
     {R('100 * (' + ratio('b', 'a') + ' - 1)', 1)} AS growth_pct FROM (SELECT base_product, max(CASE WHEN year = 1998 THEN rev END) AS a,
-    max(CASE WHEN year = 1999 THEN rev END) AS b FROM (SELECT base_product, year, sum(event_daily_revenue) AS rev FROM s_uplift
+    max(CASE WHEN year = 1999 THEN rev END) AS b FROM (SELECT base_product, year, {R('sum(event_daily_revenue)', 2)} AS rev FROM s_uplift
     WHERE event_name = 'Harvest' AND year IN (1998, 1999) GROUP BY ALL) GROUP BY 1)
     ORDER BY growth_pct DESC NULLS LAST, base_product LIMIT 10""")
 def rpt20(s):
@@ -234,8 +234,8 @@ def rpt23(s):
     return rp.top_promos(effect(s))
 
 
-@query("rpt24_product_forecast", f"""SELECT f.week_start, {R('sum(forecast_units)', 0)} AS forecast_units,
-    {R('sum(forecast_lower)', 0)} AS lower_80, {R('sum(forecast_upper)', 0)} AS upper_80 FROM s_forecast f
+@query("rpt24_product_forecast", f"""SELECT f.week_start, {R(R('sum(forecast_units)', 1), 0)} AS forecast_units,
+    {R(R('sum(forecast_lower)', 1), 0)} AS lower_80, {R(R('sum(forecast_upper)', 1), 0)} AS upper_80 FROM s_forecast f
     JOIN s_products p ON f.sku_id = p.sku_id WHERE p.base_product = 'Brand#1' AND f.zone = 'ASIA' GROUP BY 1""")
 def rpt24(s):
     return rp.product_forecast(s.plan.forecast, s.products, "Brand#1", "ASIA")
@@ -268,8 +268,8 @@ def rpt27(s):
     return rp.explorer_forecast(s.plan.forecast, s.baseline, s.products, PICK)
 
 
-@query("rpt28_explorer_accuracy", f"""SELECT {R('sum(wape_model * actual_units) / sum(actual_units)', 6)} AS wape_model,
-    {R('sum(wape_seasonal_naive * actual_units) / sum(actual_units)', 6)} AS wape_snaive FROM s_accuracy a
+@query("rpt28_explorer_accuracy", f"""SELECT {R(R('sum(wape_model * actual_units)', 4) + ' / sum(actual_units)', 6)} AS wape_model,
+    {R(R('sum(wape_seasonal_naive * actual_units)', 4) + ' / sum(actual_units)', 6)} AS wape_snaive FROM s_accuracy a
     JOIN s_products p ON a.sku_id = p.sku_id WHERE a.zone = 'ASIA' AND {PICKED}""")
 def rpt28(s):
     return rounded(rp.explorer_accuracy(s.plan.accuracy, s.products, PICK), {"wape_model": 6, "wape_snaive": 6})

@@ -78,7 +78,7 @@ def order_metrics(orders: DataFrame, dim_date: DataFrame, dim_channel: DataFrame
         measures=[
             Field("orders", "count(1)"),
             Field("net_revenue", "sum(source.net_revenue)"),
-            Field("average_order_value", "sum(source.net_revenue) / count(1)", synonyms=("aov", "basket_value")),
+            Field("average_order_value", "round(sum(source.net_revenue), 2) / count(1)", synonyms=("aov", "basket_value")),
             Field("lines_per_order", "avg(source.line_count)"),
             Field("active_customers", "count(DISTINCT source.customer_id)", "distinct identified consumers"),
         ],

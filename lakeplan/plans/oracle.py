@@ -16,6 +16,16 @@ def S(column: str, digits: int = 2) -> str:
     return f"{R(f'sum({column})', digits)} AS {column}"
 
 
+def M(expr: str, digits: int = 6) -> str:
+    """Mean from a rounded sum."""
+    return f"({R(f'sum({expr})', digits)} / nullif(count({expr}), 0))"
+
+
+def W(fc: str, op: str = "abs(actual - {})") -> str:
+    """Error sum over actual sum."""
+    return f"({R('sum(' + op.format(fc) + ')', 6)} / nullif(sum(actual), 0))"
+
+
 def I(num: str, den: str) -> str:  # noqa: E743
     """num / den cents, rounded half up, as an amount; exact in integers."""
     return f"(floor((2 * ({num}) + ({den})) / (2.0 * ({den}))) / 100.0)"
@@ -212,8 +222,8 @@ CTES: dict[str, str] = {
     "s_promo_effect": f"""SELECT promo_id, promo_code, promo_name, promo_type, channel_code, category_scope, event_name,
         discount_pct, start_date, end_date, {R('p', 2)} AS promo_daily_revenue, {R('b', 2)} AS baseline_daily_revenue,
         {R('d', 2)} AS discount_cost, {R('100 * (' + ratio('p', 'b') + ' - 1)', 1)} AS revenue_lift_pct FROM (
-        SELECT s.*, avg(CASE WHEN order_date >= start_date THEN rev END) AS p,
-        avg(CASE WHEN order_date < start_date THEN rev END) AS b, sum(CASE WHEN order_date >= start_date THEN disc END) AS d
+        SELECT s.*, {M('CASE WHEN order_date >= start_date THEN rev END', 2)} AS p,
+        {M('CASE WHEN order_date < start_date THEN rev END', 2)} AS b, sum(CASE WHEN order_date >= start_date THEN disc END) AS d
         FROM s_promos s JOIN (SELECT order_date, channel_code, sum(net_revenue) AS rev, sum(discount_amount) AS disc
              FROM s_daily GROUP BY ALL) x ON x.channel_code = s.channel_code
         AND x.order_date BETWEEN s.start_date - 28 AND s.end_date WHERE s.start_date <= {AS_OF} GROUP BY ALL)""",
@@ -221,8 +231,8 @@ CTES: dict[str, str] = {
         {R('e', 2)} AS event_daily_revenue, {R('b', 2)} AS baseline_daily_revenue,
         {R('100 * (' + ratio('e', 'b') + ' - 1)', 1)} AS uplift_pct FROM (
         SELECT v.event_name, v.event_date, v.year, v.region_relevance, zone, base_product, category,
-        sum(CASE WHEN order_date >= event_date - 9 THEN rev END) / 10 AS e,
-        sum(CASE WHEN order_date BETWEEN event_date - 60 AND event_date - 31 THEN rev END) / 30 AS b
+        {R('sum(CASE WHEN order_date >= event_date - 9 THEN rev END)', 2)} / 10 AS e,
+        {R('sum(CASE WHEN order_date BETWEEN event_date - 60 AND event_date - 31 THEN rev END)', 2)} / 30 AS b
         FROM s_events v JOIN (SELECT order_date, zone, base_product, category, sum(net_revenue) AS rev
              FROM s_daily GROUP BY ALL) d ON d.order_date BETWEEN event_date - 60 AND event_date
         WHERE event_date BETWEEN DATE '1996-01-01' AND {AS_OF} GROUP BY ALL)""",
@@ -258,7 +268,7 @@ CTES: dict[str, str] = {
         {B('sum(unfulfilled_units)')} AS unfulfilled_units,
         {B('sum(CASE WHEN is_stockout THEN 1 ELSE 0 END)')} AS stockout_days,
         {R(ratio('sum(shipped_units)', 'sum(demand_units)'), 4)} AS fill_rate,
-        {R('avg(days_of_cover)', 1)} AS avg_days_of_cover, arg_max(closing_units, snapshot_date) AS closing_units,
+        {R(M('days_of_cover', 1), 1)} AS avg_days_of_cover, arg_max(closing_units, snapshot_date) AS closing_units,
         {R('arg_max(stock_value, snapshot_date)', 2)} AS closing_stock_value
         FROM s_inv i JOIN s_products p ON i.sku_id = p.sku_id GROUP BY ALL""",
     "s_pos": f"""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS po_id,
@@ -324,9 +334,9 @@ CTES: dict[str, str] = {
         unnest(['direct', 'topdown', 'combined', 'direct+snaive', 'topdown+snaive', 'combined+snaive', 'seasonal_naive']) AS candidate,
         unnest([c_direct, c_topdown, c_combined, c_direct_snaive, c_topdown_snaive, c_combined_snaive, c_seasonal_naive]) AS fc
         FROM s_blend""",
-    "s_wape_child": """SELECT candidate, sum(abs(actual - fc)) / nullif(sum(actual), 0) AS wape FROM s_long
+    "s_wape_child": f"""SELECT candidate, {W('fc')} AS wape FROM s_long
         WHERE kind = 'backtest' GROUP BY candidate""",
-    "s_wape_parent": """SELECT candidate, sum(abs(actual - fc)) / nullif(sum(actual), 0) AS wape FROM (
+    "s_wape_parent": f"""SELECT candidate, {W('fc')} AS wape FROM (
         SELECT base_product, zone, cutoff, week_start, candidate, sum(actual) AS actual, sum(fc) AS fc FROM s_long
         WHERE kind = 'backtest' GROUP BY ALL) GROUP BY candidate""",
     "s_champion": """SELECT candidate FROM s_wape_child WHERE candidate <> 'seasonal_naive' ORDER BY wape, candidate LIMIT 1""",
@@ -350,10 +360,10 @@ CTES: dict[str, str] = {
         WHERE kind = 'backtest'""",
     "s_accuracy": f"""SELECT b.sku_id, b.zone, p.category, p.base_product, max(b.model) AS model, count(*) AS backtest_weeks,
         {R('sum(actual)', 2)} AS actual_units,
-        {R('sum(abs(actual - forecast_units)) / nullif(sum(actual), 0)', 4)} AS wape_model,
-        {R('sum(abs(actual - direct_units)) / nullif(sum(actual), 0)', 4)} AS wape_direct,
-        {R('sum(abs(actual - seasonal_naive_units)) / nullif(sum(actual), 0)', 4)} AS wape_seasonal_naive,
-        {R('sum(forecast_units - actual) / nullif(sum(actual), 0)', 4)} AS bias_model,
+        {R(W('forecast_units'), 4)} AS wape_model,
+        {R(W('direct_units'), 4)} AS wape_direct,
+        {R(W('seasonal_naive_units'), 4)} AS wape_seasonal_naive,
+        {R(W('forecast_units', '{} - actual'), 4)} AS bias_model,
         {R('avg(CASE WHEN actual BETWEEN forecast_lower AND forecast_upper THEN 1 ELSE 0 END)', 3)} AS interval_coverage
         FROM s_backtest b JOIN s_products p ON b.sku_id = p.sku_id GROUP BY b.sku_id, b.zone, p.category, p.base_product""",
     "s_baseline": f"""SELECT series_key AS sku_id, zone, week_start, {R('recent_mean', 1)} AS forecast_units FROM s_raw_fc
@@ -361,11 +371,11 @@ CTES: dict[str, str] = {
     "s_wh_units": f"""SELECT zone, warehouse_id, sku_id, {B('sum(quantity)')} AS units FROM s_fact
         WHERE order_status = 'Delivered' AND order_date > {AS_OF} - 84 GROUP BY ALL""",
     "s_wh_share": """SELECT *, units / CAST(sum(units) OVER (PARTITION BY zone, sku_id) AS DOUBLE) AS share FROM s_wh_units""",
-    "s_alloc": f"""SELECT s.warehouse_id, f.sku_id, f.week_start, sum(f.forecast_units * s.share) AS fc_units,
-        sum(f.forecast_upper * s.share) AS fc_upper FROM s_forecast f JOIN s_wh_share s ON s.zone = f.zone AND s.sku_id = f.sku_id
+    "s_alloc": f"""SELECT s.warehouse_id, f.sku_id, f.week_start, {R('sum(f.forecast_units * s.share)', 6)} AS fc_units,
+        {R('sum(f.forecast_upper * s.share)', 6)} AS fc_upper FROM s_forecast f JOIN s_wh_share s ON s.zone = f.zone AND s.sku_id = f.sku_id
         WHERE f.week_start >= {FIRST_FC} GROUP BY ALL""",
-    "s_horizon": f"""SELECT warehouse_id, sku_id, sum(fc_units) FILTER (week_start < {FIRST_FC} + 28) AS fc_next_4w,
-        sum(fc_units) FILTER (week_start < {FIRST_FC} + 84) AS fc_next_12w, avg(fc_units) AS fc_avg_week
+    "s_horizon": f"""SELECT warehouse_id, sku_id, {R(f'sum(fc_units) FILTER (week_start < {FIRST_FC} + 28)', 6)} AS fc_next_4w,
+        {R(f'sum(fc_units) FILTER (week_start < {FIRST_FC} + 84)', 6)} AS fc_next_12w, {M('fc_units')} AS fc_avg_week
         FROM s_alloc GROUP BY ALL""",
     "s_stock": f"""SELECT warehouse_id, sku_id, arg_max(closing_units, snapshot_date) AS on_hand_units,
         arg_max(stock_value, snapshot_date) AS stock_value FROM s_inv WHERE snapshot_date <= {AS_OF} GROUP BY ALL""",

@@ -55,7 +55,7 @@ def orders_kpis(report: DataFrame) -> MetricView:
     dims = ["order_date", "zone", "channel_name", "channel_group"]
     return MetricView(report, [Field(d, f"source.{d}") for d in dims], [
         Field("total_orders", "sum(source.orders)"),
-        Field("aov", "sum(source.net_revenue) / nullif(sum(source.orders), 0)"),
+        Field("aov", "round(sum(source.net_revenue), 2) / nullif(sum(source.orders), 0)"),
     ])
 
 
@@ -125,10 +125,10 @@ def accuracy_rows(accuracy: DataFrame) -> DataFrame:
 def accuracy_kpis(rows: DataFrame) -> MetricView:
     dims = ["zone", "category", "base_product", "sku_id"]
     return MetricView(rows, [Field(d, f"source.{d}") for d in dims], [
-        Field("total_wape_model", "sum(source.abs_err_model) / nullif(sum(source.actual_units), 0)"),
-        Field("total_wape_direct", "sum(source.abs_err_direct) / nullif(sum(source.actual_units), 0)"),
-        Field("total_wape_naive", "sum(source.abs_err_snaive) / nullif(sum(source.actual_units), 0)"),
-        Field("coverage", "sum(source.covered_weeks) / nullif(sum(source.backtest_weeks), 0)"),
+        Field("total_wape_model", "round(sum(source.abs_err_model), 4) / nullif(sum(source.actual_units), 0)"),
+        Field("total_wape_direct", "round(sum(source.abs_err_direct), 4) / nullif(sum(source.actual_units), 0)"),
+        Field("total_wape_naive", "round(sum(source.abs_err_snaive), 4) / nullif(sum(source.actual_units), 0)"),
+        Field("coverage", "round(sum(source.covered_weeks), 4) / nullif(sum(source.backtest_weeks), 0)"),
     ])
 
 
@@ -199,7 +199,7 @@ def fy_trend(kpi: MetricView) -> DataFrame:
 def event_growth(uplift: DataFrame, event: str, first: int, second: int, k: int = 10) -> DataFrame:
     """Products by growth between two occurrences of one event."""
     per_year = uplift.where((F.col("event_name") == event) & F.col("year").isin(first, second)).groupBy(
-        "base_product", "year").agg(F.sum("event_daily_revenue").alias("rev"))
+        "base_product", "year").agg(F.round(F.sum("event_daily_revenue"), 2).alias("rev"))
     at = lambda y: F.max(F.when(F.col("year") == y, F.col("rev")))
     wide = per_year.groupBy("base_product").agg(at(first).alias("_a"), at(second).alias("_b"))
     return wide.select(
@@ -231,9 +231,9 @@ def product_forecast(forecast: DataFrame, products: DataFrame, base_product: str
     mine = forecast.where(F.col("zone") == zone).join(
         products.where(F.col("base_product") == base_product).select("sku_id"), "sku_id")
     return mine.groupBy("week_start").agg(
-        F.round(F.sum("forecast_units"), 0).alias("forecast_units"),
-        F.round(F.sum("forecast_lower"), 0).alias("lower_80"),
-        F.round(F.sum("forecast_upper"), 0).alias("upper_80")).orderBy("week_start")
+        F.round(F.round(F.sum("forecast_units"), 1), 0).alias("forecast_units"),
+        F.round(F.round(F.sum("forecast_lower"), 1), 0).alias("lower_80"),
+        F.round(F.round(F.sum("forecast_upper"), 1), 0).alias("upper_80")).orderBy("week_start")
 
 
 def channel_share(kpi: MetricView) -> DataFrame:
@@ -265,7 +265,7 @@ def explorer_forecast(forecast: DataFrame, baseline: DataFrame, products: DataFr
 
 def explorer_accuracy(accuracy: DataFrame, products: DataFrame, selection: dict) -> DataFrame:
     mine = chosen_series(accuracy.drop("base_product"), products, selection)
-    weighted = lambda c: F.sum(F.col(c) * F.col("actual_units"))
+    weighted = lambda c: F.round(F.sum(F.col(c) * F.col("actual_units")), 4)
     return mine.agg(ratio(weighted("wape_model"), F.sum("actual_units")).alias("wape_model"),
                     ratio(weighted("wape_seasonal_naive"), F.sum("actual_units")).alias("wape_snaive"))
 

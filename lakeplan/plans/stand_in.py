@@ -29,6 +29,7 @@ from lakeplan.operators.joins import lookup
 from lakeplan.operators.quality import dq_summary
 from lakeplan.operators.reorder import reorder_plan
 from lakeplan.plans import silver
+from lakeplan.session import checkpoint_table
 
 CFG = PlanConfig(as_of="2001-07-31", last_full_week="2001-07-23",
                  calendar_start="1995-01-01", calendar_end="2001-12-31")
@@ -357,10 +358,15 @@ class StandIn:
             [("sales_lines", "late-arriving (accepted)", self.lines, "arrived_late"),
              ("stores", "state name corrected (accepted)", self.stores, "state_was_corrected")])
 
-    # ---- planning, on the relational base models
+    # ---- planning, on the relational base models.  The weekly table, the raw forecasts and the
+    # candidates are read several times downstream, so each is written once.
+    @cached_property
+    def saved_weekly(self) -> DataFrame:
+        return checkpoint_table(self.weekly, "weekly")
+
     @cached_property
     def grid(self) -> DataFrame:
-        grid = weekly_grid(self.weekly, ["sku_id", "zone"], CFG.last_full_week)
+        grid = weekly_grid(self.saved_weekly, ["sku_id", "zone"], CFG.last_full_week)
         return lookup(grid, self.products.select("sku_id", "base_product"), "sku_id")
 
     @cached_property
@@ -369,11 +375,11 @@ class StandIn:
 
     @cached_property
     def raw_forecasts(self) -> DataFrame:
-        return raw_forecasts(self.both_levels, CFG)
+        return checkpoint_table(raw_forecasts(self.both_levels, CFG), "raw_forecasts")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return candidate_table(self.raw_forecasts, self.grid, self.products, CFG)
+        return checkpoint_table(candidate_table(self.raw_forecasts, self.grid, self.products, CFG), "candidates")
 
     @cached_property
     def plan(self):
