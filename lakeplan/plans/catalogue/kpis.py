@@ -112,7 +112,7 @@ def sem6(s):
 
 @query("sem7_report_measures", f"""SELECT a.zone, a.channel_group, {R('sum(a.net_revenue)', 2)} AS total_net_revenue,
     {R(ratio('sum(a.gross_margin)', 'sum(a.net_revenue)'), 6)} AS gross_margin_share,
-    {R('sum(a.volume_kg) / 1000', 4)} AS volume_tonnes,
+    {R(R('sum(a.volume_kg)', 2) + ' / 1000', 4)} AS volume_tonnes,
     {R(ratio('sum(a.promo_revenue)', 'sum(a.net_revenue)'), 6)} AS promo_share,
     {R(ratio('sum(a.returned_lines)', 'sum(a.lines)'), 6)} AS return_rate FROM s_daily a GROUP BY ALL""")
 def sem7(s):

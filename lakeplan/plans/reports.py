@@ -38,7 +38,7 @@ def sales_kpis(report: DataFrame) -> MetricView:
     return MetricView(report, [Field(d, f"source.{d}") for d in dims], [
         Field("total_net_revenue", "sum(source.net_revenue)"),
         Field("gross_margin_share", "sum(source.gross_margin) / nullif(sum(source.net_revenue), 0)"),
-        Field("volume_tonnes", "sum(source.volume_kg) / 1000"),
+        Field("volume_tonnes", "round(sum(source.volume_kg), 2) / 1000"),
         Field("promo_share", "sum(source.promo_revenue) / nullif(sum(source.net_revenue), 0)"),
         Field("return_rate", "sum(source.returned_lines) / nullif(sum(source.lines), 0)"),
     ])
