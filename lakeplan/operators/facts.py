@@ -88,12 +88,15 @@ def fact_sales_line(lines: DataFrame, orders: DataFrame, products: DataFrame, st
 
 
 def orders_from_lines(fact: DataFrame) -> DataFrame:
-    """Order headers with basket measures.  Header columns are constant per order; max picks them."""
+    """Order headers with basket measures.
+
+    Header columns are constant per order; as grouping keys they keep the aggregate hashed,
+    where a max over strings would sort.
+    """
     header = ["store_id", "channel_code", "customer_id", "zone", "state", "city", "order_status", "payment_mode"]
     return (
-        fact.groupBy("order_id", "order_date")
+        fact.groupBy("order_id", "order_date", *header)
         .agg(
-            *[F.max(c).alias(c) for c in header],
             F.count(F.lit(1)).alias("line_count"),
             F.sum("quantity").alias("units"),
             F.round(F.sum("volume_kg"), 3).alias("volume_kg"),
