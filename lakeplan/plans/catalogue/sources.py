@@ -92,7 +92,7 @@ def snk1(s):
     path = scratch_path(s.spark, "by_batch")
     rows = s.lineitem.select("l_orderkey", "l_linenumber", "l_quantity",
                              F.date_format("l_shipdate", "yyyy-MM").alias("batch"))
-    writers.write_partitioned(rows, path, "batch", files_per_value=2)
+    writers.write_partitioned(rows, path, "batch")
     back = s.spark.read.schema(rows.schema).parquet(path)
     return back.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").cast("long").alias("units"))
 

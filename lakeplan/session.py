@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +12,18 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
+@cache
+def local_dir(application: str) -> str:
+    """One private folder per application, for sessions that name no shared one."""
+    return tempfile.mkdtemp(prefix="lakeplan-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is a private temporary
-    folder made, and it is then remembered in the session.
+    Only where the session names none (local tests) is a private temporary folder used.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="lakeplan-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return spark.conf.get("spark.checkpoint.dir", None) or local_dir(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -3,23 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str, files_per_value: int = 1,
-                      mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by one column.
 
-    ``files_per_value`` spreads each value over that many writers, so one heavy
-    batch does not end in a single task.
+    The rebalance hint brings a value's rows together but lets adaptive execution split a
+    heavy value over several tasks and merge light ones, by size.
     """
-    if files_per_value <= 1:
-        out = df.repartition(partition)
-    else:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-        out = df.repartition(F.col(partition), spread)
-    out.write.mode(mode).partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def write_files(df: DataFrame, path: str, n: int, mode: str = "overwrite") -> None:
