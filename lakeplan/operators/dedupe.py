@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DUPLICATE = "is_duplicate"
-SALTS = 64
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -24,19 +23,19 @@ def latest_per_key(df: DataFrame, keys: list[str], newest: str, *ties: Column) -
     return first_per_key(df, keys, [F.col(newest).desc(), *ties])
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], order: list[Column], salts: int = SALTS) -> DataFrame:
+def mark_duplicates(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Flag every row but the first of its key, keeping all rows.
 
     Two rounds keep a hot key out of a single task.  Round one ranks inside
-    (key, salt), the salt being the input task, which does not depend on the row and
-    so also spreads exact copies.  Round two ranks only the round-one winners of a key
-    (at most ``salts`` rows); the losers stay in their salted group.
+    (key, salt), the salt being the input task: it does not depend on the row, so exact
+    copies spread too, and no group outgrows one input split.  Round two ranks only the
+    round-one winners of a key (at most one per input task); the losers stay in their
+    salted group.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     local = Window.partitionBy(*keys, "_salt").orderBy(*order)
     final = Window.partitionBy(*keys, "_grp").orderBy(F.col("_rn"), *order)
     return (
-        df.withColumn("_salt", salt)
+        df.withColumn("_salt", F.spark_partition_id())
         .withColumn("_rn", F.row_number().over(local))
         .withColumn("_grp", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_salt")))
         .withColumn(DUPLICATE, (F.col("_rn") > 1) | (F.row_number().over(final) > 1))

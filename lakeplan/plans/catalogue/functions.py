@@ -52,7 +52,7 @@ def fn3(s):
 
 
 @query("fn4_conditionals", f"""SELECT order_id, coalesce(store_id, -1) AS store_or_none, nullif(payment_mode, 'Cash') AS on_credit,
-    CASE WHEN customer_id IS NULL THEN 'unknown' ELSE 'known' END AS buyer, coalesce(customer_id, 0) AS customer_filled,
+    CASE WHEN customer_id IS NULL THEN 'unknown' ELSE 'known' END AS buyer, coalesce(customer_id, 'none') AS customer_filled,
     {R('1 / nullif(CAST(CASE WHEN store_id IS NULL THEN 0 ELSE 4 END AS DOUBLE), 0)', 4)} AS safe FROM s_raw_orders""")
 def fn4(s):
     c = F.col
@@ -62,19 +62,18 @@ def fn4(s):
         F.when(c("customer_id").isNull(), "unknown").otherwise("known").alias("buyer"),
         c("customer_id").alias("customer_filled"),
         F.round(ratio(F.lit(1), F.when(c("store_id").isNull(), 0).otherwise(4)), 4).alias("safe"))
-    return out.fillna({"customer_filled": 0})
+    return out.fillna({"customer_filled": "none"})
 
 
-@query("fn5_arrays_and_maps", """SELECT n.n_nationkey, CAST(i.pos AS INTEGER) AS pos, CASE i.pos WHEN 1 THEN n.n_name ELSE r.r_name END AS label,
-    n.n_name || ' / ' || r.r_name AS both_names, CASE r.r_name WHEN 'ASIA' THEN 1 WHEN 'EUROPE' THEN 2 END AS mapped
-    FROM nation n JOIN region r ON n_regionkey = r_regionkey, range(1, 3) i(pos)""")
+@query("fn5_arrays_and_maps", """SELECT c_custkey, CAST(i.pos AS INTEGER) AS pos, CASE i.pos WHEN 1 THEN c_name ELSE c_mktsegment END AS label,
+    c_name || ' / ' || c_mktsegment AS both_names, CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 2 ELSE 0 END AS mapped
+    FROM customer, range(1, 3) i(pos)""")
 def fn5(s):
-    placed = s.nation.join(s.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    codes = F.create_map(F.lit("ASIA"), F.lit(1), F.lit("EUROPE"), F.lit(2))
-    names = F.array("n_name", "r_name")
-    out = placed.withColumn("names", names).withColumn("pos", F.explode(F.sequence(F.lit(1), F.lit(2))))
-    return out.select("n_nationkey", "pos", F.element_at("names", F.col("pos")).alias("label"),
-                      F.array_join("names", " / ").alias("both_names"), codes[F.col("r_name")].alias("mapped"))
+    codes = F.create_map(F.lit("BUILDING"), F.lit(1), F.lit("MACHINERY"), F.lit(2))
+    out = s.customer.withColumn("names", F.array("c_name", "c_mktsegment")).withColumn(
+        "pos", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    return out.select("c_custkey", "pos", F.element_at("names", F.col("pos")).alias("label"),
+                      F.array_join("names", " / ").alias("both_names"), F.coalesce(codes[F.col("c_mktsegment")], F.lit(0)).alias("mapped"))
 
 
 @query("fn6_hash_spread")
@@ -91,12 +90,12 @@ def fn7(s):
 
 
 @query("fn8_casts", """SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS as_text, CAST(p_size AS DOUBLE) AS as_double,
-    TRY_CAST(p_brand AS INTEGER) AS bad_int, TRY_CAST(substr(p_brand, 7) AS INTEGER) AS brand_no,
+    TRY_CAST(p_brand AS INTEGER) IS NULL AS not_a_number, TRY_CAST(substr(p_brand, 7) AS INTEGER) AS brand_no,
     TRY_CAST('2001-02-' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS DATE) AS maybe_date FROM part""")
 def fn8(s):
     c = F.col
     day = F.concat(F.lit("2001-02-"), F.lpad(c("p_size").cast("string"), 2, "0"))
     return s.part.select(
         "p_partkey", c("p_partkey").cast("string").alias("as_text"), c("p_size").cast("double").alias("as_double"),
-        c("p_brand").try_cast("int").alias("bad_int"), F.substring("p_brand", 7, 9).try_cast("int").alias("brand_no"),
+        c("p_brand").try_cast("int").isNull().alias("not_a_number"), F.substring("p_brand", 7, 9).try_cast("int").alias("brand_no"),
         day.try_cast("date").alias("maybe_date"))

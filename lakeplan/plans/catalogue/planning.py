@@ -25,9 +25,10 @@ def inv1(s):
     return s.inventory.select(*INV_COLUMNS.split(", "))
 
 
-@query("inv2_purchase_orders", "SELECT * FROM s_pos")
+@query("inv2_purchase_orders", """SELECT * REPLACE (CAST(actual_lead_days AS DOUBLE) AS actual_lead_days,
+    CAST(delay_days AS DOUBLE) AS delay_days) FROM s_pos""")
 def inv2(s):
-    return s.pos
+    return s.pos.withColumns({c: F.col(c).cast("double") for c in ("actual_lead_days", "delay_days")})
 
 
 @query("inv3_returns", f"""SELECT r.return_id, r.line_id, r.return_date, r.return_qty, f.order_date, f.channel_code, f.zone,

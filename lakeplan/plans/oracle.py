@@ -136,13 +136,13 @@ CTES: dict[str, str] = {
         ELSE trim(state) END AS state), state AS state_raw FROM s_raw_stores""",
     "s_stores": """SELECT s.* EXCLUDE (state_raw), s.state <> s.state_raw AS state_was_corrected, g.zone, g.tier, g.city_id
         FROM s_std_stores s LEFT JOIN s_geo g ON s.city = g.city AND s.state = g.state""",
-    "s_customers": """SELECT c_custkey AS customer_id, c_name AS full_name, 'CITY_' || CAST(c_nationkey AS VARCHAR) AS city,
+    "s_customers": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS full_name, 'CITY_' || CAST(c_nationkey AS VARCHAR) AS city,
         n_name AS state, c_mktsegment AS loyalty_tier, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "s_dim_customer": """SELECT c.*, g.zone, g.tier FROM s_customers c LEFT JOIN s_geo g
         ON c.city = g.city AND c.state = g.state""",
     "s_raw_orders": """SELECT o_orderkey AS order_id, o_orderdate AS order_ts, CAST(o_orderdate AS DATE) AS order_date,
         CASE WHEN o_totalprice >= 2500 THEN o_custkey END AS store_id, o_orderpriority AS channel_code,
-        CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS customer_id,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
         CASE WHEN o_totalprice >= 250000 THEN 'Credit' ELSE 'Cash' END AS payment_mode,
         CASE WHEN o_totalprice > 499000 THEN 'Lost' WHEN o_orderstatus = 'P' THEN 'Cancelled' ELSE 'Delivered' END
         AS order_status FROM orders""",

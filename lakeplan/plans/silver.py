@@ -9,6 +9,7 @@ from lakeplan.operators.clean import arrived_late, conform, standardise_column
 from lakeplan.operators.dedupe import first_per_key, latest_per_key, mark_duplicates
 from lakeplan.operators.expectations import Rule, accepted, keep_valid, rejected, tag
 from lakeplan.operators.joins import flag_known, lookup
+from lakeplan.session import checkpoint_table
 
 # The zones, order states and standard spellings of the retail model.
 ZONES = ["North", "South", "East", "West", "Central", "North-East"]
@@ -159,7 +160,8 @@ def tagged_lines(raw: DataFrame, products: DataFrame, order: list[Column], keys:
 
 
 def clean_and_rejected(raw: DataFrame, products: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    tagged = tagged_lines(raw, products, order)
+    """Both sides of the lines, ranked and joined once: the tagged frame is written before it is split."""
+    tagged = checkpoint_table(tagged_lines(raw, products, order), "tagged_lines")
     clean = accepted(tagged).drop("is_duplicate").withColumn("arrived_late", arrived_late())
     return clean, rejected(tagged)
 

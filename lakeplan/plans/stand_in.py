@@ -202,7 +202,7 @@ class StandIn:
     def customers(self) -> DataFrame:
         n = lookup(self.customer, self.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         return n.select(
-            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name"),
+            F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("full_name"),
             F.concat(F.lit("CITY_"), F.col("c_nationkey").cast("string")).alias("city"),
             F.col("n_name").alias("state"), F.col("c_mktsegment").alias("loyalty_tier"), "c_acctbal")
 
@@ -217,7 +217,7 @@ class StandIn:
             "CAST(o_orderdate AS date) AS order_date",
             "CASE WHEN o_totalprice >= 2500 THEN o_custkey END AS store_id",
             "o_orderpriority AS channel_code",
-            "CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS customer_id",
+            "CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey AS string) END AS customer_id",
             "CASE WHEN o_totalprice >= 250000 THEN 'Credit' ELSE 'Cash' END AS payment_mode",
             "CASE WHEN o_totalprice > 499000 THEN 'Lost' WHEN o_orderstatus = 'P' THEN 'Cancelled' "
             "ELSE 'Delivered' END AS order_status")

@@ -17,15 +17,19 @@ from lakeplan.operators.expectations import Rule, accepted, rejected, tag
 from lakeplan.sources.readers import with_lineage
 from lakeplan.sources.writers import append_rows, folder_exists
 
+FILES_PER_BATCH = 10000
+
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
-                pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """File stream with lineage columns; ``pattern`` narrows the file names."""
-    reader = spark.readStream.schema(schema).format(fmt)
+                pattern: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """File stream with lineage columns; ``pattern`` narrows the file names.
+
+    A backlog is drained in several micro-batches of at most ``files_per_batch`` files, so a
+    first load does not become one batch and a lost driver repeats only the last one.
+    """
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
         reader = reader.option("header", True)
     return with_lineage(reader.load(path))

@@ -54,7 +54,7 @@ def test_exact_copies_without_a_total_order(spark):
     """A hot key of identical rows in many input tasks keeps exactly one row."""
     rows = spark.range(0, 4000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).alias("o"))
-    marked = mark_duplicates(rows, ["k"], [F.col("o")], salts=4)
+    marked = mark_duplicates(rows, ["k"], [F.col("o")])
     counts = marked.groupBy("is_duplicate").count().collect()
     got = {r["is_duplicate"]: r["count"] for r in counts}
     assert got == {False: 1 + 2666, True: 1334 - 1}
