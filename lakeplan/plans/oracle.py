@@ -330,7 +330,7 @@ CTES: dict[str, str] = {
         0.7::DOUBLE * topdown + 0.3::DOUBLE * seasonal_naive AS c_topdown_snaive,
         0.7::DOUBLE * (direct + topdown) / 2 + 0.3::DOUBLE * seasonal_naive AS c_combined_snaive,
         seasonal_naive AS c_seasonal_naive FROM s_cand""",
-    "s_long": """SELECT sku_id, zone, category, base_product, kind, cutoff, week_start, actual,
+    "s_long": """SELECT sku_id, zone, category, base_product, kind, cutoff, week_start, actual, direct, topdown, seasonal_naive,
         unnest(['direct', 'topdown', 'combined', 'direct+snaive', 'topdown+snaive', 'combined+snaive', 'seasonal_naive']) AS candidate,
         unnest([c_direct, c_topdown, c_combined, c_direct_snaive, c_topdown_snaive, c_combined_snaive, c_seasonal_naive]) AS fc
         FROM s_blend""",
@@ -343,9 +343,7 @@ CTES: dict[str, str] = {
     "s_board": """SELECT 'sku x zone x week' AS level, candidate, wape, candidate IN (SELECT candidate FROM s_champion) AS is_champion
         FROM s_wape_child UNION ALL SELECT 'base product x zone x week', candidate, wape,
         candidate IN (SELECT candidate FROM s_champion) FROM s_wape_parent""",
-    "s_scored": """SELECT l.*, c.direct, c.topdown, c.seasonal_naive FROM s_long l JOIN s_champion USING (candidate)
-        JOIN s_cand c ON c.sku_id = l.sku_id AND c.zone = l.zone AND c.kind = l.kind AND c.cutoff = l.cutoff
-        AND c.week_start = l.week_start""",
+    "s_scored": "SELECT * FROM s_long WHERE candidate = (SELECT candidate FROM s_champion)",
     "s_bands": """SELECT category, zone, quantile_disc(actual / fc, 0.1) AS q_lo, quantile_disc(actual / fc, 0.9) AS q_hi
         FROM s_scored WHERE kind = 'backtest' AND fc > 0.5 GROUP BY ALL""",
     "s_final": """SELECT s.*, fc * coalesce(b.q_lo, 0.6) AS lower, fc * coalesce(b.q_hi, 1.4) AS upper
