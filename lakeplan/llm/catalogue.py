@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeplan.llm import byte_bpe, common, packing, token_counts
+from lakeplan.llm import byte_bpe, common, exact_dedup, language, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir))
+
+
+@query("op7_exact_dedup", r"""
+    WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+    SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
+    FROM d WINDOW g AS (PARTITION BY text_sha256)""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.decisions(common.documents(spark, sf_dir))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(common.documents(spark, sf_dir), common.labels(spark, sf_dir))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(common.documents(spark, sf_dir), common.labels(spark, sf_dir))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(common.documents(spark, sf_dir))

@@ -72,3 +72,40 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def worker_threads() -> None:
     """Keep native libraries inside a task on one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def train_once(rows: DataFrame, train: Callable[[list[pa.RecordBatch]], bytes]) -> bytes:
+    """Fit a model on a bounded sample in one task; only the model comes back."""
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([train(list(batches))], pa.binary())], names=["model"])
+
+    return bytes(map_arrow(rows.repartition(1), run, "model binary").collect()[0].model)
+
+
+def labelled_rows(docs: DataFrame, marks: DataFrame, label: str, per_class: int, folds: int = 5) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of at most ``per_class`` training rows of each label value, and the counts of all training rows by value.
+
+    Rows whose fold is 0 are held out. ``docs`` and ``marks`` share doc_id; ids and labels are sampled, then joined to texts.
+    """
+    known = (marks.filter(F.col(label).isin(0, 1)).filter(crc_fold(folds=folds) != 0)
+             .select("doc_id", F.col(label).cast("int").alias("label")).distinct())
+    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [bounded_sample(known.filter(F.col("label") == v), per_class) for v in (0, 1)]
+    picked = parts[0].unionByName(parts[1])
+    return docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text"), counts
+
+
+def logistic(x, y, weight, steps: int = 50, ridge: float = 1e-3):
+    """Weighted logistic regression by Newton steps; x has the constant column first."""
+    import numpy as np
+
+    beta = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        gradient = x.T @ (weight * (y - p)) - ridge * beta
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
+        step = np.linalg.solve(hessian, gradient)
+        beta += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta
