@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeplan.llm import byte_bpe, common, exact_dedup, language, packing, quality, token_counts, toxicity
+from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(common.documents(spark, sf_dir))
+
+
+@query("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(common.documents(spark, sf_dir))
