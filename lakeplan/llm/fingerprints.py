@@ -3,7 +3,7 @@
 Every shingle (five words, lower case) is hashed once. The leading eight bits of a hash name its bin, and each bin keeps its
 smallest hash: in a sorted array these are the first elements of the bins. An empty bin takes the value of the first
 non-empty bin on a walk of its own through all bins (optimal densification), so bins stay independent. The lowest four bits
-of the 256 bins are packed into 16 longs and shown as hexadecimal text. Two fingerprints agree in a share m of their bins;
+of the 256 bins, each value mixed with its bin's number so that chance hits of borrowed values stay independent, are packed into 16 longs and shown as hexadecimal text. Two fingerprints agree in a share m of their bins;
 as unequal values agree in four bits by chance once in 16, the likeness is (m - 1/16) / (15/16), at least 0.
 
 Defined results: NULL text counts as empty; texts without words have the fingerprint '' and a likeness of 1 to each other
@@ -49,7 +49,7 @@ def packed_minhash(text: str, words: int = SHINGLE_WORDS, bin_bits: int = BIN_BI
     low = (1 << low_bits) - 1
     packed = (f"transform(sequence(0, {bins // per_long - 1}), q -> aggregate(slice(e, q * {per_long} + 1, {per_long}), 0L, "
               f"(acc, x) -> shiftleft(acc, {low_bits}) | (x & {low})))")
-    body = let(filled, "e", packed)
+    body = let(f"transform({filled}, (x, j) -> xxhash64(x, j))", "e", packed)
     for value, name in ((spread, "d"), (smallest, "f"), (f"sort_array({shingles})", "s"),
                         (rf"transform(split(t, r'{common.SPACE}'), w -> xxhash64(w))", "h")):
         body = let(value, name, body)
