@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, packing, quality, token_counts, toxicity
+from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, ngram_join, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(common.documents(spark, sf_dir))
+
+
+@query("op10_ngram_jaccard_join", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+          ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+    SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(common.documents(spark, sf_dir))

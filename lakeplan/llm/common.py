@@ -109,3 +109,28 @@ def logistic(x, y, weight, steps: int = 50, ridge: float = 1e-3):
         if np.abs(step).max() < 1e-8:
             break
     return beta
+
+
+BITMAP_BITS = 1 << 23
+
+
+def bitmap(ids: DataFrame, key: str) -> DataFrame:
+    """(word, bits): a bitmap of fixed size over the hashes of ``ids``; at most BITMAP_BITS / 64 rows, so it may be broadcast."""
+    at = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))
+    one = F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({key}), {BITMAP_BITS}) % 64 AS INT))")
+    return ids.select(F.floor(at / 64).cast("int").alias("__word"), one.alias("one")).groupBy("__word").agg(F.bit_or("one").alias("__bits"))
+
+
+def flagged(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` with __maybe: false only where ``key`` is certainly not in ``ids``; spares rows a shuffle, decides nothing."""
+    at = f"pmod(xxhash64({key}), {BITMAP_BITS})"
+    known = df.withColumn("__word", F.expr(f"CAST(floor({at} / 64) AS INT)")).join(F.broadcast(bitmap(ids, key)), "__word", "left")
+    hit = F.expr(f"coalesce((shiftrightunsigned(__bits, CAST({at} % 64 AS INT)) & 1) = 1, false)")
+    return known.withColumn("__maybe", hit).drop("__word", "__bits")
+
+
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids``(key); only rows that the bitmap cannot clear are shuffled."""
+    known = flagged(df, ids, key)
+    rest = known.filter("__maybe").join(ids.select(key).distinct(), key, "left_anti")
+    return known.filter("NOT __maybe").unionByName(rest).select(*[F.col(f"`{c}`") for c in df.columns])
