@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, ngram_join, packing, quality, token_counts, toxicity
+from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, line_dedup, ngram_join, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(common.documents(spark, sf_dir))
+
+
+@query("op4_line_dedup", r"""
+    WITH l AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS position FROM documents),
+    k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM l),
+    b AS (SELECT bare FROM k WHERE length(bare) >= 20 GROUP BY bare HAVING count(DISTINCT source) >= 5),
+    m AS (SELECT k.*, b.bare IS NOT NULL AS removed FROM k LEFT JOIN b USING (bare)),
+    c AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+                 coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (NOT removed), '') AS clean FROM m GROUP BY doc_id)
+    SELECT doc_id, n_lines, n_removed, length(clean) AS clean_chars, sha256(clean) AS clean_sha256 FROM c""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.without_boilerplate(common.documents(spark, sf_dir).select("doc_id", "text", "source"))
+    whole = common.whole_text()
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length(whole).cast("long").alias("clean_chars"), F.sha2(whole, 256).alias("clean_sha256"))

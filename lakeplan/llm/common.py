@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeplan.session import checkpoint_table
 
@@ -134,3 +135,18 @@ def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     known = flagged(df, ids, key)
     rest = known.filter("__maybe").join(ids.select(key).distinct(), key, "left_anti")
     return known.filter("NOT __maybe").unionByName(rest).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def append_columns(df: DataFrame, make: Callable[[], Callable[[list], dict[str, list]]], inputs: list[str], added: dict[str, tuple[pa.DataType, str]]) -> DataFrame:
+    """``df`` with further columns computed by ``make()`` once per task from ``inputs``; its own columns pass through."""
+    kept = df.columns
+
+    def run(batches):
+        score = make()
+        for batch in batches:
+            got = score(*[batch.column(kept.index(c)) for c in inputs])
+            arrays = [*batch.columns, *(pa.array(got[c], type=t) for c, (t, _) in added.items())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added])
+
+    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T._parse_datatype_string(kind)) for c, (_, kind) in added.items())])
+    return map_arrow(df, run, schema)

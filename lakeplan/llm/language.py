@@ -163,20 +163,23 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes:
     return common.train_once(counts, learn)
 
 
-def predictions(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for each row of docs(doc_id, lang, text)."""
+def with_language(docs: DataFrame, lang_column: str, score_column: str, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` with the predicted language and its score as further columns."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs.select("doc_id", "lang", "text"), sample_rows))
 
     def make():
         predict = Predictor(pickle.loads(model.value))
 
-        def score(ids, held, texts):
+        def score(texts):
             found = [predict(t) for t in texts.to_pylist()]
-            return {"doc_id": ids, "held_out": held, "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+            return {lang_column: [f[0] for f in found], score_column: [f[1] for f in found]}
         return score
 
+    return common.append_columns(docs, make, ["text"], {lang_column: (pa.string(), "string"), score_column: (pa.float64(), "double")})
+
+
+def predictions(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) for each row of docs(doc_id, lang, text)."""
     held = F.coalesce(common.crc_fold(folds=FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, "text")
-    kinds = {"doc_id": pa.int64(), "held_out": pa.bool_(), "lang_pred": pa.string(), "score": pa.float64()}
-    return common.map_arrow(rows, common.per_row(make, ["doc_id", "held_out", "text"], kinds),
-                            "doc_id long, held_out boolean, lang_pred string, score double")
+    scored = with_language(docs.select("doc_id", "lang", "text"), "lang_pred", "score", sample_rows)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held, "lang_pred", "score")

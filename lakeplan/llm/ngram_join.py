@@ -373,3 +373,12 @@ def near_components(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id"
     whole = sets.join(named, "set_id", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(own, F.lit(LAST_ID)).alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, join: Join, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are the smallest id of their component, with their own columns."""
+    found = near_components(docs, join, doc_id, text)
+    others = found.filter("component_id <> doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
+    dropped = common.written(others.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id")), "dropped")
+    kept = common.without(docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))), dropped, "__id")
+    return kept.drop("__id")

@@ -169,8 +169,8 @@ def fit(rows: list[tuple[int, int, list[int]]], counts: dict[int, int]) -> bytes
     return pickle.dumps(machine)
 
 
-def scores(docs: DataFrame, marks: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of ``docs``."""
+def with_score(docs: DataFrame, marks: DataFrame, column: str, label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
+    """``docs`` with its toxicity score as a further column."""
     sample, counts = common.labelled_rows(docs.select("doc_id", "text"), marks, label, per_class)
 
     def hashed():
@@ -189,14 +189,13 @@ def scores(docs: DataFrame, marks: DataFrame, label: str = "toxic", threshold: f
 
     def make():
         machine, terms = pickle.loads(model.value), Terms()
+        return lambda texts: {column: machine.probability(np.array([machine.margin(machine.known(terms.of(t or ""))) for t in texts.to_pylist()]))}
+
+    return common.append_columns(docs, make, ["text"], {column: (pa.float64(), "double")})
 
-        def score(ids, held, texts):
-            margin = np.array([machine.margin(machine.known(terms.of(t or ""))) for t in texts.to_pylist()])
-            p = machine.probability(margin)
-            return {"doc_id": ids, "held_out": held, "score": p, "predicted": (p >= threshold).astype("int32")}
-        return score
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(common.crc_fold() == 0, F.lit(False)).alias("held_out"), "text")
-    kinds = {"doc_id": pa.int64(), "held_out": pa.bool_(), "score": pa.float64(), "predicted": pa.int32()}
-    return common.map_arrow(rows, common.per_row(make, ["doc_id", "held_out", "text"], kinds),
-                            "doc_id long, held_out boolean, score double, predicted int")
+def scores(docs: DataFrame, marks: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each row of ``docs``."""
+    scored = with_score(docs.select("doc_id", "text"), marks, "score", label, per_class)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(common.crc_fold() == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
