@@ -80,7 +80,8 @@ def train_once(rows: DataFrame, train: Callable[[list[pa.RecordBatch]], bytes])
     def run(batches):
         yield pa.RecordBatch.from_arrays([pa.array([train(list(batches))], pa.binary())], names=["model"])
 
-    return bytes(map_arrow(rows.repartition(1), run, "model binary").collect()[0].model)
+    made = map_arrow(rows.repartition(1), run, "model binary").collect()
+    return bytes(made[0].model) if made else train([])
 
 
 def labelled_rows(docs: DataFrame, marks: DataFrame, label: str, per_class: int, folds: int = 5) -> tuple[DataFrame, dict[int, int]]:

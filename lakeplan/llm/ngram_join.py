@@ -376,9 +376,8 @@ def near_components(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id"
 
 
 def one_per_group(docs: DataFrame, join: Join, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the smallest id of their component, with their own columns."""
-    found = near_components(docs, join, doc_id, text)
-    others = found.filter("component_id <> doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    dropped = common.written(others.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id")), "dropped")
+    """The documents that are the smallest id of their component, with their own columns; rows without an id stay."""
+    others = near_components(docs, join, doc_id, text).filter("component_id <> doc_id")
+    dropped = common.written(others.select(F.col("doc_id").alias("__id")), "dropped")
     kept = common.without(docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))), dropped, "__id")
     return kept.drop("__id")
