@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeplan.session import measured
+
 ACCURACY = 100000
 
 
@@ -25,7 +27,7 @@ def calibrate(bt: DataFrame, groups: list[str], lo: float = 0.1, hi: float = 0.9
 def apply_bands(df: DataFrame, bands: DataFrame, groups: list[str], default: tuple[float, float]) -> DataFrame:
     """Lower and upper bound; groups without calibration get the default band."""
     return (
-        df.join(bands, groups, "left")
+        df.join(measured(bands, "bands"), groups, "left")
         .fillna({"q_lo": default[0], "q_hi": default[1]})
         .withColumns({"lower": F.col("fc") * F.col("q_lo"), "upper": F.col("fc") * F.col("q_hi")})
     )
@@ -38,6 +40,6 @@ def holdout_coverage(bt: DataFrame, groups: list[str]) -> DataFrame:
     bands = quantiles(usable.where(F.col("cutoff") < last), groups, "ratio", {"q_lo": 0.1, "q_hi": 0.9})
     inside = F.col("actual").between(F.col("fc") * F.col("q_lo"), F.col("fc") * F.col("q_hi"))
     return (
-        usable.where(F.col("cutoff") == last).join(bands, groups)
+        usable.where(F.col("cutoff") == last).join(measured(bands, "bands"), groups)
         .agg(F.avg(inside.cast("int")).alias("coverage"), F.count(F.lit(1)).alias("points"))
     )

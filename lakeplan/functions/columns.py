@@ -108,3 +108,9 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     half = lambda x: F.pow(F.sin(F.radians(x) / 2), F.lit(2.0))
     a = half(lat2 - lat1) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon2 - lon1)
     return F.lit(EARTH_DIAMETER_KM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+
+
+def md5_bucket(buckets: int, *key: str) -> Column:
+    """Bucket of a key by a hash that other engines have too, so that they can check it."""
+    head = F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key])), 1, 8)
+    return F.pmod(F.conv(head, 16, 10).cast("long"), F.lit(buckets)).cast("int")

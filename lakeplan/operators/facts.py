@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeplan.functions.columns import date_key, in_band, money
 from lakeplan.operators.joins import exists_flag, lookup, monthly_lookup
 
+# The pack bands of the retail model.
 PACK_BANDS = [(50, "Small (<=50g)"), (200, "Medium (100-200g)")]
 PACK_BAND_REST = "Bulk (500g-1kg)"
 
@@ -62,7 +63,7 @@ def price_columns(df: DataFrame) -> DataFrame:
 
 
 FACT_COLUMNS = [
-    "line_id", "order_id", "line_no", "order_date", "date_key", "sku_id", "category", "base_product", "base_code",
+    "line_id", "order_id", "line_no", "order_date", "order_ts", "date_key", "sku_id", "category", "base_product", "base_code",
     "store_id", "channel_code", "customer_id", "warehouse_id", "zone", "state", "city", "promo_code",
     "order_status", "payment_mode", "quantity", "volume_kg", "unit_mrp", "unit_price", "discount_pct",
     "gross_amount", "line_amount", "net_revenue", "tax_amount", "discount_amount", "cogs", "gross_margin",
@@ -77,7 +78,7 @@ def fact_sales_line(lines: DataFrame, orders: DataFrame, products: DataFrame, st
     The two large joins (order, returned lines) are plain equi-joins for adaptive
     execution to place and split; reference tables are broadcast only when small.
     """
-    heads = orders.select("order_id", "store_id", "channel_code", "customer_id", "order_status", "payment_mode")
+    heads = orders.select("order_id", "order_ts", "store_id", "channel_code", "customer_id", "order_status", "payment_mode")
     items = products.select("sku_id", "category", "base_product", "base_code", "pack_size", "tax_rate")
     places = stores.select("store_id", "warehouse_id", "zone", "state", "city")
     sold = lookup(lines.join(heads, "order_id"), items, "sku_id")
@@ -88,15 +89,12 @@ def fact_sales_line(lines: DataFrame, orders: DataFrame, products: DataFrame, st
 
 
 def orders_from_lines(fact: DataFrame) -> DataFrame:
-    """Order headers with basket measures.
-
-    Header columns are constant per order; as grouping keys they keep the aggregate hashed,
-    where a max over strings would sort.
-    """
-    header = ["store_id", "channel_code", "customer_id", "zone", "state", "city", "order_status", "payment_mode"]
+    """One row per order with basket measures; where its header rows differ, the largest value of each column."""
+    header = ["order_ts", "store_id", "channel_code", "customer_id", "zone", "state", "city", "order_status", "payment_mode"]
     return (
-        fact.groupBy("order_id", "order_date", *header)
+        fact.groupBy("order_id", "order_date")
         .agg(
+            *[F.max(c).alias(c) for c in header],
             F.count(F.lit(1)).alias("line_count"),
             F.sum("quantity").alias("units"),
             F.round(F.sum("volume_kg"), 3).alias("volume_kg"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeplan.functions.columns import great_circle_km, month_start
-from lakeplan.session import broadcast_if_small
+from lakeplan.session import broadcast_if_small, measured
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -59,10 +59,13 @@ def event_window_join(events: DataFrame, daily: DataFrame, event_day_start: str,
 
 def trailing_join(cutoffs: DataFrame, grid: DataFrame, weeks: int, cutoff: str = "cutoff",
                   week: str = "week_start") -> DataFrame:
-    """Grid rows of the ``weeks`` weeks up to and including each cutoff Monday."""
+    """Grid rows of the ``weeks`` weeks up to and including each cutoff Monday.
+
+    The weeks are few: they are written and measured, so that the grid is not shuffled on them.
+    """
     back = F.sequence(F.date_sub(F.col(cutoff), 7 * (weeks - 1)), F.col(cutoff), F.expr("INTERVAL 7 DAY"))
     spans = cutoffs.select(cutoff).distinct().withColumn(week, F.explode(back))
-    return grid.join(spans, week)
+    return grid.join(measured(spans, "weeks"), week)
 
 
 def grid_with(df: DataFrame, values: list, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeplan.operators.filters import matches
 from lakeplan.operators.joins import broadcast_if_small
 
 
@@ -53,25 +54,23 @@ class MetricView:
             raise KeyError(f"no dimension or measure named {name!r}") from None
 
     def _joined(self, exprs: list[str]) -> DataFrame:
-        """Source with only the joins whose alias occurs in the expressions."""
+        """Source with only the joins whose alias occurs in the expressions or in the view's own filter."""
         df = self.source.alias("source")
-        if self.where:
-            df = df.where(self.where)
+        exprs = [*exprs, self.where or ""]
         for alias, j in self.joins.items():
             if any(re.search(rf"\b{re.escape(alias)}\.", e) for e in exprs):
                 df = df.join(broadcast_if_small(j.df).alias(alias), F.expr(j.on), "left")
-        return df
+        return df.where(self.where) if self.where else df
 
     def query(self, dims: list[str], measures: list[str], where: dict[str, object] | None = None,
               order: list[Column | str] | None = None, limit: int | None = None) -> DataFrame:
-        """Measures by dimensions.  ``where`` maps a dimension to a value or a list of values."""
+        """Measures by dimensions.  ``where`` maps a dimension to a value, a list of values or a Range."""
         by = [self.find(n) for n in dims]
         what = [self.find(n) for n in measures]
         cond = {self.find(n).expr: v for n, v in (where or {}).items()}
         df = self._joined([f.expr for f in (*by, *what)] + list(cond))
         for expr, wanted in cond.items():
-            test = F.expr(expr).isin(wanted) if isinstance(wanted, (list, tuple)) else F.expr(expr) == wanted
-            df = df.where(test)
+            df = df.where(matches(F.expr(expr), wanted))
         out = df.groupBy(*[F.expr(f.expr).alias(n) for f, n in zip(by, dims)]).agg(
             *[F.expr(f.expr).alias(n) for f, n in zip(what, measures)])
         if order:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeplan.functions.columns import band
 from lakeplan.operators.windows import global_ntile
+from lakeplan.session import checkpoint_table
 
 
 def rfm_totals(orders: DataFrame, as_of: str) -> DataFrame:
@@ -21,6 +22,7 @@ def rfm_totals(orders: DataFrame, as_of: str) -> DataFrame:
 
 
 def rfm_segment():
+    # The segments and their bounds.
     r, f = F.col("r_score"), F.col("f_score")
     return band([
         ((r >= 4) & (f >= 4), "Champions"),
@@ -33,10 +35,11 @@ def rfm_segment():
 
 def rfm_scores(totals: DataFrame, key: str = "customer_id", tiles: int = 5) -> DataFrame:
     """Quintiles over the whole table (5 is best); ties are broken by the customer key."""
-    tie = F.col(key).asc()
-    scored = global_ntile(totals, tiles, [F.col("recency_days").desc(), tie], "r_score")
-    scored = global_ntile(scored, tiles, [F.col("frequency").asc(), tie], "f_score")
-    scored = global_ntile(scored, tiles, [F.col("monetary").asc(), tie], "m_score")
+    tie = F.col(key)
+    totals = checkpoint_table(totals, "rfm_totals")  # read once per score and once for the rows
+    scored = global_ntile(totals, tiles, [-F.col("recency_days"), tie], "r_score")
+    scored = global_ntile(scored, tiles, [F.col("frequency"), tie], "f_score")
+    scored = global_ntile(scored, tiles, [F.col("monetary"), tie], "m_score")
     return scored.withColumn("rfm_segment", rfm_segment())
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeplan.session import checkpoint_table
+from lakeplan.session import checkpoint_table, measured, null_safe
 
 
 def rolling(keys: list[str], order: str, rows: int) -> Window:
@@ -29,12 +29,12 @@ def running_sum(value: str, keys: list[str], order: str) -> Column:
 def share_of(df: DataFrame, value: str, keys: list[str], out: str = "share") -> DataFrame:
     """Each row's part of its group total.
 
-    The total is aggregated map-side and joined back, so a hot group is not gathered
-    into one task as a window would.
+    The total is aggregated map-side and its measured, small table is joined back, so a hot group
+    is not gathered into one task as a window would.  A NULL key is a group like any other.
     """
-    total = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    total = measured(df.groupBy(*keys).agg(F.sum(value).alias("_total")), "totals")
     part = F.coalesce(F.col(value) / F.nullif(F.col("_total").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return df.join(total, keys).withColumn(out, part).drop("_total")
+    return null_safe(df, total, keys).withColumn(out, part).drop("_total")
 
 
 def cumulative_intervals(df: DataFrame, share: str, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -70,34 +70,41 @@ def global_index(df: DataFrame, order: list[Column], out: str = "row_index", lab
     )
 
 
-def tile_of(index: Column, n: Column, k: int) -> Column:
-    """``ntile(k)`` of a 1-based position among ``n`` rows."""
-    small, extra = F.floor(n / k), n % k
-    head = extra * (small + 1)
-    return (
-        F.when(index <= head, F.ceil(index / (small + 1)))
-        .otherwise(extra + F.ceil((index - head) / F.greatest(small, F.lit(1))))
-        .cast("int")
-    )
+def tile_ends(n: int, k: int) -> list[int]:
+    """Positions of the last row of every tile of ``ntile(k)`` among ``n`` rows, but for the last tile."""
+    small, extra = divmod(n, k)
+    ends = [(i + 1) * small + min(i + 1, extra) for i in range(k)]
+    return sorted({e for e in ends if 0 < e < n})
 
 
 def global_ntile(df: DataFrame, k: int, order: list[Column], out: str) -> DataFrame:
-    """``ntile(k)`` over the whole table; equal to the bare window function, but distributed."""
-    indexed = global_index(df, order, "_idx", f"ntile_{out}")
-    n = indexed.agg(F.count(F.lit(1))).scalar()
-    return indexed.withColumn(out, tile_of(F.col("_idx"), n, k)).drop("_idx")
+    """``ntile(k)`` over the whole table, for an ascending order that tells all rows apart.
+
+    Only the ordering keys are sorted and written; the k - 1 keys that end a tile become literals,
+    against which every row is compared in one pass.  A descending number is given as its negative.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    indexed = global_index(df.select(key.alias("_key")), [F.col("_key")], "_idx", f"ntile_{out}")
+    ends = tile_ends(indexed.count(), k)
+    bounds = sorted((r["_idx"], r["_key"]) for r in indexed.where(F.col("_idx").isin(ends)).collect())
+    kinds = [f.dataType for f in indexed.schema["_key"].dataType.fields]
+    tile = F.lit(1)
+    for _, bound in bounds:
+        literal = F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(bound, kinds, strict=True))])
+        tile = tile + (key > literal).cast("int")
+    return df.withColumn(out, tile)
 
 
 def dense_index(df: DataFrame, keys: list[str], order: list[Column], out: str = "idx") -> DataFrame:
     """0-based position inside each group, for groups of any size.
 
     The keys lead the global order, so a group's rows are contiguous and its first
-    position is a map-side minimum.
+    position is a map-side minimum; that table is broadcast if it is measured to be small.
     """
     indexed = global_index(df, [F.col(k) for k in keys] + order, "_idx", "dense_index")
-    first = indexed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
+    first = measured(indexed.groupBy(*keys).agg(F.min("_idx").alias("_first")), "firsts")
     return (
-        indexed.join(first, keys)
+        null_safe(indexed, first, keys)
         .withColumn(out, F.col("_idx") - F.col("_first"))
         .drop("_idx", "_first")
     )

@@ -33,9 +33,9 @@ def agg3(s):
     return s.weekly
 
 
-@query("agg4_order_headers", "SELECT * FROM s_fact_orders")
+@query("agg4_order_headers", "SELECT * REPLACE (strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts) FROM s_fact_orders")
 def agg4(s):
-    return s.fact_orders
+    return s.fact_orders.withColumn("order_ts", F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("agg5_distinct_count", """SELECT sku_id, count(DISTINCT order_id) AS orders FROM s_raw_lines GROUP BY sku_id""")

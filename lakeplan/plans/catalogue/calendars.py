@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeplan.functions.calendar import dim_date, spine_of
-from lakeplan.functions.columns import in_season
+from lakeplan.functions.columns import in_season, md5_bucket
 from lakeplan.operators import demand as dm
 from lakeplan.operators.windows import share_of
 from lakeplan.plans.catalogue import query
@@ -111,12 +111,23 @@ def cal6(s):
     return share_of(units, "units", ["zone"], "p").select("zone", "base_product", "p")
 
 
-@query("cal7_bucket_allocate")
+LAID = {
+    "s_mix": """SELECT zone, base_product, units / CAST(sum(units) OVER (PARTITION BY zone) AS DOUBLE) AS share
+        FROM (SELECT zone, base_product, sum(units) AS units FROM s_daily GROUP BY ALL)""",
+    "s_laid": """SELECT *, round(sum(share) OVER w, 12) AS hi, round(sum(share) OVER w - share, 12) AS lo FROM s_mix
+        WINDOW w AS (PARTITION BY zone ORDER BY base_product ROWS UNBOUNDED PRECEDING)""",
+}
+
+
+@query("cal7_bucket_allocate", """SELECT o.order_id, o.zone, l.base_product FROM (SELECT order_id, zone,
+        (('0x' || left(md5(CAST(order_id AS VARCHAR)), 8))::BIGINT % 4000 + 0.5) / 4000::DOUBLE AS point FROM s_fact_orders) o
+    LEFT JOIN s_laid l ON o.zone = l.zone AND point >= lo AND point < hi""", LAID)
 def cal7(s):
-    """Every order gets a product in proportion to its zone's mix; the hash has no SQL twin."""
+    """Every order gets a product in proportion to its zone's mix."""
     units = s.daily.groupBy("zone", "base_product").agg(F.sum("units").alias("units"))
     mix = share_of(units, "units", ["zone"]).select("zone", "base_product", "share")
-    return dm.bucket_allocate(s.fact_orders.select("order_id", "zone"), mix, ["zone"], "base_product", "share", ["order_id"])
+    return dm.bucket_allocate(s.fact_orders.select("order_id", "zone"), mix, ["zone"], "base_product", "share", ["order_id"],
+                              bucket_of=md5_bucket)
 
 
 REVISION_SQL = "(VALUES " + ", ".join(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakeplan.functions.columns import ratio, week_start
+from lakeplan.functions.columns import md5_bucket, ratio, week_start
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import R, month, week
 
@@ -76,10 +76,11 @@ def fn5(s):
                       F.array_join("names", " / ").alias("both_names"), F.coalesce(codes[F.col("c_mktsegment")], F.lit(0)).alias("mapped"))
 
 
-@query("fn6_hash_spread")
+@query("fn6_hash_spread", """SELECT CAST(('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 8))::BIGINT % 16 AS INTEGER) AS bucket,
+    count(*) AS orders FROM orders GROUP BY 1""")
 def fn6(s):
-    """Rows per hash bucket of the order key; checked as an invariant, since SQL has no twin."""
-    bucket = F.pmod(F.xxhash64("o_orderkey"), F.lit(16)).alias("bucket")
+    """Rows per hash bucket of the order key, by a hash that other engines have too."""
+    bucket = md5_bucket(16, "o_orderkey").alias("bucket")
     return s.orders_tbl.groupBy(bucket).agg(F.count(F.lit(1)).alias("orders"))
 
 

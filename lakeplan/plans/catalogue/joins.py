@@ -146,8 +146,8 @@ def jon16(s):
         F.count(F.lit(1)).alias("orders"))
 
 
-@query("jon17_sales_fact", "SELECT * FROM s_fact")
+@query("jon17_sales_fact", "SELECT * REPLACE (strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts) FROM s_fact")
 def jon17(s):
-    return s.fact
+    return s.fact.withColumn("order_ts", F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss"))
 
 

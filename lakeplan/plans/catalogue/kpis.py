@@ -105,7 +105,7 @@ def sem5_state(s):
 
 @query("sem6_inventory_measures", f"""SELECT {month('a.snapshot_date')} AS month, w.warehouse_name AS warehouse, p.category,
     {measures_sql(STOCK)} FROM s_inv a JOIN s_warehouses w ON a.warehouse_id = w.warehouse_id
-    JOIN s_products p ON a.sku_id = p.sku_id GROUP BY ALL""")
+    LEFT JOIN s_products p ON a.sku_id = p.sku_id GROUP BY ALL""")
 def sem6(s):
     return ask(inventory_view(s), STOCK, ["month", "warehouse", "category"])
 

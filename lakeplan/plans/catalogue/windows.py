@@ -91,8 +91,8 @@ def win9(s):
     return out.select("zone", "base_product", F.round("cum_hi", 9).alias("cum_hi"), F.round("cum_lo", 9).alias("cum_lo"))
 
 
-@query("win10_winner_per_bucket", """SELECT zone, order_date, sku_id, units FROM (
-    SELECT zone, order_date, sku_id, sum(units) AS units FROM s_daily GROUP BY ALL)
+@query("win10_winner_per_bucket", f"""SELECT zone, order_date, sku_id, units FROM (
+    SELECT zone, order_date, sku_id, {B('sum(units)')} AS units FROM s_daily GROUP BY ALL)
     QUALIFY row_number() OVER (PARTITION BY zone, order_date ORDER BY units DESC, sku_id) = 1""")
 def win10(s):
     units = s.daily.groupBy("zone", "order_date", "sku_id").agg(F.sum("units").alias("units"))

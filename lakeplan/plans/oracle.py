@@ -175,9 +175,9 @@ CTES: dict[str, str] = {
         line_id, l_orderkey AS order_id, sku_id, ship_date AS return_date,
         CAST(CASE WHEN l_discount >= 0.1 THEN 0 ELSE qty END AS INTEGER) AS return_qty,
         CASE WHEN l_linestatus = 'F' THEN 'Damaged' ELSE 'Wrong item' END AS return_reason,
-        l_extendedprice AS refund_amount FROM s_line_base WHERE l_returnflag = 'R' AND ship_date >= order_date""",
+        l_extendedprice AS refund_amount FROM s_line_base WHERE l_returnflag = 'R'""",
     "s_returns": "SELECT * FROM s_raw_returns WHERE return_qty > 0",
-    "s_fact_base": """SELECT l.*, o.store_id, o.channel_code, o.customer_id, o.order_status, o.payment_mode,
+    "s_fact_base": """SELECT l.*, o.order_ts, o.store_id, o.channel_code, o.customer_id, o.order_status, o.payment_mode,
         p.category, p.base_product, p.base_code, p.pack_size, p.tax, s.warehouse_id, s.zone, s.state, s.city,
         CAST(round(line_amount * 100) AS BIGINT) AS a_c, CAST(round(unit_price * 100) AS BIGINT) AS p_c,
         CAST(quantity AS BIGINT) AS q, CAST(round(c.unit_cost * 100) AS BIGINT) AS c_c,
@@ -185,14 +185,14 @@ CTES: dict[str, str] = {
         FROM s_lines l JOIN s_orders o ON l.order_id = o.order_id JOIN s_products p ON l.sku_id = p.sku_id
         JOIN s_stores s ON o.store_id = s.store_id
         LEFT JOIN s_costs c ON c.sku_id = l.sku_id AND c.month = date_trunc('month', l.order_date)""",
-    "s_fact": f"""SELECT line_id, order_id, line_no, order_date, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key,
+    "s_fact": f"""SELECT line_id, order_id, line_no, order_date, order_ts, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key,
         sku_id, category, base_product, base_code, store_id, channel_code, customer_id, warehouse_id, zone, state, city,
         promo_code, order_status, payment_mode, quantity, {R('q * pack_size / 1000.0', 3)} AS volume_kg, unit_mrp,
         unit_price, discount_pct, q * p_c / 100.0 AS gross_amount, line_amount, {I('a_c * 100', '100 + tax')} AS net_revenue,
         {I('a_c * tax', '100 + tax')} AS tax_amount, {I('q * p_c * disc_c', '100 + tax')} AS discount_amount,
         q * c_c / 100.0 AS cogs, {I('a_c * 100 - q * c_c * (100 + tax)', '100 + tax')} AS gross_margin, is_returned
         FROM s_fact_base""",
-    "s_fact_orders": f"""SELECT order_id, order_date, max(store_id) AS store_id, max(channel_code) AS channel_code,
+    "s_fact_orders": f"""SELECT order_id, order_date, max(order_ts) AS order_ts, max(store_id) AS store_id, max(channel_code) AS channel_code,
         max(customer_id) AS customer_id, max(zone) AS zone, max(state) AS state, max(city) AS city,
         max(order_status) AS order_status, max(payment_mode) AS payment_mode, count(*) AS line_count,
         {B('sum(quantity)')} AS units, {S('volume_kg', 3)}, {S('net_revenue')}, {S('gross_margin')},
@@ -251,7 +251,7 @@ CTES: dict[str, str] = {
         {B("coalesce(sum(qty) FILTER (l_returnflag = 'A' AND l_tax <= 0.06), 0)")} AS receipts_units,
         {B("coalesce(sum(qty) FILTER (l_returnflag = 'N'), 0)")} AS demand_units,
         {B("coalesce(sum(qty) FILTER (l_returnflag = 'N' AND l_discount < 0.09), 0)")} AS shipped_units
-        FROM s_line_base JOIN s_site ON l_suppkey = s_suppkey WHERE p_size <= 45 AND l_returnflag IN ('A', 'N')
+        FROM s_line_base JOIN s_site ON l_suppkey = s_suppkey WHERE l_returnflag IN ('A', 'N')
         GROUP BY ALL""",
     "s_ledger": f"""SELECT *, closing_units - receipts_units + shipped_units AS opening_units FROM (
         SELECT *, {B('200 + sum(receipts_units - shipped_units) OVER (PARTITION BY warehouse_id, sku_id ORDER BY snapshot_date ROWS UNBOUNDED PRECEDING)')}
@@ -274,15 +274,16 @@ CTES: dict[str, str] = {
     "s_pos": f"""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS po_id,
         order_date AS po_date, l_suppkey AS supplier_id, warehouse_id, l.sku_id, qty AS ordered_units,
         {B('(qty * (100 - disc_c)) // 100')} AS received_units, l_extendedprice AS po_value,
-        order_date + 30 AS expected_date, CASE WHEN l_tax < 0.07 THEN ship_date END AS received_date,
+        order_date + 30 AS expected_date, received_date,
         CASE WHEN l_linestatus = 'F' THEN 'A' ELSE 'B' END AS quality_grade, s.supplier_name, s.supplier_tier,
         p.base_product, p.category,
-        CAST(CASE WHEN l_tax < 0.07 THEN ship_date END - order_date AS INTEGER) AS actual_lead_days,
-        CAST(CASE WHEN l_tax < 0.07 THEN ship_date END - (order_date + 30) AS INTEGER) AS delay_days,
+        CAST(received_date - order_date AS INTEGER) AS actual_lead_days,
+        CAST(received_date - (order_date + 30) AS INTEGER) AS delay_days,
         {R('(qty * (100 - disc_c)) // 100 / qty', 3)} AS fill_rate
-        FROM s_line_base l JOIN s_site ON l_suppkey = s_suppkey LEFT JOIN s_suppliers s ON l_suppkey = s.supplier_id
-        LEFT JOIN s_products p ON l.sku_id = p.sku_id WHERE l_returnflag = 'A' AND p_size <= 45
-        AND ship_date >= order_date AND ship_date <= order_date + 120 AND qty > 0""",
+        FROM (SELECT *, CASE WHEN l_tax < 0.07 THEN order_date + CAST((ship_date - order_date) % 60 AS INTEGER) END
+        AS received_date FROM s_line_base WHERE l_returnflag = 'A' AND ship_date >= order_date AND qty > 0) l
+        JOIN s_site ON l_suppkey = s_suppkey LEFT JOIN s_suppliers s ON l_suppkey = s.supplier_id
+        LEFT JOIN s_products p ON l.sku_id = p.sku_id""",
     "s_dq": """SELECT 'sales_lines' AS source_table, dq_reason, count(*) AS rows FROM s_rejected GROUP BY ALL
         UNION ALL SELECT 'orders', dq_reason, count(*) FROM s_rejected_orders GROUP BY ALL
         UNION ALL SELECT 'sales_lines', 'late-arriving (accepted)', count(*) FROM s_lines WHERE arrived_late

@@ -267,7 +267,7 @@ class StandIn:
 
     @cached_property
     def raw_returns(self) -> DataFrame:
-        return self.line_base.where("l_returnflag = 'R' AND ship_date >= order_date").selectExpr(
+        return self.line_base.where("l_returnflag = 'R'").selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS return_id", "line_id",
             "l_orderkey AS order_id", "sku_id", "ship_date AS return_date",
             "CASE WHEN l_discount >= 0.1 THEN 0 ELSE CAST(l_quantity AS int) END AS return_qty",
@@ -280,8 +280,8 @@ class StandIn:
 
     @cached_property
     def movements(self) -> DataFrame:
-        """Daily receipts, demand and shipments per warehouse and SKU, from the known-SKU lines."""
-        moved = lookup(self.line_base.where("p_size <= 45"), self.supplier_site.withColumnRenamed("s_suppkey", "l_suppkey"),
+        """Daily receipts, demand and shipments per warehouse and SKU, unknown SKUs included."""
+        moved = lookup(self.line_base, self.supplier_site.withColumnRenamed("s_suppkey", "l_suppkey"),
                        "l_suppkey")
         qty = F.col("l_quantity").cast("long")
         part = lambda c: F.coalesce(F.sum(F.when(F.expr(c), qty)), F.lit(0))
@@ -310,15 +310,15 @@ class StandIn:
 
     @cached_property
     def raw_pos(self) -> DataFrame:
-        near = self.line_base.where(
-            "l_returnflag = 'A' AND p_size <= 45 AND ship_date >= order_date AND ship_date <= date_add(order_date, 120)")
-        sited = lookup(near, self.supplier_site.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+        """Lines with flag 'A' shipped on or after their order date; lead times are folded into 60 days."""
+        bought = self.line_base.where("l_returnflag = 'A' AND ship_date >= order_date")
+        sited = lookup(bought, self.supplier_site.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
         return sited.selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS po_id", "order_date AS po_date",
             "l_suppkey AS supplier_id", "warehouse_id", "sku_id", "CAST(l_quantity AS bigint) AS ordered_units",
             "CAST(floor(CAST(l_quantity AS decimal(4,0)) * (1 - CAST(l_discount AS decimal(5,4)))) AS bigint) AS received_units",
             "l_extendedprice AS po_value", "date_add(order_date, 30) AS expected_date",
-            "CASE WHEN l_tax < 0.07 THEN ship_date END AS received_date",
+            "CASE WHEN l_tax < 0.07 THEN date_add(order_date, pmod(datediff(ship_date, order_date), 60)) END AS received_date",
             "CASE WHEN l_linestatus = 'F' THEN 'A' ELSE 'B' END AS quality_grade")
 
     @cached_property

@@ -1,6 +1,7 @@
 """Calendar, joins, windows, lift and reorder on hand-computed rows."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import Window
@@ -14,9 +15,11 @@ from lakeplan.operators import quality as ql
 from lakeplan.operators import reorder as ro
 from lakeplan.operators import windows as wn
 from lakeplan.operators.facts import fact_sales_line
+from lakeplan.operators.filters import Range, apply_filters
 from lakeplan.operators.inventory import inventory_daily, ledger, policy_levels
 from lakeplan.operators.lift import event_uplift, promotion_lift
 from lakeplan.operators.metrics import Field, MetricView, ViewJoin
+from lakeplan.session import broadcast_if_small, checkpoint_table, shared_dir, stages
 
 D = dt.date
 
@@ -38,7 +41,7 @@ def test_calendar_traps(spark):
 def test_global_ntile_equals_ntile(spark, n):
     df = spark.range(n).select("id", (F.col("id") * 7919 % 13).alias("v")).repartition(6)
     order = [F.col("v").desc(), F.col("id").asc()]
-    got = {r.id: r.t for r in wn.global_ntile(df, 5, order, "t").collect()}
+    got = {r.id: r.t for r in wn.global_ntile(df, 5, [-F.col("v"), F.col("id")], "t").collect()}
     want = {r.id: r.t for r in df.select("id", F.ntile(5).over(Window.orderBy(*order)).alias("t")).collect()}
     assert got == want
 
@@ -49,6 +52,62 @@ def test_dense_index_of_a_hot_group(spark):
     assert all(r.idx == (r.id if r.z == "hot" else r.id - 1500) for r in rows) and len(rows) == 2000
 
 
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 3.0), (None, 3, 4.0), (None, 4, 4.0)], "z string, i int, v double")
+    shares = wn.share_of(df, "v", ["z"])
+    assert {r.i: r.share for r in shares.collect()} == {1: 0.25, 2: 0.75, 3: 0.5, 4: 0.5}
+    assert "BroadcastHashJoin" in shares._jdf.queryExecution().executedPlan().toString()
+    assert {r.i: r.idx for r in wn.dense_index(df, ["z"], [F.col("i")]).collect()} == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
+def test_exploded_frames_are_not_hinted(spark):
+    small = spark.range(10)
+    assert "ResolvedHint" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
+    exploded = small.withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(400_000))))
+    assert "ResolvedHint" not in broadcast_if_small(exploded)._jdf.queryExecution().analyzed().toString()
+
+
+def test_shared_folder_is_demanded_off_local_masters(spark, monkeypatch):
+    class Other:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "x"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_dir(Other)
+
+
+def test_stages_are_removed_at_the_end(spark):
+    with stages(spark):
+        table = checkpoint_table(spark.range(3), "gone")
+        path = table.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_range_filters(spark):
+    df = spark.range(10).withColumn("day", F.expr("date_add(DATE'2024-01-01', CAST(id AS int))"))
+    pick = lambda **w: [r.id for r in apply_filters(df, w).orderBy("id").collect()]
+    assert pick(day=Range(D(2024, 1, 3), D(2024, 1, 5))) == [2, 3, 4]
+    assert pick(id=Range(low=8)) == [8, 9] and pick(id=Range(high=0)) == [0] and len(pick(id=Range())) == 10
+    view = MetricView(df, [Field("day", "source.day")], [Field("n", "count(1)")])
+    assert view.query([], ["n"], {"day": Range(high=D(2024, 1, 4))}).first().n == 4
+
+
+def test_view_filter_may_use_a_join(spark):
+    facts, dim = spark.sql("SELECT id % 3 AS k FROM range(9)"), spark.sql("SELECT * FROM VALUES (0, 'a'), (1, 'b'), (2, 'a') t(k, g)")
+    view = MetricView(facts, [], [Field("n", "count(1)")], {"dim": ViewJoin(dim, "source.k = dim.k")}, where="dim.g = 'a'")
+    assert view.query([], ["n"]).first().n == 6
+
+
+def test_buckets_belong_to_the_interval_of_their_point(spark):
+    shares = spark.createDataFrame([("z", "a", 0.5), ("z", "b", 0.25), ("z", "c", 0.25)], "zone string, p string, s double")
+    rows = dm.bucket_table(shares, ["zone"], "p", "s", 6).orderBy("bucket").collect()
+    assert [(r.bucket, r.p) for r in rows] == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, "c")]
+
+
 def test_event_uplift_uses_fixed_divisors_and_promotion_uses_present_days(spark):
     daily = spark.sql("""SELECT * FROM VALUES
         (DATE'2024-03-10', 'C', 'Z', 100.0D, 1.0D), (DATE'2024-03-05', 'C', 'Z', 50.0D, 2.0D),
