@@ -29,5 +29,7 @@ class PlanConfig:
     default_lead_days: int = 14
     default_lead_weeks: float = 2.0
     band_default: tuple[float, float] = (0.6, 1.4)
+    event_history_days: int = 60
+    price_factor: float = 0.7
     reject_limit: float = 0.01
     reconcile_limit: float = 0.0001

@@ -56,11 +56,30 @@ def compare_models(forecast: DataFrame, baseline: DataFrame, keys: list[str]) ->
 RUN_SCHEMA = "run_name string, logged_at timestamp, params map<string,string>, metrics map<string,double>"
 
 
-def log_run(spark: SparkSession, path: str, name: str, params: dict, metrics: DataFrame) -> None:
-    """Append one row: the parameters and the columns of a one-row metrics frame."""
-    pairs = [x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))]
+def run_board(board: DataFrame) -> DataFrame:
+    """One row: the champion's name, and the WAPE of every candidate at every level."""
+    name = F.concat_ws(": ", "level", "candidate")
+    return board.agg(F.max(F.when(F.col("is_champion"), F.col("candidate"))).alias("champion"),
+                     F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, F.col("wape").cast("double"))))).alias("wapes"))
+
+
+def log_run(spark: SparkSession, path: str, name: str, params: dict, metrics: DataFrame, board: DataFrame | None = None,
+            *more: DataFrame) -> None:
+    """Append one row: the parameters and the columns of one-row metrics frames.
+
+    ``board`` (see :func:`run_board`) adds the champion and every candidate's WAPE.
+    """
+    rows = metrics
+    for other in more:
+        rows = rows.crossJoin(other)  # one row each
+    pairs = [x for c in rows.columns for x in (F.lit(c), F.col(f"`{c}`").cast("double"))]
     settings = [x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]
+    chosen, measured = F.create_map(*settings), F.create_map(*pairs)
+    if board is not None:
+        rows = rows.crossJoin(board)
+        chosen = F.map_concat(chosen, F.create_map(F.lit("champion"), F.col("champion")))
+        measured = F.map_concat(measured, F.col("wapes"))
     append_rows(
-        metrics.select(F.lit(name).alias("run_name"), F.current_timestamp().alias("logged_at"),
-                       F.create_map(*settings).alias("params"), F.create_map(*pairs).alias("metrics")),
+        rows.select(F.lit(name).alias("run_name"), F.current_timestamp().alias("logged_at"),
+                    chosen.alias("params"), measured.alias("metrics")),
         path)

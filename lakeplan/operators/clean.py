@@ -18,6 +18,14 @@ def conform(df: DataFrame, types: dict[str, str], keep: list[str] | None = None)
     return df.select(*cols, *(keep or []))
 
 
+RAW = "_raw"
+
+
+def with_raw(df: DataFrame) -> DataFrame:
+    """Carry each row as it came, for the quarantine."""
+    return df.withColumn(RAW, F.struct(*df.columns))
+
+
 def standardise_column(df: DataFrame, column: str, mapping: dict[str, str], flag: str) -> DataFrame:
     """Replace known misspellings and flag every value that changed, whitespace included."""
     clean = standardise(column, mapping)

@@ -53,6 +53,11 @@ def rejected(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(REASON).isNotNull())
 
 
+def as_received(tagged: DataFrame, raw: str = "_raw") -> DataFrame:
+    """Rejected rows with the values and lineage they arrived with, and the reason."""
+    return rejected(tagged).select(f"{raw}.*", REASON)
+
+
 def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected-with-reason)."""
     tagged = tag(df, rules)

@@ -105,7 +105,7 @@ def reorder(horizon: DataFrame, stock: DataFrame, open_po: DataFrame, variabilit
         F.greatest(F.lit(0.0), F.round(need, 0)).alias("recommended_order_units"),
         band([(cover < lead, "High"), (cover < lead + 2, "Medium")], "Low").alias("stockout_risk"),
         F.date_add(d(cfg.as_of), (7 * cover).try_cast("int")).alias("projected_stockout_date"),
-        F.round(F.col("fc_next_4w") * F.col("mrp") * 0.7 / (1 + F.col("tax_rate").cast("double")), 0)
+        F.round(F.col("fc_next_4w") * F.col("mrp") * cfg.price_factor / (1 + F.col("tax_rate").cast("double")), 0)
         .alias("forecast_revenue_4w"),
         d(cfg.as_of).alias("as_of_date"),
     )

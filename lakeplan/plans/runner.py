@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeplan.config import PlanConfig
-from lakeplan.forecast.accuracy import log_run, run_summary
+from lakeplan.forecast.accuracy import log_run, run_board, run_summary
+from lakeplan.forecast.conformal import holdout_coverage
 from lakeplan.forecast.grid import weekly_grid
 from lakeplan.forecast.models import ets_baseline
 from lakeplan.forecast.run import run_forecast
@@ -20,16 +21,18 @@ from lakeplan.functions.calendar import date_spine, dim_date
 from lakeplan.operators import aggregates as ag
 from lakeplan.operators import facts as fx
 from lakeplan.operators import quality as ql
-from lakeplan.operators.clean import conform
-from lakeplan.operators.expectations import keep_valid
+from lakeplan.operators.clean import RAW, conform, with_raw
+from lakeplan.operators.expectations import Rule, accepted, as_received, rule_metrics, tag
 from lakeplan.operators.inventory import inventory_daily, inventory_weekly
+from lakeplan.operators.joins import lookup
 from lakeplan.operators.lift import event_uplift, promotion_lift
 from lakeplan.operators.reorder import reorder_plan
 from lakeplan.operators.rfm import customer_rfm
 from lakeplan.plans import kpi, silver
+from lakeplan.session import stages
 from lakeplan.sources.readers import read_snapshot
-from lakeplan.sources.writers import write_clustered
-from lakeplan.streaming.ingest import Refresh, expect_stream, ingest_stream
+from lakeplan.sources.writers import folder_exists, write_clustered
+from lakeplan.streaming.ingest import FILES_PER_BATCH, Refresh, expect_stream, ingest_stream
 
 STREAM_FEEDS = ["orders", "sales_lines", "returns", "inventory", "purchase_orders", "customers"]
 JSON_FEEDS = ["stores", "promotions"]
@@ -43,13 +46,17 @@ CLUSTERING = {
 }
 
 
-def ddl(feed: str, as_text: bool = False) -> str:
-    cols = dict(silver.SCHEMAS[feed])
+def ddl(feed: str, as_text: bool = False, raw_types: dict[str, dict[str, str]] | None = None) -> str:
+    """Columns of a landing feed: text for CSV and JSON, else the silver types unless ``raw_types`` names others."""
+    cols = {**silver.SCHEMAS[feed], **(raw_types or {}).get(feed, {})}
     if feed in ("sales_lines", "inventory", "orders"):
         cols["batch"] = "string"
     return ", ".join(f"{c} {'string' if as_text else t}" for c, t in cols.items())
 
 
+LINEAGE = "_source_file string, _ingest_ts timestamp"
+
+
 @dataclass
 class Lake:
     """Tables of all layers below one root folder."""
@@ -72,49 +79,86 @@ class Lake:
         return self.spark.read.parquet(self.path(layer, name))
 
 
-def bronze(lake: Lake, landing: str, full: bool = False) -> int:
-    """Ingest new stream files and re-read the snapshots; returns the refresh version."""
+def bronze(lake: Lake, landing: str, full: bool = False, raw_types: dict | None = None) -> int:
+    """Ingest new stream files and re-read the snapshots; returns the refresh version.
+
+    A feed that has not delivered yet has no folder and is left for a later run.
+    """
     refresh = Refresh(lake.spark, lake.path("bronze", "streams"))
     version = refresh.begin(full)
     for feed in STREAM_FEEDS:
         out, ckpt = refresh.paths(feed, version)
-        ingest_stream(lake.spark, f"{landing}/{feed}", ddl(feed), out, ckpt)
+        if folder_exists(lake.spark, f"{landing}/{feed}"):
+            ingest_stream(lake.spark, f"{landing}/{feed}", ddl(feed, raw_types=raw_types), out, ckpt)
     for fmt, feeds in (("json", JSON_FEEDS), ("csv", CSV_FEEDS)):
         for feed in feeds:
             lake.save("bronze", feed, read_snapshot(lake.spark, f"{landing}/{feed}", fmt, ddl(feed, as_text=True)))
     return version
 
 
-def raw(lake: Lake, feed: str, version: int) -> DataFrame:
+def raw(lake: Lake, feed: str, version: int, raw_types: dict | None = None) -> DataFrame:
     out, _ = Refresh(lake.spark, lake.path("bronze", "streams")).paths(feed, version)
-    return lake.spark.read.parquet(out)
+    schema = f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"
+    if not folder_exists(lake.spark, out):
+        return lake.spark.createDataFrame([], schema)
+    return lake.spark.read.schema(schema).parquet(out)
+
+
+def typed(feed: str, rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return conform(with_raw(rows), silver.SCHEMAS[feed], [RAW, *keep])
+
 
+def save_split(lake: Lake, feed: str, rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Save a snapshot feed and its quarantine; gives the accepted rows."""
+    tagged = tag(rows, rules)
+    if rules:
+        lake.save("silver", f"{feed}_quarantine", as_received(tagged))
+    return lake.save("silver", feed, accepted(tagged).drop(RAW))
 
-def silver_layer(lake: Lake, version: int, zones: list[str] | None = None) -> None:
+
+def silver_layer(lake: Lake, version: int, zones: list[str] | None = None, spellings: dict[str, str] | None = None,
+                 raw_types: dict | None = None) -> None:
+    """Typed, checked tables; whatever a rule drops goes to a quarantine with its raw values."""
     spark = lake.spark
+    counted = []
     for feed in [f for f in CSV_FEEDS if f != "geography"] + ["promotions"]:
-        lake.save("silver", feed, silver.silver(feed, lake.table("bronze", feed)))
-    geo = conform(lake.table("bronze", "geography"), silver.SCHEMAS["geography"])
-    geo = lake.save("silver", "geography", keep_valid(geo, [silver.zone_rule(zones or silver.ZONES)]))
-    stores = conform(lake.table("bronze", "stores"), silver.SCHEMAS["stores"])
-    lake.save("silver", "stores", silver.silver_stores(stores, geo, silver.STATE_SPELLINGS))
-    customers = silver.silver_customers(raw(lake, "customers", version), ties=[F.xxhash64("full_name", "city").asc()])
-    lake.save("silver", "customers", conform(customers, silver.SCHEMAS["customers"]))
+        save_split(lake, feed, typed(feed, lake.table("bronze", feed)), silver.RULES.get(feed, []))
+    geo = save_split(lake, "geography", typed("geography", lake.table("bronze", "geography")), [silver.zone_rule(zones or silver.ZONES)])
+    stores = silver.located_stores(typed("stores", lake.table("bronze", "stores")), geo, spellings or silver.STATE_SPELLINGS)
+    save_split(lake, "stores", stores, silver.RULES["stores"])
+    counted += [("stores", stores, silver.RULES["stores"])]
+    customers = typed("customers", raw(lake, "customers", version, raw_types), ("_ingest_ts",))
+    tagged = tag(customers, silver.RULES["customers"])
+    lake.save("silver", "customers_quarantine", as_received(tagged))
+    newest = silver.silver_customers(accepted(tagged).drop(RAW), ties=[F.xxhash64(*silver.SCHEMAS["customers"]).asc()])
+    lake.save("silver", "customers", newest.select(*silver.SCHEMAS["customers"]))
     refresh = Refresh(spark, lake.path("silver", "streams"))
     for feed in STREAMED_SILVER:
         source, _ = Refresh(spark, lake.path("bronze", "streams")).paths(feed, version)
         out, ckpt = refresh.paths(feed, version)
-        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-        typed = conform(stream, silver.SCHEMAS[feed])
-        if feed == "orders":
-            typed = typed.withColumn("order_date", F.to_date("order_ts"))
-        expect_stream(typed, silver.RULES[feed], f"{out}/clean", f"{out}/quarantine", ckpt)
-    lines = raw(lake, "sales_lines", version)
+        if folder_exists(spark, source):
+            schema = f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(source)
+            expect_stream(checked(feed, stream), silver.RULES[feed], f"{out}/clean", f"{out}/quarantine", ckpt)
+        if not folder_exists(spark, f"{out}/clean"):
+            nothing = tag(checked(feed, raw(lake, feed, version, raw_types).limit(0)), silver.RULES[feed])
+            accepted(nothing).drop(RAW).write.parquet(f"{out}/clean/batch_id=-1")
+            as_received(nothing).write.parquet(f"{out}/quarantine/batch_id=-1")
+    lines = typed("sales_lines", raw(lake, "sales_lines", version, raw_types), ("_ingest_ts", "_source_file", "batch"))
     order = [F.col("_ingest_ts").asc(), F.col("_source_file").asc(), F.col("batch").asc(),
              F.xxhash64(*silver.SCHEMAS["sales_lines"]).asc()]
-    clean, rejected = silver.clean_and_rejected(lines, lake.table("silver", "products"), order)
+    clean, refused = silver.clean_and_rejected(lines, lake.table("silver", "products"), order)
     lake.save("silver", "sales_lines", clean)
-    lake.save("silver", "sales_lines_quarantine", rejected)
+    lake.save("silver", "sales_lines_quarantine", refused)
+    lake.save("silver", "rule_metrics", ql.union_all([
+        rule_metrics(df, rules).select(F.lit(name).alias("source_table"), "*") for name, df, rules in counted]))
+
+
+def checked(feed: str, rows: DataFrame) -> DataFrame:
+    """Typed rows of a streamed feed, as its rules read them."""
+    if feed == "orders":
+        return typed(feed, rows, ("_ingest_ts",)).withColumn("order_date", F.to_date("order_ts"))
+    return typed(feed, rows)
 
 
 def streamed(lake: Lake, feed: str, version: int, side: str = "clean") -> DataFrame:
@@ -145,14 +189,17 @@ def gold_layer(lake: Lake, version: int, cfg: PlanConfig) -> None:
     g("agg_sales_monthly", ag.sales_monthly(fact, calendar))
     g("agg_sales_weekly", ag.sales_weekly(daily))
     g("agg_promo_effectiveness", promotion_lift(s("promotions"), daily, as_of=cfg.as_of))
+    first_day = F.date_add(daily.agg(F.min("order_date")).scalar(), cfg.event_history_days)
     g("agg_event_uplift", event_uplift(
-        s("events").where(F.col("event_date") <= F.lit(cfg.as_of).cast("date")), daily,
+        s("events").where(F.col("event_date").between(first_day, F.lit(cfg.as_of).cast("date"))), daily,
         ["zone", "base_product", "category"]))
     g("agg_customer_rfm", customer_rfm(heads, customers, cfg.as_of, ["zone", "city", "loyalty_tier", "age_band", "gender"]))
     g("agg_inventory_weekly", inventory_weekly(inv, products))
     g("agg_margin_monthly", ag.margin_monthly(fact, s("material_prices")))
+    rejects = [(f, s(f"{f}_quarantine")) for f in ("sales_lines", "geography", "products", "stores", "customers")]
+    rejects += [(f, streamed(lake, f, version, "quarantine")) for f in STREAMED_SILVER]
     g("dq_summary", ql.dq_summary(
-        [("sales_lines", s("sales_lines_quarantine")), ("orders", streamed(lake, "orders", version, "quarantine"))],
+        rejects,
         [("sales_lines", "late-arriving (accepted)", s("sales_lines"), "arrived_late"),
          ("stores", "state name corrected (accepted)", s("stores"), "state_was_corrected")]))
 
@@ -170,10 +217,12 @@ def planning(lake: Lake, cfg: PlanConfig, first_week: str) -> None:
     lake.save("ml", "reorder_recommendation", reorder_plan(
         lake.table("ml", "demand_forecast"), g("fact_sales_line"), g("fact_inventory_daily"), g("fact_purchase_orders"),
         products, g("dim_warehouse"), cfg, first_week))
+    bt = lookup(lake.table("ml", "forecast_backtest").withColumn("fc", F.col("forecast_units")), products.select("sku_id", "category"), "sku_id")
     log_run(lake.spark, lake.path("ml", "runs"), "demand_forecast",
             {"horizon_weeks": cfg.horizon_weeks, "folds": cfg.folds, "naive_weight": cfg.naive_weight,
              "trained_through": cfg.last_full_week},
-            run_summary(lake.table("ml", "forecast_accuracy"), lake.table("ml", "forecast_backtest")))
+            run_summary(lake.table("ml", "forecast_accuracy"), lake.table("ml", "forecast_backtest")),
+            run_board(lake.table("ml", "forecast_model_comparison")), holdout_coverage(bt, ["category", "zone"]))
 
 
 def quality_gate(lake: Lake, version: int, cfg: PlanConfig, enforce: bool = True) -> DataFrame:
@@ -184,19 +233,23 @@ def quality_gate(lake: Lake, version: int, cfg: PlanConfig, enforce: bool = True
         g("dq_summary"), raw(lake, "sales_lines", version), g("fact_sales_line"), g("dim_product"), g("dim_store"),
         g("agg_sales_daily"), view.query([], ["net_revenue"]), lake.table("ml", "demand_forecast"), cfg.as_of,
         cfg.reject_limit, cfg.reconcile_limit, cfg.horizon_weeks))
+    lake.save("gold", "alerts", ql.alerts(
+        lake.table("ml", "reorder_recommendation"), lake.table("ml", "forecast_backtest"), g("dq_summary"),
+        raw(lake, "sales_lines", version), max_reject=cfg.reject_limit))
     if enforce:
         ql.enforce(status).write.format("noop").mode("overwrite").save()
     return status
 
 
 def run_end_to_end(spark: SparkSession, landing: str, root: str, cfg: PlanConfig, first_week: str,
-                   zones: list[str] | None = None, full: bool = False, enforce: bool = True) -> Lake:
+                   zones: list[str] | None = None, full: bool = False, enforce: bool = True,
+                   spellings: dict[str, str] | None = None, raw_types: dict | None = None) -> Lake:
+    """All layers; the scratch stages of the run are removed when it ends."""
     lake = Lake(spark, root)
-    version = bronze(lake, landing, full)
-    silver_layer(lake, version, zones)
-    gold_layer(lake, version, cfg)
-    planning(lake, cfg, first_week)
-    quality_gate(lake, version, cfg, enforce)
+    with stages(spark):
+        version = bronze(lake, landing, full, raw_types)
+        silver_layer(lake, version, zones, spellings, raw_types)
+        gold_layer(lake, version, cfg)
+        planning(lake, cfg, first_week)
+        quality_gate(lake, version, cfg, enforce)
     return lake
-
-

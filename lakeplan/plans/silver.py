@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeplan.operators.clean import arrived_late, conform, standardise_column
+from lakeplan.operators.clean import RAW, arrived_late, conform, standardise_column
 from lakeplan.operators.dedupe import first_per_key, latest_per_key, mark_duplicates
-from lakeplan.operators.expectations import Rule, accepted, keep_valid, rejected, tag
+from lakeplan.operators.expectations import Rule, accepted, as_received, keep_valid, rejected, tag
 from lakeplan.operators.joins import flag_known, lookup
 from lakeplan.session import checkpoint_table
 
@@ -24,7 +24,7 @@ STATE_SPELLINGS = {
     "Telengana": "Telangana", "Gujrat": "Gujarat",
 }
 
-# Column types of each silver entity.
+# The column names and types of each silver entity.
 SCHEMAS: dict[str, dict[str, str]] = {
     "geography": {
         "city_id": "string", "city": "string", "state": "string", "state_code": "string", "zone": "string",
@@ -118,10 +118,15 @@ def silver(entity: str, raw: DataFrame, keep: list[str] | None = None) -> DataFr
 
 
 def silver_stores(raw: DataFrame, geography: DataFrame, spellings: dict[str, str]) -> DataFrame:
-    """Standard state names, then zone and tier by city and state; unresolved states only warn."""
+    """Located stores that have a key; unresolved states only warn."""
+    return keep_valid(located_stores(raw, geography, spellings), RULES["stores"])
+
+
+def located_stores(raw: DataFrame, geography: DataFrame, spellings: dict[str, str]) -> DataFrame:
+    """Standard state names, then zone and tier by city and state."""
     named = standardise_column(raw, "state", spellings, "state_was_corrected")
     places = geography.select("city", "state", "zone", "tier", "city_id")
-    return keep_valid(lookup(named, places, ["city", "state"], "left"), RULES["stores"])
+    return lookup(named, places, ["city", "state"], "left")
 
 
 def silver_customers(raw: DataFrame, newest: str = "_ingest_ts", ties: list[Column] | None = None) -> DataFrame:
@@ -160,9 +165,12 @@ def tagged_lines(raw: DataFrame, products: DataFrame, order: list[Column], keys:
 
 
 def clean_and_rejected(raw: DataFrame, products: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the lines, ranked and joined once: the tagged frame is written before it is split."""
+    """Both sides of the lines, ranked and joined once: the tagged frame is written before it is split.
+
+    Lines that carry their raw rows are quarantined with them.
+    """
     tagged = checkpoint_table(tagged_lines(raw, products, order), "tagged_lines")
-    clean = accepted(tagged).drop("is_duplicate").withColumn("arrived_late", arrived_late())
-    return clean, rejected(tagged)
+    clean = accepted(tagged).drop("is_duplicate", RAW).withColumn("arrived_late", arrived_late())
+    return clean, as_received(tagged) if RAW in tagged.columns else rejected(tagged)
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lakeplan.operators.expectations import Rule, accepted, rejected, tag
+from lakeplan.operators.clean import RAW
+from lakeplan.operators.expectations import Rule, accepted, as_received, rejected, tag
 from lakeplan.sources.readers import with_lineage
 from lakeplan.sources.writers import append_rows, folder_exists
 
@@ -55,14 +56,15 @@ def ingest_stream(spark: SparkSession, path: str, schema: StructType | str, out:
 def expect_stream(df: DataFrame, rules: list[Rule], good: str, bad: str, checkpoint: str) -> StreamingQuery:
     """Split a stream into accepted and quarantined rows.
 
-    Each micro-batch overwrites its own ``batch_id`` folder, so a batch that is replayed
+    A frame that carries its raw rows (``with_raw``) is quarantined with them.  Each micro-batch overwrites its own ``batch_id`` folder, so a batch that is replayed
     after a lost driver replaces its rows instead of adding them again.
     """
     def split(batch: DataFrame, batch_id: int) -> None:
         tagged = tag(batch, rules).persist()
         try:
-            accepted(tagged).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
-            rejected(tagged).write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
+            accepted(tagged).drop(RAW).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
+            refused = as_received(tagged) if RAW in tagged.columns else rejected(tagged)
+            refused.write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
         finally:
             tagged.unpersist()
 
