@@ -45,15 +45,20 @@ def rollup_series(grid: DataFrame, parent: str, child: str = "sku_id") -> DataFr
     return children.unionByName(parents)
 
 
-def event_weeks(events: DataFrame, name: str = "event_name", day: str = "event_date") -> DataFrame:
-    """Weeks an event acts on: its own and the one before."""
-    both = F.explode(F.array(week_start(day), F.date_sub(week_start(day), 7)))
-    return events.select(F.col(name).alias("event_name"), both.alias("week_start")).distinct()
+def event_weeks(events: DataFrame, apart: bool = False, name: str = "event_name", day: str = "event_date") -> DataFrame:
+    """Weeks an event acts on: its own and the one before, under a name of its own with ``apart``."""
+    ahead = F.concat(F.col(name), F.lit(" (week before)")) if apart else F.col(name)
+    both = F.array(F.struct(F.col(name).alias("event_name"), week_start(day).alias("week_start")),
+                   F.struct(ahead.alias("event_name"), F.date_sub(week_start(day), 7).alias("week_start")))
+    return events.select(F.inline(both)).distinct()
 
 
-def with_events(grid: DataFrame, events: DataFrame) -> DataFrame:
-    """Add the sorted list of event names acting on each week."""
-    names = event_weeks(events).groupBy("week_start").agg(F.array_sort(F.collect_set("event_name")).alias("events"))
+def with_events(grid: DataFrame, events: DataFrame, apart: bool = False) -> DataFrame:
+    """Add the sorted list of event names acting on each week.
+
+    ``apart`` gives the week before an event a name of its own, so that a model can weigh it differently.
+    """
+    names = event_weeks(events, apart).groupBy("week_start").agg(F.array_sort(F.collect_set("event_name")).alias("events"))
     return grid.join(broadcast_if_small(names), "week_start", "left").withColumn(
         "events", F.coalesce("events", F.array().cast("array<string>")))
 

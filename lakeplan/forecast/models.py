@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from lakeplan.config import PlanConfig
 from lakeplan.forecast.grid import SERIES
 
+# The columns of the fitted table.
 FIT_SCHEMA = (
     "level string, series_key string, zone string, kind string, cutoff date, week_start date, "
     "actual double, yhat double, snaive double, model string"
@@ -112,19 +113,22 @@ def fit_series(grid: DataFrame, cfg: PlanConfig, partitions: int | None = None)
     return grid.repartition(n, *SERIES).groupBy(*SERIES).applyInPandas(series_forecaster(cfg), FIT_SCHEMA)
 
 
-def smooth(y: np.ndarray, alpha: float, beta: float, gamma: float, period: int):
-    """Additive exponential smoothing with damped trend; returns state and one-step errors."""
-    damp = 0.95
-    level, trend = y[:period].mean(), 0.0
-    season = y[:period] - level if gamma else np.zeros(period)
-    season = season.copy()
-    errors = np.empty(len(y))
-    for i, obs in enumerate(y):
+def smooth(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, gamma: np.ndarray, period: int):
+    """Additive exponential smoothing with damped trend, for all parameter sets at once.
+
+    Returns level and trend per set, season [set, period] and one-step errors [set, week].
+    """
+    damp, sets = 0.95, len(alpha)
+    level, trend = np.full(sets, y[:period].mean()), np.zeros(sets)
+    season = np.where(gamma[:, None] > 0, y[:period] - y[:period].mean(), 0.0)
+    errors = np.empty((sets, len(y)))
+    for i, seen in enumerate(y):
         s = i % period
-        errors[i] = obs - (level + damp * trend + season[s])
-        new = alpha * (obs - season[s]) + (1 - alpha) * (level + damp * trend)
+        ahead = level + damp * trend
+        errors[:, i] = seen - (ahead + season[:, s])
+        new = alpha * (seen - season[:, s]) + (1 - alpha) * ahead
         trend = beta * (new - level) + (1 - beta) * damp * trend
-        season[s] = gamma * (obs - new) + (1 - gamma) * season[s]
+        season[:, s] = gamma * (seen - new) + (1 - gamma) * season[:, s]
         level = new
     return level, trend, season, errors
 
@@ -133,14 +137,14 @@ def smoothing_forecast(y: np.ndarray, steps: int, z: float) -> tuple[np.ndarray,
     """Best of a small parameter set by squared one-step error, with a normal interval."""
     seasonal = len(y) >= 2 * YEAR
     period = YEAR if seasonal else max(1, min(4, len(y)))
-    choices = [(a, b, g) for a in (0.05, 0.2, 0.5) for b in (0.0, 0.05) for g in ((0.1, 0.3) if seasonal else (0.0,))]
-    fits = [(smooth(y, a, b, g, period), a) for a, b, g in choices]
+    grid = np.array([(a, b, g) for a in (0.05, 0.2, 0.5) for b in (0.0, 0.05) for g in ((0.1, 0.3) if seasonal else (0.0,))])
+    level, trend, season, errors = smooth(y, *grid.T, period)
     warm = period if len(y) > period else 0
-    (level, trend, season, errors), alpha = min(fits, key=lambda f: float(np.square(f[0][3][warm:]).sum()))
+    best = int(np.argmin(np.square(errors[:, warm:]).sum(axis=1)))
     h = np.arange(1, steps + 1)
     damped = np.cumsum(0.95 ** h)
-    mean = level + trend * damped + season[(len(y) + h - 1) % period]
-    sd = float(np.std(errors[warm:])) * np.sqrt(1 + (h - 1) * alpha ** 2)
+    mean = level[best] + trend[best] * damped + season[best, (len(y) + h - 1) % period]
+    sd = float(np.std(errors[best, warm:])) * np.sqrt(1 + (h - 1) * grid[best, 0] ** 2)
     return mean, mean - z * sd, mean + z * sd
 
 

@@ -41,7 +41,7 @@ def structural_forecasts(weekly: DataFrame, products: DataFrame, events: DataFra
     """The per-series model on child and parent level."""
     grid = weekly_grid(weekly, ["sku_id", "zone"], cfg.last_full_week, cfg.horizon_weeks + 1)
     named = lookup(grid, products.select("sku_id", "base_product"), "sku_id")
-    return fit_series(with_events(rollup_series(named, "base_product"), events), cfg)
+    return fit_series(with_events(rollup_series(named, "base_product"), events, apart=True), cfg)
 
 
 def candidate_table(raw: DataFrame, grid: DataFrame, products: DataFrame, cfg: PlanConfig) -> DataFrame:

@@ -1,5 +1,7 @@
 """Projection, filters, expectations and de-duplication (PRJ, FLT, EXP, DED)."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lakeplan.functions.calendar import season
@@ -9,7 +11,7 @@ from lakeplan.operators.clean import conform
 from lakeplan.operators.decisions import latest_decisions
 from lakeplan.operators.dedupe import argmax_per, dedupe, latest_per_key
 from lakeplan.operators.facts import dim_store
-from lakeplan.operators.filters import apply_filters
+from lakeplan.operators.filters import Range, apply_filters
 from lakeplan.plans import silver
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import AS_OF
@@ -109,6 +111,13 @@ def flt3(s):
     return picked.groupBy("zone", "channel_code").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query("flt3_date_range", """SELECT zone, count(*) AS lines FROM s_fact WHERE order_date BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'
+    AND quantity >= 10 GROUP BY ALL""")
+def flt3_range(s):
+    picked = apply_filters(s.fact, {"order_date": Range(dt.date(1996, 1, 1), dt.date(1996, 6, 30)), "quantity": Range(low=10)})
+    return picked.groupBy("zone").agg(F.count(F.lit(1)).alias("lines"))
+
+
 LINE_COLUMNS = ["line_id", "order_id", "line_no", "order_date", "sku_id", "quantity", "unit_price", "line_amount",
                 "batch", "arrived_late"]
 

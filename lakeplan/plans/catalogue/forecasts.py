@@ -14,6 +14,13 @@ from lakeplan.plans.stand_in import CFG
 from lakeplan.session import checkpoint_table
 
 
+def structural_plan(s):
+    """The planning tables on the structural model; both stages are read several times."""
+    raw = checkpoint_table(structural_forecasts(s.saved_weekly, s.products, s.events, CFG), "forecast_raw")
+    cand = checkpoint_table(candidate_table(raw, s.grid, s.products, CFG), "candidates")
+    return plan_from_candidates(cand, s.products, CFG)
+
+
 def shown(df, **digits):
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -59,19 +66,50 @@ def fc6(s):
     return s.raw_forecasts.select(*gr.SERIES, "kind", "cutoff", "week_start", "recent_mean", "is_short")
 
 
-@query("fc7_structural_fit")
+FIT_SQL = """SELECT level, series_key, zone, kind, cutoff, week_start, actual, {0} AS snaive, CASE WHEN is_short THEN 'recent_mean'
+    ELSE 'structural' END AS model, CASE WHEN is_short THEN {1} END AS short_forecast, true AS bounded FROM s_raw_fc""".format(
+    R("snaive", 6), R("recent_mean", 6))
+
+
+def fit_checks(fit):
+    """What SQL can say of the per-series models: all keys and labels, the naive and short-series values, and bounds."""
+    short = F.when(F.col("model") == "recent_mean", F.round("yhat", 6))
+    return fit.select(*gr.SERIES, "kind", "cutoff", "week_start", "actual", F.round("snaive", 6).alias("snaive"), "model",
+                      short.alias("short_forecast"), F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("bounded"))
+
+
+@query("fc7_structural_fit", FIT_SQL)
 def fc7(s):
-    """The per-series model on both levels; values are checked by invariants."""
-    return structural_forecasts(s.saved_weekly, s.products, s.events, CFG)
+    """The per-series model on both levels."""
+    return fit_checks(structural_forecasts(s.saved_weekly, s.products, s.events, CFG))
+
 
+@query("fc7_structural_leaderboard", """SELECT level, candidate, true AS measured FROM (VALUES ('sku x zone x week'),
+    ('base product x zone x week')) l(level), (VALUES ('direct'), ('topdown'), ('combined'), ('direct+snaive'), ('topdown+snaive'),
+    ('combined+snaive'), ('seasonal_naive')) n(candidate)""")
+def fc7_board(s):
+    """Every candidate's WAPE on the structural model; the values have no SQL twin, but each must be there."""
+    board = structural_plan(s).comparison
+    return board.select("level", "candidate", F.coalesce(F.col("wape") >= 0, F.lit(False)).alias("measured"))
 
-@query("udf1_grouped_map")
+
+@query("udf2_one_pass_two_outputs", """SELECT kind, level, count(*) AS rows, count(actual) AS actuals, count(DISTINCT (series_key, zone))
+    AS series FROM s_raw_fc GROUP BY ALL""")
+def udf2(s):
+    """Backtests and forecast come tagged from one pass over the series and are split afterwards."""
+    fit = checkpoint_table(structural_forecasts(s.saved_weekly, s.products, s.events, CFG), "tagged_fit")
+    sides = [fit.where(F.col("kind") == k) for k in ("backtest", "forecast")]
+    return sides[0].unionByName(sides[1]).groupBy("kind", "level").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("actual").alias("actuals"), F.countDistinct("series_key", "zone").alias("series"))
+
+
+@query("udf1_grouped_map", FIT_SQL + " WHERE level = 'sku'")
 def udf1(s):
     """Grouped pandas over the child series only: one call per series."""
     grid = gr.weekly_grid(s.saved_weekly, ["sku_id", "zone"], CFG.last_full_week, CFG.horizon_weeks + 1)
     child = grid.select(F.lit("sku").alias("level"), F.col("sku_id").alias("series_key"), "zone", "week_start", "units",
                         "promo_share")
-    return md.fit_series(gr.with_events(child, s.events), CFG)
+    return fit_checks(md.fit_series(gr.with_events(child, s.events, apart=True), CFG))
 
 
 @query("fc8_future_promo", "SELECT level, series_key, zone, kind, cutoff, week_start, "
@@ -150,16 +188,28 @@ def smoothed(s):
     return md.ets_baseline(grid, CFG.horizon_weeks + 1)
 
 
-@query("fc18_smoothing_baseline")
+def baseline_sql(level, weeks):
+    return f"""SELECT series_key, zone, CAST(last_week + 7 * i AS DATE) AS week_start, true AS bounded FROM (SELECT series_key, zone,
+        max(week_start) AS last_week FROM s_both WHERE level = '{level}' GROUP BY ALL), (SELECT CAST(unnest(generate_series(1, {weeks}))
+        AS INTEGER) AS i)"""
+
+
+def baseline_checks(df):
+    """All keys and weeks, and ordered bounds at or above zero."""
+    ordered = F.expr("forecast_lower >= 0 AND forecast_lower <= forecast_units AND forecast_units <= forecast_upper")
+    return df.select("series_key", "zone", "week_start", F.coalesce(ordered, F.lit(False)).alias("bounded"))
+
+
+@query("fc18_smoothing_baseline", baseline_sql("sku", CFG.horizon_weeks + 1))
 def fc18(s):
-    return smoothed(s)
+    return baseline_checks(smoothed(s))
 
 
-@query("udf4_table_function")
+@query("udf4_table_function", baseline_sql("base", CFG.horizon_weeks))
 def udf4(s):
     """The baseline as a function of a table, a horizon and an interval width."""
     parent = s.both_levels.where("level = 'base'")
-    return md.ets_baseline(parent, horizon=CFG.horizon_weeks, width=0.9)
+    return baseline_checks(md.ets_baseline(parent, horizon=CFG.horizon_weeks, width=0.9))
 
 
 @query("fc19_model_comparison", f"""SELECT f.week_start, f.zone, {R('sum(f.forecast_units)', 1)} AS champion_units,
@@ -189,10 +239,10 @@ def forecast_backtest(s):
     return s.plan.backtest
 
 
-@query("forecast_structural_champion")
+@query("forecast_structural_champion", """SELECT sku_id, zone, week_start, trained_through_week, seasonal_naive_units, true AS bounded
+    FROM s_forecast""")
 def structural_champion(s):
     """The published forecast on the structural model, the way a planning run makes it."""
-    raw = structural_forecasts(s.saved_weekly, s.products, s.events, CFG)
-    raw = checkpoint_table(raw, "forecast_raw")
-    cand = checkpoint_table(candidate_table(raw, s.grid, s.products, CFG), "candidates")
-    return plan_from_candidates(cand, s.products, CFG).forecast
+    ordered = F.expr("forecast_lower >= 0 AND forecast_lower <= forecast_upper AND forecast_units >= 0 AND model <> 'seasonal_naive'")
+    return structural_plan(s).forecast.select("sku_id", "zone", "week_start", "trained_through_week", "seasonal_naive_units",
+                                              F.coalesce(ordered, F.lit(False)).alias("bounded"))

@@ -1,8 +1,11 @@
 """Governed KPI views (SEM)."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lakeplan.plans import kpi, reports
+from lakeplan.operators.filters import Range
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import R, ratio, month
 from lakeplan.plans.stand_in import StandIn
@@ -72,6 +75,13 @@ def sem2(s):
     return ask(sales_view(s), SALES, ["season", "channel_group"], ["net_revenue", "units"], where={"zone": ["ASIA", "EUROPE"]})
 
 
+@query("sem2_month_range", f"""SELECT a.zone, {measures_sql(SALES, ['net_revenue'])} FROM s_daily a
+    JOIN s_dim_date d ON a.order_date = d.date WHERE d.month_start BETWEEN DATE '1996-01-01' AND DATE '1996-03-01' GROUP BY ALL""")
+def sem2_range(s):
+    months = Range(dt.date(1996, 1, 1), dt.date(1996, 3, 1))
+    return ask(sales_view(s), SALES, ["zone"], ["net_revenue"], where={"month": months})
+
+
 @query("sem3_join_pruning", f"SELECT a.zone, a.category, {measures_sql(SALES, ['gross_margin'])} FROM s_daily a GROUP BY ALL")
 def sem3(s):
     """Neither dimension table is read: no chosen name needs one."""

@@ -1,5 +1,7 @@
 """Sources, sinks and streams (SRC, SNK, STR)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeplan.functions.calendar import spine_of
@@ -8,7 +10,7 @@ from lakeplan.plans.catalogue import query
 from lakeplan.plans.stand_in import CHANNELS
 from lakeplan.session import checkpoint_table, scratch_path
 from lakeplan.sources import readers, writers
-from lakeplan.streaming.ingest import expect_stream, file_stream, ingest_stream
+from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, ingest_stream
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENT_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
@@ -182,3 +184,38 @@ def str5(s):
     return latest_per_key(ingested(s), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
 
 
+def through_table(s, frames, comment=None):
+    """Save frames one after the other under one new managed table; its rows and comment, and the table is gone again."""
+    name = f"lakeplan_{uuid.uuid4().hex}"
+    try:
+        for df in frames:
+            writers.save_table(df, name, comment)
+        note = s.spark.catalog.getTable(name).description
+        return checkpoint_table(s.spark.table(name).withColumn("note", F.lit(note)), "managed")
+    finally:
+        s.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query("snk4_managed_table", "SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS note FROM orders")
+def snk4(s):
+    """Saved twice; the second schema replaces the first."""
+    return through_table(s, [s.nation, s.orders_tbl.select("o_orderkey", "o_totalprice")])
+
+
+@query("snk5_table_comment", """SELECT c_custkey, 'customers'' keys \\ "all"' AS note FROM customer""")
+def snk5(s):
+    return through_table(s, [s.customer.select("c_custkey")], """customers' keys \\ "all\"""")
+
+
+@query("snk9_refresh_modes", "SELECT CAST(v AS INTEGER) AS version, event_type, count(*) AS n FROM events, (VALUES (1), (2)) r(v) GROUP BY ALL")
+def snk9(s):
+    """Two incremental runs share a version and its rows; a full refresh starts the next one."""
+    refresh, found = Refresh(s.spark, scratch_path(s.spark, "refresh")), {}
+    for full in (False, False, True):
+        version = refresh.begin(full)
+        out, ckpt = refresh.paths("events", version)
+        ingest_stream(s.spark, s.dir, s.events_tbl.schema, out, ckpt, pattern="events.parquet")
+        found[version] = out
+    rows = [s.spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(v).alias("version"), "event_type", "n")
+            for v, out in found.items()]
+    return rows[0].unionByName(rows[1])
