@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeplan.session import null_safe
+
 DUPLICATE = "is_duplicate"
+SALTS = 64
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -26,21 +29,23 @@ def latest_per_key(df: DataFrame, keys: list[str], newest: str, *ties: Column) -
 def mark_duplicates(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Flag every row but the first of its key, keeping all rows.
 
-    Two rounds keep a hot key out of a single task.  Round one ranks inside
-    (key, salt), the salt being the input task: it does not depend on the row, so exact
-    copies spread too, and no group outgrows one input split.  Round two ranks only the
-    round-one winners of a key (at most one per input task); the losers stay in their
-    salted group.
+    Keys are counted map-side; only rows of keys that occur more than once are ranked, the others
+    (nearly all) pass by.  Ranking takes two rounds, so that a hot key is not one task: round one
+    ranks inside (key, salt), the salt being the row's place in its input task, which spreads exact
+    copies and copies that a join has already brought together.  Round two ranks only the round-one
+    winners of a key (at most SALTS); the losers stay in their salted group.
     """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys, F.lit(True).alias("_repeated"))
+    tagged = null_safe(df.withColumn("_salt", F.monotonically_increasing_id() % SALTS), repeated, keys, "left")
     local = Window.partitionBy(*keys, "_salt").orderBy(*order)
     final = Window.partitionBy(*keys, "_grp").orderBy(F.col("_rn"), *order)
-    return (
-        df.withColumn("_salt", F.spark_partition_id())
-        .withColumn("_rn", F.row_number().over(local))
+    ranked = (
+        tagged.where("_repeated").withColumn("_rn", F.row_number().over(local))
         .withColumn("_grp", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_salt")))
         .withColumn(DUPLICATE, (F.col("_rn") > 1) | (F.row_number().over(final) > 1))
-        .drop("_salt", "_rn", "_grp")
     )
+    single = tagged.where("_repeated IS NULL").withColumn(DUPLICATE, F.lit(False))
+    return single.drop("_salt", "_repeated").unionByName(ranked.drop("_salt", "_repeated", "_rn", "_grp"))
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, DataFrame]:

@@ -155,6 +155,7 @@ def dq5(s):
     SELECT 'horizon', CAST(count(DISTINCT week_start) AS DOUBLE), 12.0, count(DISTINCT week_start) < 12 FROM s_forecast""")
 def dq6(s):
     """The status rows only; a breach is reported here and raised by ``enforce``."""
+    s.share("raw_lines", "fact")
     kpi = sales_view(s).query([], ["net_revenue"])
     return ql.gate(s.dq_summary, s.raw_lines, s.fact, s.products, s.stores, s.daily, kpi, s.plan.forecast, CFG.as_of)
 
@@ -171,6 +172,7 @@ def dq7(s):
     SELECT 'reject_rate', {R(REJECTS + ' / (SELECT count(*) FROM s_raw_lines)', 6)}, 0.01,
     {REJECTS} / (SELECT count(*) FROM s_raw_lines) > 0.01""")
 def dq8(s):
+    s.share("raw_lines")
     return ql.alerts(s.reorder, s.plan.backtest, s.dq_summary, s.raw_lines)
 
 

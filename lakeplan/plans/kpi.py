@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from lakeplan.operators.metrics import Field, MetricView, ViewJoin
 
 
+# Fixed values in the three views below: the names and synonyms that users of the KPI views ask by.
 def sales_metrics(daily: DataFrame, dim_date: DataFrame, dim_product: DataFrame) -> MetricView:
     return MetricView(
         comment="Sales: net revenue excludes tax, delivered orders only; day x SKU x zone x channel.",

@@ -80,6 +80,11 @@ class StandIn:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
+    def share(self, *layers: str) -> None:
+        """Write layers once that what follows reads more than once; later uses see the written rows."""
+        for name in layers:
+            self.__dict__[name] = checkpoint_table(getattr(self, name), name)
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
@@ -393,6 +398,7 @@ class StandIn:
 
     @cached_property
     def reorder(self) -> DataFrame:
+        self.share("fact", "inventory", "pos")
         return reorder_plan(self.plan.forecast, self.fact, self.inventory, self.pos, self.products, self.warehouses,
                             CFG, FIRST_FORECAST_WEEK, latest_stock=True)
 
