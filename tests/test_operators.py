@@ -129,7 +129,7 @@ def star(spark):
         ('L2', 'O1', 2, DATE'2024-02-05', 'S1', 1, 60.0D, 21.0D, 'X', 0.0D, 21.0D),
         ('L3', 'O9', 1, DATE'2024-01-05', 'S1', 1, 60.0D, 21.0D, 'X', 0.0D, 21.0D)
         t(line_id, order_id, line_no, order_date, sku_id, quantity, unit_mrp, unit_price, promo_code, discount_pct, line_amount)""")
-    orders = q("SELECT 'O1' AS order_id, 'T1' AS store_id, 'C' AS channel_code, 'K' AS customer_id, 'Delivered' AS order_status, 'Cash' AS payment_mode")
+    orders = q("SELECT 'O1' AS order_id, TIMESTAMP'2024-01-05 10:00:00' AS order_ts, 'T1' AS store_id, 'C' AS channel_code, 'K' AS customer_id, 'Delivered' AS order_status, 'Cash' AS payment_mode")
     products = q("SELECT 'S1' AS sku_id, 'cat' AS category, 'bp' AS base_product, 'b' AS base_code, 100 AS pack_size, 0.05D AS tax_rate")
     stores = q("SELECT 'T1' AS store_id, 'W1' AS warehouse_id, 'Z' AS zone, 'ST' AS state, 'CI' AS city")
     costs = q("SELECT 'S1' AS sku_id, DATE'2024-01-01' AS month, 10.0D AS unit_cost")
