@@ -15,6 +15,7 @@ repeat both id and text one stays; extra columns are ignored.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -197,7 +198,7 @@ def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns; digests decide, texts move once, by id."""
+    """The documents that stay, with their own columns; digests decide, and only texts whose id may be affected move."""
     own_id = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
     digest = F.sha2(normalised(text), 256)
     marked = common.written(docs.select(F.monotonically_increasing_id().alias("row"), own_id.alias("doc_id"),
@@ -207,6 +208,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
              .agg(F.first(F.col("keep_id") == F.col("doc_id")).alias("__stays"), F.count(F.lit(1)).alias("n"))
              .filter("not __stays or n > 1")
              .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"), "__stays"))
-    tagged = docs.withColumns({"__id": own_id, "__digest": digest}).join(known, ["__id", "__digest"], "left")
-    single, many = tagged.filter("__stays IS NULL"), tagged.filter("__stays").dropDuplicates(["__id", "__digest"])
-    return single.unionByName(many).select(*[F.col(f"`{c}`") for c in docs.columns])
+    known = common.written(known, "affected")
+    flagged = common.flagged(docs.withColumn("__id", own_id), known, "__id")
+    tagged = flagged.filter("__maybe").withColumn("__digest", digest).join(known, ["__id", "__digest"], "left")
+    kept = [flagged.filter("NOT __maybe"), tagged.filter("__stays IS NULL")]
+    if not known.filter("__stays").isEmpty():  # rows that repeat both id and text
+        kept.append(tagged.filter("__stays").dropDuplicates(["__id", "__digest"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in kept])
