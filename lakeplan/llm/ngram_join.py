@@ -14,8 +14,9 @@ spanning forest of its possible pairs; these are verified on the texts. Then the
 components, and only these, are verified as well, so the components are those of all links.
 
 Defined results: NULL and empty texts and texts without words have no shingles and are their own component; fewer words
-than a shingle make one shingle of all; a repeated id is one document for reachability; NULL ids come last and their
-component is NULL if they reach no other; extra columns are ignored. Sets are identified by 64-bit hashes.
+than a shingle make one shingle of all; the links join sets, and a component is named by the smallest id of its rows, NULL
+if none has one; rows with a repeated id are one document for reachability, rows without an id are not; extra columns are
+ignored. Sets are identified by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeplan.llm import common
@@ -36,7 +37,6 @@ BLOCK_MEMBERS = 512
 CACHE_WORDS = 400_000
 SEEN_SETS = 1_000_000
 LARGEST_SET = 1 << 40
-LAST_ID = (1 << 63) - 1
 
 MIX1, MIX2, MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -172,16 +172,21 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return rows
 
 
-def set_table(docs: DataFrame, join: Join) -> DataFrame:
-    """(doc_id, set_id, n) of every document."""
+def row_key(doc_id: str, text: str) -> Column:
+    """64-bit hash of a row's id and text."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
+
+
+def set_table(rows: DataFrame, join: Join) -> DataFrame:
+    """(doc_id, key, set_id, n) of every row."""
     def make():
-        def score(ids, texts):
+        def score(ids, keys, texts):
             sets = [shingle_set(t, join.words) for t in texts.to_pylist()]
-            return {"doc_id": ids, "set_id": [set_id(s) for s in sets], "n": [len(s) for s in sets]}
+            return {"doc_id": ids, "key": keys, "set_id": [set_id(s) for s in sets], "n": [len(s) for s in sets]}
         return score
 
-    kinds = {"doc_id": pa.int64(), "set_id": pa.int64(), "n": pa.int64()}
-    return common.map_arrow(docs, common.per_row(make, ["doc_id", "text"], kinds), "doc_id long, set_id long, n long")
+    kinds = {"doc_id": pa.int64(), "key": pa.int64(), "set_id": pa.int64(), "n": pa.int64()}
+    return common.map_arrow(rows, common.per_row(make, ["doc_id", "key", "text"], kinds), "doc_id long, key long, set_id long, n long")
 
 
 def signed_sets(docs: DataFrame, join: Join) -> DataFrame:
@@ -190,7 +195,7 @@ def signed_sets(docs: DataFrame, join: Join) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             found, owners = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(0).to_pylist():
                 shingles = shingle_set(text, join.words)
                 own = set_id(shingles)
                 if own in seen or not len(shingles):
@@ -207,7 +212,7 @@ def signed_sets(docs: DataFrame, join: Join) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners))], names=["signature", "set_id"])
 
-    return common.map_arrow(docs, run, "signature long, set_id long")
+    return common.map_arrow(docs.select("text"), run, "signature long, set_id long")
 
 
 def groups(signed: DataFrame) -> DataFrame:
@@ -259,19 +264,19 @@ def groups(signed: DataFrame) -> DataFrame:
     return runs.groupBy("group_id").agg(F.first("members").alias("members"))
 
 
-def members_table(docs: DataFrame, needed: DataFrame, join: Join) -> DataFrame:
-    """(set_id, doc_id, n, sketch, text) of the representatives ``needed``(doc_id)."""
-    known = common.flagged(docs, needed, "doc_id").filter("__maybe").drop("__maybe")
-    picked = known.join(needed.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+def members_table(rows: DataFrame, needed: DataFrame, join: Join) -> DataFrame:
+    """(set_id, n, sketch, text) of the sets of ``needed``(key), one row each."""
+    known = common.flagged(rows, needed, "key").filter("__maybe").drop("__maybe")
+    picked = known.join(needed.select("key").distinct(), "key", "left_semi").select("text")
 
     def make():
-        def score(ids, texts):
+        def score(texts):
             sets = [shingle_set(t, join.words) for t in texts.to_pylist()]
-            return {"set_id": [set_id(s) for s in sets], "doc_id": ids, "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": texts}
+            return {"set_id": [set_id(s) for s in sets], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": texts}
         return score
 
-    kinds = {"set_id": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "sketch": pa.binary(), "text": pa.string()}
-    return common.map_arrow(picked, common.per_row(make, ["doc_id", "text"], kinds), "set_id long, doc_id long, n long, sketch binary, text string")
+    kinds = {"set_id": pa.int64(), "n": pa.int64(), "sketch": pa.binary(), "text": pa.string()}
+    return common.map_arrow(picked, common.per_row(make, ["text"], kinds), "set_id long, n long, sketch binary, text string").dropDuplicates(["set_id"])
 
 
 def possible_pairs(rows: DataFrame, join: Join, all_pairs: bool) -> DataFrame:
@@ -325,10 +330,10 @@ def possible_pairs(rows: DataFrame, join: Join, all_pairs: bool) -> DataFrame:
 
 
 def verified(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
-    """(a, b, a_doc, b_doc, linked): each pair decided on its texts."""
-    left = members.select(F.col("set_id").alias("a"), F.col("doc_id").alias("a_doc"), F.col("text").alias("a_text"))
-    right = members.select(F.col("set_id").alias("b"), F.col("doc_id").alias("b_doc"), F.col("text").alias("b_text"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_doc", "b_doc", "a_text", "b_text")
+    """(a, b, linked): each pair decided on its texts."""
+    left = members.select(F.col("set_id").alias("a"), F.col("text").alias("a_text"))
+    right = members.select(F.col("set_id").alias("b"), F.col("text").alias("b_text"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
 
     def run(batches):
         for batch in batches:
@@ -340,44 +345,60 @@ def verified(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
                 return kept[own]
 
             linked = []
-            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5)), strict=True):
+            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 s, t = shingles(a, x), shingles(b, y)
                 common_n = len(np.intersect1d(s, t, assume_unique=True))
                 linked.append(join.similar(len(s) + len(t) - 2 * common_n, len(s) + len(t)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(linked, pa.bool_())], names=["a", "b", "a_doc", "b_doc", "linked"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    return common.map_arrow(both, run, "a long, b long, a_doc long, b_doc long, linked boolean")
+    return common.map_arrow(both, run, "a long, b long, linked boolean")
 
 
-def near_components(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col(text).alias("text"))
+def id_chains(sets: DataFrame) -> DataFrame:
+    """(a, b): the sets of rows with the same id, each with the smallest."""
+    known = sets.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "set_id")
+    span = known.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("last")).filter("a <> last").select("doc_id", "a")
+    repeated = common.written(span, "ids")
+    chained = common.flagged(known, repeated, "doc_id").filter("__maybe").join(repeated, "doc_id")
+    return chained.filter("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
+
+
+def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id) of each row of ``docs``."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     sets = common.written(set_table(rows, join), "sets")
-    classes = sets.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    classes = sets.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
     lists = common.written(groups(signed_sets(rows, join)), "groups")
     listed = lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"))
-    needed = common.written(listed.select("set_id").distinct().join(classes, "set_id").select(F.col("rep").alias("doc_id")), "needed")
+    needed = common.written(listed.select("set_id").distinct().join(classes, "set_id").select("key"), "needed")
     members = common.written(members_table(rows, needed, join), "members")
-    sketched = members.select("set_id", "n", "sketch", "doc_id")
+    sketched = members.select("set_id", "n", "sketch")
 
     first = listed.join(sketched, "set_id").withColumn("component", F.col("set_id"))
     tried = common.written(verified(possible_pairs(first, join, False), members, join), "pairs")
-    joined = components(tried.filter("linked"), "a_doc", "b_doc")
-    labelled = sketched.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    joined = components(tried.filter("linked"))
+    labelled = sketched.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     second = listed.filter("size > 2").join(labelled, "set_id")
     open_pairs = possible_pairs(second, join, True).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = common.written(verified(open_pairs, members, join).filter("linked"), "pairs")
-    links = tried.filter("linked").select("a_doc", "b_doc").unionByName(more.select("a_doc", "b_doc"))
-    found = components(links, "a_doc", "b_doc")
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    whole = sets.join(named, "set_id", "left")
+    links = tried.filter("linked").select("a", "b").unionByName(more.select("a", "b")).unionByName(id_chains(sets))
+    found = components(links).withColumnRenamed("node", "set_id")
+    chained = common.written(classes.join(found, "set_id").select("set_id", "component", "least"), "chained")
+    names = chained.groupBy("component").agg(F.min("least").alias("name"))
+    renamed = common.written(chained.join(names, "component").select("set_id", F.lit(True).alias("renamed"), "name"), "names")
+    named = classes.join(renamed, "set_id", "left").select("set_id", F.when(F.col("renamed"), F.col("name")).otherwise(F.col("least")).alias("component_id"))
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return whole.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(own, F.lit(LAST_ID)).alias("component_id"))
+    return sets.join(named, "set_id", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def near_components(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
+    return row_components(docs, join, doc_id, text).drop("key")
 
 
 def one_per_group(docs: DataFrame, join: Join, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are the smallest id of their component, with their own columns; rows without an id stay."""
-    others = near_components(docs, join, doc_id, text).filter("component_id <> doc_id")
-    dropped = common.written(others.select(F.col("doc_id").alias("__id")), "dropped")
-    kept = common.without(docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))), dropped, "__id")
-    return kept.drop("__id")
+    others = row_components(docs, join, doc_id, text).filter("component_id <> doc_id")
+    dropped = common.written(others.select(F.struct("doc_id", "key").alias("__row")), "dropped")
+    keyed = docs.withColumn("__row", F.struct(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key")))
+    return common.without(keyed, dropped, "__row").drop("__row")

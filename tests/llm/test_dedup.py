@@ -153,6 +153,24 @@ def test_large_groups_are_split_into_blocks(spark, monkeypatch):
     assert got == brute_components(list(enumerate(texts)), 3, 90, 100)
 
 
+def test_rows_without_an_id_do_not_join_others(spark):
+    p, q, r = ([f"{x}{i}" for i in range(60)] for x in "pqr")
+    rows = [(7, p), (None, [*p, "tail"]), (900, q), (None, [*q, "tail"]), (None, r), (None, [*r, "tail"])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.component_id) for r in ngram_join.near_components(docs).collect())
+    assert got == Counter({(7, 7): 1, (None, 7): 1, (900, 900): 1, (None, 900): 1, (None, None): 2})
+    assert Counter(r.doc_id for r in ngram_join.one_per_group(docs, ngram_join.Join()).collect()) == Counter({7: 1, 900: 1, None: 4})
+
+
+def test_repeated_ids_chain_every_set_and_drop_by_row(spark):
+    a, b, c = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (8, b), (8, c), (8, []), (9, c)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_components(docs).collect())
+    assert got == brute_components([(i, " ".join(t)) for i, t in rows], 3, 90, 100)
+    assert sorted((r.doc_id, r.text[:2]) for r in ngram_join.one_per_group(docs, ngram_join.Join()).collect()) == [(1, "a0"), (8, "")]
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
