@@ -8,10 +8,12 @@ difference, so two similar sets share the signature of a partition that is not e
 empty partitions; sets with more also sign their empty partitions. No similar pair is lost.
 
 Equal sets are one vertex from the start, so copies are never paired. Documents that share a signature form a group. Groups
-are reduced to distinct member lists, large ones are split into pairs of blocks, and within a group a parity sketch (a bit
-per hash position, whose difference never exceeds D) rules out most pairs without the sets. First every group hands on a
-spanning forest of its possible pairs; these are verified on the texts. Then the possible pairs that lie in different
-components, and only these, are verified as well, so the components are those of all links.
+are reduced to distinct member lists, and within a list a parity sketch (a bit per hash position, whose difference never
+exceeds D) rules out most pairs without the sets. A signature of many rows is hot: its rows are counted and dealt by salts
+before they meet, ROUNDS times anew, so that no task holds its group. First every list hands on a spanning forest of its
+possible pairs; these are verified on the texts. Then the possible pairs that lie in different components, and only these,
+are verified as well, so the components are those of all links. For this, members of a hot signature form blocks, of one
+component where it is large; a join of block numbers pairs them, but not two blocks of one component.
 
 Defined results: NULL and empty texts and texts without words have no shingles and are their own component; fewer words
 than a shingle make one shingle of all; the links join sets, and a component is named by the smallest id of its rows, NULL
@@ -34,6 +36,8 @@ from lakeplan.llm import common
 from lakeplan.llm.components import components
 
 BLOCK_MEMBERS = 512
+ROUNDS = 2
+PARTS = 16
 CACHE_WORDS = 400_000
 SEEN_SETS = 1_000_000
 LARGEST_SET = 1 << 40
@@ -215,17 +219,48 @@ def signed_sets(docs: DataFrame, join: Join) -> DataFrame:
     return common.map_arrow(docs.select("text"), run, "signature long, set_id long")
 
 
-def groups(signed: DataFrame) -> DataFrame:
-    """(group_id, members): distinct lists of sets that share a signature; a large list as pairs of its blocks."""
-    def lists(members: np.ndarray):
-        if len(members) <= 2 * BLOCK_MEMBERS:
-            yield members
-        else:
-            blocks = [members[i:i + BLOCK_MEMBERS] for i in range(0, len(members), BLOCK_MEMBERS)]
-            for i, x in enumerate(blocks):
-                for y in blocks[i + 1:]:
-                    yield np.concatenate([x, y])
+def hot_rows(signed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of signatures with at most two blocks of rows; distinct (signature, set_id, blocks) of the others, if any."""
+    counts = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * BLOCK_MEMBERS)
+    hot = common.written(counts.select("signature", F.ceil(F.col("n") / BLOCK_MEMBERS).alias("blocks")), "hot")
+    if hot.isEmpty():
+        return signed, None
+    rows = common.flagged(signed, hot, "signature").filter("__maybe").join(hot, "signature")
+    return common.without(signed, hot, "signature"), common.written(rows.select("signature", "set_id", "blocks").distinct(), "hot-rows")
+
+
+def salted(hot: DataFrame) -> DataFrame:
+    """(signature, set_id): a signature for each block of a hot one, in each round."""
+    made = None
+    for r in range(ROUNDS):
+        salt = F.pmod(F.xxhash64(F.lit(r), F.col("set_id")), F.col("blocks"))
+        dealt = hot.select(F.xxhash64(F.col("signature"), F.lit(r), salt).alias("signature"), "set_id")
+        made = dealt if made is None else made.unionByName(dealt)
+    return made
+
 
+def block_pairs(hot: DataFrame, labels: DataFrame) -> DataFrame:
+    """(group_id, set_id): pairs of blocks of a hot signature, without those inside one component of ``labels``(set_id, component)."""
+    members = common.written(hot.join(labels, "set_id").select("signature", "set_id", "component"), "hot-members")
+    sizes = common.written(members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("size")), "hot-sizes")
+    small = F.sum(F.when(F.col("size") < BLOCK_MEMBERS, F.col("size")).otherwise(0)).alias("small")
+    opened = sizes.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), small).filter("n > 1").drop("n")
+    dealt = sizes.join(opened, "signature")
+    whole = F.col("size") >= BLOCK_MEMBERS
+    salt = F.pmod(F.xxhash64("set_id"), F.ceil(F.when(whole, F.col("size")).otherwise(F.col("small")) / BLOCK_MEMBERS))
+    only = F.when(whole, F.col("component"))
+    placed = common.written(members.join(dealt, ["signature", "component"])
+                            .select("signature", "set_id", only.alias("only"), F.xxhash64(whole, only, salt).alias("block")), "hot-blocks")
+    blocks = common.written(placed.groupBy("signature", "block").agg(F.max("only").alias("only")), "blocks")
+    left = blocks.select("signature", F.col("block").alias("a"), F.col("only").alias("a_only"), F.pmod("block", F.lit(PARTS)).cast("int").alias("part"))
+    right = blocks.select("signature", F.col("block").alias("b"), F.col("only").alias("b_only"), F.explode(F.array(*[F.lit(i) for i in range(PARTS)])).alias("part"))
+    pairs = left.join(right, ["signature", "part"]).filter("a <= b AND (a_only <> b_only OR a_only IS NULL OR b_only IS NULL)")
+    sides = pairs.select(F.xxhash64("signature", "a", "b").alias("group_id"), "signature", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    return sides.join(placed, ["signature", "block"]).select("group_id", "set_id")
+
+
+def groups(signed: DataFrame) -> DataFrame:
+    """(group_id, members): distinct lists of sets that share a signature."""
     def run(batches):
         seen: set[int] = set()
 
@@ -236,14 +271,14 @@ def groups(signed: DataFrame) -> DataFrame:
             ends = np.append(starts[1:], len(signature))
             ids, members = [], []
             for i in np.flatnonzero(ends - starts > 1):
-                for part in lists(owner[starts[i]:ends[i]]):
-                    key = xxhash.xxh64_intdigest(part.tobytes())
-                    if key not in seen:
-                        if len(seen) >= SEEN_SETS:
-                            seen.clear()
-                        seen.add(key)
-                        ids.append(int(np.int64(np.uint64(key))))
-                        members.append(part)
+                part = owner[starts[i]:ends[i]]
+                key = xxhash.xxh64_intdigest(part.tobytes())
+                if key not in seen:
+                    if len(seen) >= SEEN_SETS:
+                        seen.clear()
+                    seen.add(key)
+                    ids.append(int(np.int64(np.uint64(key))))
+                    members.append(part)
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(members, pa.list_(pa.int64()))], names=["group_id", "members"])
 
         held_s, held_o = [], []
@@ -368,8 +403,14 @@ def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataF
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     sets = common.written(set_table(rows, join), "sets")
     classes = sets.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
-    lists = common.written(groups(signed_sets(rows, join)), "groups")
-    listed = lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"))
+    cold, hot = hot_rows(common.written(signed_sets(rows, join), "signed"))
+
+    def listed_of(signed):
+        lists = common.written(groups(signed), "groups")
+        return lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"))
+
+    cold_lists = listed_of(cold)
+    listed = cold_lists if hot is None else cold_lists.unionByName(listed_of(salted(hot)))
     needed = common.written(listed.select("set_id").distinct().join(classes, "set_id").select("key"), "needed")
     members = common.written(members_table(rows, needed, join), "members")
     sketched = members.select("set_id", "n", "sketch")
@@ -378,7 +419,11 @@ def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataF
     tried = common.written(verified(possible_pairs(first, join, False), members, join), "pairs")
     joined = components(tried.filter("linked"))
     labelled = sketched.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    second = listed.filter("size > 2").join(labelled, "set_id")
+    again = cold_lists.filter("size > 2").select("group_id", "set_id")
+    if hot is not None:
+        labelled = common.written(labelled, "labelled")
+        again = again.unionByName(block_pairs(hot, labelled.select("set_id", "component")))
+    second = again.join(labelled, "set_id")
     open_pairs = possible_pairs(second, join, True).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = common.written(verified(open_pairs, members, join).filter("linked"), "pairs")
     links = tried.filter("linked").select("a", "b").unionByName(more.select("a", "b")).unionByName(id_chains(sets))

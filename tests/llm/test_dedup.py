@@ -153,6 +153,30 @@ def test_large_groups_are_split_into_blocks(spark, monkeypatch):
     assert got == brute_components(list(enumerate(texts)), 3, 90, 100)
 
 
+def test_hot_signatures_are_dealt_before_they_are_listed(spark, monkeypatch):
+    """Near copies of one text, of another with the same ending, and strays: lists stay small and grow with the rows, not their square."""
+    monkeypatch.setattr(ngram_join, "BLOCK_MEMBERS", 8)
+    seen, written = [], ngram_join.common.written
+
+    def watched(df, label):
+        made = written(df, label)
+        if label == "groups":
+            seen.extend(r.n for r in made.selectExpr("size(members) AS n").collect())
+        return made
+
+    monkeypatch.setattr(ngram_join.common, "written", watched)
+    base, other, end = [f"w{i}" for i in range(70)], [f"v{i}" for i in range(16)], [f"e{i}" for i in range(40)]
+    made = [[*base[:i], f"x{i}", *base[i + 1:], *end] for i in range(0, 70)] + [[*other, *base[16:60], f"y{i}", *base[61:], *end] for i in range(20)]
+    made += [[*base[:k], *[f"z{k}{i}" for i in range(10)], *base[k + 10:], *end] for k in range(0, 60, 12)]
+    texts = [" ".join(t) for t in made]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in ngram_join.near_components(docs).collect())
+    assert got == brute_components(list(enumerate(texts)), 3, 90, 100)
+    assert max(seen) <= 6 * 8
+    signed = sum(len(ngram_join.signatures(ngram_join.shingle_set(t, 3), ngram_join.Join())) for t in texts)
+    assert sum(seen) <= ngram_join.ROUNDS * signed
+
+
 def test_rows_without_an_id_do_not_join_others(spark):
     p, q, r = ([f"{x}{i}" for i in range(60)] for x in "pqr")
     rows = [(7, p), (None, [*p, "tail"]), (900, q), (None, [*q, "tail"]), (None, r), (None, [*r, "tail"])]
