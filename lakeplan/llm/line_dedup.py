@@ -5,7 +5,7 @@ map-side and merged by aggregation, so a very common line costs one row per task
 threshold are boilerplate, those well below are not, and lines near it get an exact distinct count. Boilerplate lines are
 taken out of every document; only documents that may hold one meet the list of removals.
 
-Lines are compared without surrounding blanks; lines shorter than LEAST_CHARS are left alone. Defined results: NULL text
+Lines are compared without surrounding blanks; blank lines, and those shorter than least_chars, are left alone. Defined results: NULL text
 counts as empty (one empty line); a NULL site counts for no spread; repeated rows are cleaned alike; extra columns pass
 through.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakeplan.llm import common
 
 SITES = 5
-LEAST_CHARS = 20
+LEAST_CHARS = 1
 SKETCH_BITS = 8
 MARGIN = 0.3
 

@@ -204,6 +204,12 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_short_lines_on_many_sites_go(spark):
+    rows = [(i, f"own line of document {i}\nHome\n\n x\t", "en", f"s{i}", 1) for i in range(6)]
+    got = line_dedup.without_boilerplate(spark.createDataFrame(rows, cases.SCHEMA)).collect()
+    assert {(r.doc_id, r.text, r.n_removed) for r in got} == {(i, f"own line of document {i}\n", 2) for i in range(6)}
+
+
 def brute_lines(rows, sites, least):
     spread = defaultdict(set)
     for r in rows:
