@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeplan.llm import byte_bpe, common, exact_dedup, fingerprints, language, line_dedup, ngram_join, packing, quality, token_counts, toxicity
+from lakeplan.llm import (byte_bpe, collocations, common, exact_dedup, fingerprints, language, line_dedup, ngram_join, packing, pii, quality, token_counts,
+                          toxicity, va_clusters)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +114,58 @@ def cleaned_lines(spark: SparkSession, sf_dir: str, least_chars: int) -> DataFra
     cleaned = line_dedup.without_boilerplate(docs, least_chars=least_chars)
     whole = common.whole_text()
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length(whole).cast("long").alias("clean_chars"), F.sha2(whole, 256).alias("clean_sha256"))
+
+
+def clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every distance of every round, spelled out."""
+    steps = [f"""
+    v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+          WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    x AS (SELECT vec_id, unnest(e) AS x, unnest(range(64)) AS i FROM v),
+    c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k, e AS c FROM v ORDER BY k LIMIT {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+    d{i} AS (SELECT vec_id, k, list_sum(list_transform(range(1, 65), lambda j: (e[j] - c[j]) * (e[j] - c[j])))::BIGINT AS d FROM v CROSS JOIN c{i}),
+    a{i} AS (SELECT vec_id, k, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+    m{i} AS (SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n FROM x JOIN a{i} USING (vec_id) GROUP BY ALL),
+    c{i + 1} AS (SELECT k, coalesce(any_value(m.c), any_value(c{i}.c)) AS c FROM c{i} LEFT JOIN (
+        SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM m{i} GROUP BY k) m USING (k) GROUP BY k)""")
+    return f"""WITH {",".join(steps)}
+    SELECT vec_id, CAST(k AS INTEGER) AS "cluster", d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} USING (k)"""
+
+
+@query("op11_va_file_clusters", clusters_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_phrase_collocations", r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    g AS (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+          FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size),
+    f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+    n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+    c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE size > 1),
+    k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+    s AS (SELECT k.lang, k.phrase, k.f AS a, k.k, x.f AS l, y.f AS r, n.n,
+                 ((1000::HUGEINT * k.f * n.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM k JOIN n USING (lang) JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[1:k.k], ' ')
+          JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k.k + 1:], ' ')),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND length(c.phrase) > length(b.phrase)
+                 AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.f >= 100 * b.a)),
+    o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept)
+    SELECT * FROM o WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(common.documents(spark, sf_dir))
+
+
+@query("op13_personal_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(common.documents(spark, sf_dir))
