@@ -13,8 +13,8 @@ from lakeplan.forecast.conformal import apply_bands, calibrate
 from lakeplan.forecast.grid import (
     SERIES, base_forecasts, rolling_origins, rollup_series, series_arrays, weekly_grid, with_events,
 )
-from lakeplan.forecast.models import fit_series
 from lakeplan.forecast.reconcile import blend, champion, chosen, comparison, top_down, trailing_share, wape_by_candidate
+from lakeplan.forecast.structural import fit_series
 from lakeplan.operators.joins import lookup
 from lakeplan.session import checkpoint_table
 

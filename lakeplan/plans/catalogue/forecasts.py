@@ -7,6 +7,8 @@ from lakeplan.forecast import conformal as cf
 from lakeplan.forecast import grid as gr
 from lakeplan.forecast import models as md
 from lakeplan.forecast import reconcile as rc
+from lakeplan.forecast import structural as st
+from lakeplan.forecast import table_function as tf
 from lakeplan.forecast.run import CHILD_LEVEL, candidate_table, plan_from_candidates, structural_forecasts
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import R, W
@@ -93,6 +95,18 @@ def fc7_board(s):
     return board.select("level", "candidate", F.coalesce(F.col("wape") >= 0, F.lit(False)).alias("measured"))
 
 
+@query("fc7_structural_values")
+def fc7_values(s):
+    """Every forecast and backtest of the per-series model."""
+    return shown(structural_forecasts(s.saved_weekly, s.products, s.events, CFG), yhat=6, snaive=6)
+
+
+@query("fc7_structural_wape")
+def fc7_wape(s):
+    """The board itself: every candidate's WAPE, and which one leads."""
+    return shown(structural_plan(s).comparison, wape=6)
+
+
 @query("udf2_one_pass_two_outputs", """SELECT kind, level, count(*) AS rows, count(actual) AS actuals, count(DISTINCT (series_key, zone))
     AS series FROM s_raw_fc GROUP BY ALL""")
 def udf2(s):
@@ -105,11 +119,11 @@ def udf2(s):
 
 @query("udf1_grouped_map", FIT_SQL + " WHERE level = 'sku'")
 def udf1(s):
-    """Grouped pandas over the child series only: one call per series."""
+    """A Python function over the child series only, each one row of arrays: one stacked solve for all series of a batch."""
     grid = gr.weekly_grid(s.saved_weekly, ["sku_id", "zone"], CFG.last_full_week, CFG.horizon_weeks + 1)
     child = grid.select(F.lit("sku").alias("level"), F.col("sku_id").alias("series_key"), "zone", "week_start", "units",
                         "promo_share")
-    return fit_checks(md.fit_series(gr.with_events(child, s.events, apart=True), CFG))
+    return fit_checks(st.fit_series(gr.with_events(child, s.events, apart=True), CFG))
 
 
 @query("fc8_future_promo", "SELECT level, series_key, zone, kind, cutoff, week_start, "
@@ -205,11 +219,29 @@ def fc18(s):
     return baseline_checks(smoothed(s))
 
 
+@query("fc18_smoothing_values")
+def fc18_values(s):
+    """The second baseline itself, with its interval."""
+    return smoothed(s)
+
+
+def called_from_sql(s, width):
+    """The baseline of the parent series, asked for in SQL."""
+    name = tf.register(s.spark)
+    parent = s.both_levels.where("level = 'base'").select("series_key", "zone", "week_start", "units")
+    return s.spark.sql(f"""SELECT * FROM {name}(TABLE({{parent}}) PARTITION BY (series_key, zone) ORDER BY week_start,
+        horizon => {CFG.horizon_weeks}, width => {width})""", parent=parent)
+
+
 @query("udf4_table_function", baseline_sql("base", CFG.horizon_weeks))
 def udf4(s):
-    """The baseline as a function of a table, a horizon and an interval width."""
-    parent = s.both_levels.where("level = 'base'")
-    return baseline_checks(md.ets_baseline(parent, horizon=CFG.horizon_weeks, width=0.9))
+    """The baseline as a table-valued function of a table, a horizon and an interval width."""
+    return baseline_checks(called_from_sql(s, 0.9))
+
+
+@query("udf4_table_function_values")
+def udf4_values(s):
+    return called_from_sql(s, 0.9)
 
 
 @query("fc19_model_comparison", f"""SELECT f.week_start, f.zone, {R('sum(f.forecast_units)', 1)} AS champion_units,
@@ -239,6 +271,12 @@ def forecast_backtest(s):
     return s.plan.backtest
 
 
+@query("forecast_structural_values")
+def structural_values(s):
+    """The published forecast of a planning run: units, band, and the candidates beside them."""
+    return structural_plan(s).forecast
+
+
 @query("forecast_structural_champion", """SELECT sku_id, zone, week_start, trained_through_week, seasonal_naive_units, true AS bounded
     FROM s_forecast""")
 def structural_champion(s):

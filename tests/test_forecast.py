@@ -5,13 +5,17 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from lakeplan.config import PlanConfig
 from lakeplan.forecast import conformal as cf
 from lakeplan.forecast import grid as gr
 from lakeplan.forecast import models as md
 from lakeplan.forecast import reconcile as rc
+from lakeplan.forecast import structural as st
+from lakeplan.forecast import table_function as tf
 from lakeplan.forecast.accuracy import log_run
+from tests import plain_models as plain
 
 CFG = PlanConfig("2024-06-30", "2024-06-24", "2022-01-01", "2024-12-31")
 
@@ -59,7 +63,7 @@ def test_model_choice_and_shape(spark, n, model):
         "'sku' AS level", "'S' AS series_key", "'Z' AS zone", "date_add(DATE'2024-07-01', CAST(7 * id AS int)) AS week_start",
         "CAST(NULL AS double) AS units", "CAST(NULL AS double) AS promo_share"))
     events = spark.sql("SELECT 'E' AS event_name, DATE'2024-03-01' AS event_date")
-    rows = md.fit_series(gr.with_events(grid, events), CFG, 2).where("kind = 'forecast'").collect()
+    rows = st.fit_series(gr.with_events(grid, events), CFG, 2).where("kind = 'forecast'").collect()
     assert len(rows) == 13 and {r.model for r in rows} == {model} and all(r.yhat >= 0 for r in rows)
 
 
@@ -71,9 +75,9 @@ def test_structural_model_beats_naive_on_planted_signal():
     events[[40, 93, 145, 198], 0] = 1  # moves against the calendar, so last year's week misses it
     y = (100 + 0.5 * t) * (1 + 0.4 * np.sin(2 * np.pi * t * 7 / 365.25)) * np.where(events[:, 0] > 0, 2.0, 1.0)
     y *= np.exp(rng.normal(0, 0.05, n))
-    hat = md.structural_forecast(y[:cut], np.zeros(cut), events, t, cut, 12, np.zeros(12))
+    hat = plain.structural_forecast(y[:cut], np.zeros(cut), events, t, cut, 12, np.zeros(12))
     wape = lambda f: np.abs(y[cut:] - f).sum() / y[cut:].sum()
-    assert wape(hat) < 0.15 < wape(md.seasonal_naive(y, cut, 12))
+    assert wape(hat) < 0.15 < wape(plain.seasonal_naive(y, cut, 12))
 
 
 def test_smoothing_follows_the_season_and_brackets_the_mean():
@@ -125,3 +129,59 @@ def test_run_log_appends(spark, tmp_path):
         log_run(spark, f"{tmp_path}/runs", name, {"folds": 3}, metrics)
     rows = spark.read.parquet(f"{tmp_path}/runs").orderBy("run_name").collect()
     assert [r.run_name for r in rows] == ["r1", "r2"] and rows[0].metrics["wape"] == 0.5 and rows[0].params["folds"] == "3"
+
+
+def uneven_series(spark):
+    """Series of many lengths on both levels: short, young, empty, seasonal, with promos and events."""
+    rng, rows = np.random.default_rng(4), []
+    last = dt.date(2024, 6, 24)
+    for i, n in enumerate((1, 5, 20, 25, 26, 33, 45, 59, 60, 71, 90, 104, 150, 151, 200)):
+        for level in ("sku", "base"):
+            for k in range(n + 13):
+                day = last + dt.timedelta(weeks=k - n + 1)
+                past = k < n
+                units = float(rng.integers(0, 60)) * (i != 6) if past else None
+                rows.append((level, f"S{i}", "Z", day, units, float(rng.random() < 0.2) if past else None))
+    return spark.createDataFrame(rows, "level string, series_key string, zone string, week_start date, units double, promo_share double")
+
+
+def test_stacked_model_equals_one_series_at_a_time(spark):
+    events = spark.sql("""SELECT * FROM VALUES ('E', DATE'2024-03-01'), ('E', DATE'2023-03-05'), ('F', DATE'2022-11-11'), ('G', DATE'2024-08-01'),
+        ('F', DATE'2024-07-10') t(event_name, event_date)""")
+    grid = gr.with_events(uneven_series(spark), events, apart=True)
+    fit = st.fit_series(grid, CFG, 3)
+    assert "FlatMapGroups" not in fit._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r)[:6]: r for r in fit.collect()}
+    want = {}
+    for _, part in grid.toPandas().groupby(["level", "series_key", "zone"]):
+        for r in plain.series_forecaster(CFG)(part).itertuples(index=False):
+            want[tuple(r)[:6]] = r
+    assert got.keys() == want.keys() and {r.model for r in got.values()} == {"structural", "recent_mean"}
+    for key, r in want.items():
+        assert got[key].model == r.model and abs(got[key].snaive - r.snaive) < 1e-9
+        assert abs(got[key].yhat - r.yhat) <= 1e-9 * max(1.0, abs(r.yhat)), key
+        assert got[key].actual == (r.actual if r.actual == r.actual else None)
+
+
+def test_smoothing_from_sql(spark):
+    name = tf.register(spark)
+    weekly = uneven_series(spark).where("level = 'sku' AND units IS NOT NULL").select("series_key", "zone", "week_start", "units")
+    call = f"SELECT * FROM {name}(TABLE({{t}}) PARTITION BY (series_key, zone) ORDER BY week_start, horizon => 12, width => 0.9)"
+    got = {tuple(r) for r in spark.sql(call, t=weekly).collect()}
+    assert got == {tuple(r) for r in md.ets_baseline(weekly, 12, 0.9, 2).collect()} and len(got) == 15 * 12
+    odd = weekly.where("series_key = 'S5'").unionByName(spark.sql("SELECT 'S5' AS series_key, 'Z' AS zone, CAST(NULL AS date) AS week_start, 3D AS units"))
+    assert spark.sql(call, t=odd).count() == 12 and spark.sql(call, t=weekly.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rest, said", [
+    ("TABLE({t}) PARTITION BY series_key, horizon => 0, width => 0.9", "horizon = 0 is out of range"),
+    ("TABLE({t}) PARTITION BY series_key, horizon => 12, width => 1.5", "width = 1.5 is out of range"),
+    ("TABLE({t}) PARTITION BY series_key, horizon => 'x', width => 0.9", "horizon must be a constant number"),
+    ("TABLE(SELECT 'a' AS week_start, 1D AS units) PARTITION BY week_start, horizon => 1, width => 0.9", "needs a DATE column"),
+    ("TABLE(SELECT DATE'2024-01-01' AS week_start, 'a' AS units) PARTITION BY units, horizon => 1, width => 0.9", "needs a numeric column"),
+    ("TABLE({t}) PARTITION BY series_key, horizon => 12", "missing a required argument"),
+])
+def test_wrong_arguments_fail_in_analysis(spark, rest, said):
+    weekly = uneven_series(spark).select("series_key", "week_start", "units")
+    with pytest.raises(AnalysisException, match=said):
+        spark.sql(f"SELECT * FROM {tf.register(spark)}({rest})", t=weekly)
