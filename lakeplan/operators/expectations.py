@@ -86,11 +86,26 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return wide.select(F.inline(entry))
 
 
-def observe(df: DataFrame, rules: list[Rule], name: str) -> tuple[DataFrame, Observation]:
-    """Count violations as a side effect of whatever action runs on the frame (warn-only rules)."""
-    seen = Observation(name)
-    counts = [F.sum((~r.passed()).cast("long")).alias(r.name) for r in rules]
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+class Counted:
+    """Passed and failed rows of each rule, observed by whatever job reads the frame first; no scan of their own.
+
+    The counts stand above the last shuffle of a frame, so a task that is run again does not count twice.
+    """
+
+    def __init__(self, rules: list[Rule]):
+        self.rules, self.seen = rules, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        passed = [F.count(F.when(r.passed(), 1)).alias(f"p{i}") for i, r in enumerate(self.rules)]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("n"), *passed)
+
+    def rows(self) -> list[tuple[str, str, int, int]]:
+        """(rule, action, passed_rows, failed_rows) once the job is over."""
+        got = self.seen.get
+        return [(r.name, r.action, got[f"p{i}"], got["n"] - got[f"p{i}"]) for i, r in enumerate(self.rules)]
+
+
+METRICS = "rule string, action string, passed_rows long, failed_rows long"
 
 
 def write_split(tagged: DataFrame, good_path: str, bad_path: str, mode: str = "append") -> None:

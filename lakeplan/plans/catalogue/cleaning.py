@@ -15,6 +15,7 @@ from lakeplan.operators.filters import Range, apply_filters
 from lakeplan.plans import silver
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import AS_OF
+from lakeplan.session import scratch_path
 
 
 @query("prj1_conform_lines", """SELECT l_orderkey AS order_id, l_linenumber AS line_no, CAST(l_shipdate AS DATE) AS ship_date,
@@ -156,8 +157,25 @@ def exp1_products(s):
 
 @query("exp2_warn_only", "SELECT store_id, zone FROM s_stores")
 def exp2(s):
-    kept, _ = ex.observe(s.stores, [r for r in silver.RULES["stores"] if r.action == "warn"], "stores_warn")
-    return ex.keep_valid(kept, silver.RULES["stores"]).select("store_id", "zone")
+    """Rows that only warn stay."""
+    return ex.keep_valid(s.stores, silver.RULES["stores"]).select("store_id", "zone")
+
+
+@query("exp2_observed_counts", """SELECT 'stores' AS feed, rule, action, CAST(passed AS BIGINT) AS passed_rows, CAST(n - passed AS BIGINT) AS failed_rows
+    FROM (SELECT count(*) AS n, count(store_id) AS a, count(zone) AS b FROM s_stores), LATERAL (VALUES
+    ('store_id_present', 'drop', a), ('state_resolved', 'warn', b)) v(rule, action, passed)
+    UNION ALL SELECT 'orders', rule, 'drop', passed, n - passed FROM (SELECT count(*) AS n, count(store_id) AS a,
+    count(*) FILTER (order_status IN ('Delivered', 'Cancelled')) AS b FROM s_raw_orders), LATERAL (VALUES
+    ('store_id_present', a), ('valid_status', b)) v(rule, passed)""")
+def exp2_counts(s):
+    """Counts observed by the jobs that write the two sides of each feed."""
+    found = []
+    for feed, df in (("stores", s.stores), ("orders", s.raw_orders)):
+        counted = ex.Counted(silver.RULES[feed])
+        path = scratch_path(s.spark, feed)
+        ex.write_split(ex.tag(counted.watch(df), silver.RULES[feed]), f"{path}/good", f"{path}/bad", "overwrite")
+        found += [(feed, *r) for r in counted.rows()]
+    return s.spark.createDataFrame(found, f"feed string, {ex.METRICS}")
 
 
 @query("exp3_rule_metrics", """SELECT rule, 'drop' AS action, CAST(passed AS BIGINT) AS passed_rows,

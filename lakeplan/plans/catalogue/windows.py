@@ -100,8 +100,8 @@ def win10(s):
         "zone", "order_date", "sku_id", "units")
 
 
-@query("win11_year_ago", """SELECT g.sku_id, g.zone, g.week_start, g.units, p.units AS year_ago FROM s_grid g
-    LEFT JOIN s_grid p ON p.sku_id = g.sku_id AND p.zone = g.zone AND p.week_start = g.week_start - 364""")
+@query("win11_year_ago", """SELECT sku_id, zone, week_start, units,
+    lag(units, 52) OVER (PARTITION BY sku_id, zone ORDER BY week_start) AS year_ago FROM s_grid""")
 def win11(s):
     return s.grid.select("sku_id", "zone", "week_start", "units",
                          wn.seasonal_lag("units", ["sku_id", "zone"], "week_start").alias("year_ago"))

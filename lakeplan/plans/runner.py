@@ -6,6 +6,7 @@ once and read by whatever comes after.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,20 @@ from lakeplan.forecast.grid import weekly_grid
 from lakeplan.forecast.models import ets_baseline
 from lakeplan.forecast.run import run_forecast
 from lakeplan.functions.calendar import date_spine, dim_date
+from lakeplan.functions.columns import month_start
 from lakeplan.operators import aggregates as ag
 from lakeplan.operators import facts as fx
 from lakeplan.operators import quality as ql
 from lakeplan.operators.clean import RAW, conform, with_raw
-from lakeplan.operators.expectations import Rule, accepted, as_received, rule_metrics, tag
+from lakeplan.operators.expectations import METRICS, Counted, Rule, accepted, as_received, tag
 from lakeplan.operators.inventory import inventory_daily, inventory_weekly
 from lakeplan.operators.joins import lookup
 from lakeplan.operators.lift import event_uplift, promotion_lift
+from lakeplan.operators.refresh import replace_partitions, week_months, within, within_weeks
 from lakeplan.operators.reorder import reorder_plan
 from lakeplan.operators.rfm import customer_rfm
 from lakeplan.plans import kpi, silver
+from lakeplan.plans.incremental import FEED_KEYS, ChangeLog, Pending, bronze_stream
 from lakeplan.session import stages
 from lakeplan.sources.readers import read_snapshot
 from lakeplan.sources.writers import folder_exists, write_clustered
@@ -44,6 +48,11 @@ CLUSTERING = {
     "sales_lines": ["order_date", "sku_id"], "fact_sales_line": ["order_date", "sku_id"], "fact_orders": ["order_date"],
     "fact_inventory_daily": ["snapshot_date", "warehouse_id"], "agg_sales_daily": ["order_date", "zone"],
 }
+# Gold tables kept by month: the partition column, and the day that it is the month of.
+PARTITIONED = {
+    "fact_sales_line": ("order_month", "order_date"), "fact_orders": ("order_month", "order_date"),
+    "agg_sales_daily": ("order_month", "order_date"), "agg_sales_monthly": ("month", "month"), "agg_sales_weekly": ("week_month", "week_start"),
+}
 
 
 def ddl(feed: str, as_text: bool = False, raw_types: dict[str, dict[str, str]] | None = None) -> str:
@@ -75,6 +84,15 @@ class Lake:
             df.write.mode("overwrite").parquet(path)
         return self.table(layer, name)
 
+    def refresh(self, layer: str, name: str, df: DataFrame, months: list[dt.date] | None) -> DataFrame:
+        """Replace the partitions of ``months``, all if None, of a table kept by month."""
+        partition, day = PARTITIONED[name]
+        if partition not in df.columns:
+            df = df.withColumn(partition, month_start(day))
+        if months is None or months:
+            replace_partitions(df, self.path(layer, name), partition, months, CLUSTERING.get(name, [day]))
+        return self.table(layer, name)
+
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
@@ -108,11 +126,12 @@ def typed(feed: str, rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return conform(with_raw(rows), silver.SCHEMAS[feed], [RAW, *keep])
 
 
-def save_split(lake: Lake, feed: str, rows: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Save a snapshot feed and its quarantine; gives the accepted rows."""
+def save_split(lake: Lake, feed: str, rows: DataFrame, rules: list[Rule], counts: dict[str, Counted]) -> DataFrame:
+    """Save a snapshot feed and its quarantine, whose write counts the rules; gives the accepted rows."""
     tagged = tag(rows, rules)
     if rules:
-        lake.save("silver", f"{feed}_quarantine", as_received(tagged))
+        counts[feed] = Counted(rules)
+        lake.save("silver", f"{feed}_quarantine", as_received(counts[feed].watch(tagged)))
     return lake.save("silver", feed, accepted(tagged).drop(RAW))
 
 
@@ -120,15 +139,15 @@ def silver_layer(lake: Lake, version: int, zones: list[str] | None = None, spell
                  raw_types: dict | None = None) -> None:
     """Typed, checked tables; whatever a rule drops goes to a quarantine with its raw values."""
     spark = lake.spark
-    counted = []
+    counts: dict[str, Counted] = {}
     for feed in [f for f in CSV_FEEDS if f != "geography"] + ["promotions"]:
-        save_split(lake, feed, typed(feed, lake.table("bronze", feed)), silver.RULES.get(feed, []))
-    geo = save_split(lake, "geography", typed("geography", lake.table("bronze", "geography")), [silver.zone_rule(zones or silver.ZONES)])
+        save_split(lake, feed, typed(feed, lake.table("bronze", feed)), silver.RULES.get(feed, []), counts)
+    geo = save_split(lake, "geography", typed("geography", lake.table("bronze", "geography")), [silver.zone_rule(zones or silver.ZONES)], counts)
     stores = silver.located_stores(typed("stores", lake.table("bronze", "stores")), geo, spellings or silver.STATE_SPELLINGS)
-    save_split(lake, "stores", stores, silver.RULES["stores"])
-    counted += [("stores", stores, silver.RULES["stores"])]
+    save_split(lake, "stores", stores, silver.RULES["stores"], counts)
     customers = typed("customers", raw(lake, "customers", version, raw_types), ("_ingest_ts",))
-    tagged = tag(customers, silver.RULES["customers"])
+    counts["customers"] = Counted(silver.RULES["customers"])
+    tagged = counts["customers"].watch(tag(customers, silver.RULES["customers"]))
     lake.save("silver", "customers_quarantine", as_received(tagged))
     newest = silver.silver_customers(accepted(tagged).drop(RAW), ties=[F.xxhash64(*silver.SCHEMAS["customers"]).asc()])
     lake.save("silver", "customers", newest.select(*silver.SCHEMAS["customers"]))
@@ -139,7 +158,7 @@ def silver_layer(lake: Lake, version: int, zones: list[str] | None = None, spell
         if folder_exists(spark, source):
             schema = f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"
             stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(source)
-            expect_stream(checked(feed, stream), silver.RULES[feed], f"{out}/clean", f"{out}/quarantine", ckpt)
+            expect_stream(checked(feed, stream), silver.RULES[feed], f"{out}/clean", f"{out}/quarantine", ckpt, f"{out}/rule_counts")
         if not folder_exists(spark, f"{out}/clean"):
             nothing = tag(checked(feed, raw(lake, feed, version, raw_types).limit(0)), silver.RULES[feed])
             accepted(nothing).drop(RAW).write.parquet(f"{out}/clean/batch_id=-1")
@@ -147,11 +166,25 @@ def silver_layer(lake: Lake, version: int, zones: list[str] | None = None, spell
     lines = typed("sales_lines", raw(lake, "sales_lines", version, raw_types), ("_ingest_ts", "_source_file", "batch"))
     order = [F.col("_ingest_ts").asc(), F.col("_source_file").asc(), F.col("batch").asc(),
              F.xxhash64(*silver.SCHEMAS["sales_lines"]).asc()]
-    clean, refused = silver.clean_and_rejected(lines, lake.table("silver", "products"), order)
+    counts["sales_lines"] = Counted(silver.RULES["sales_lines"])
+    clean, refused = silver.clean_and_rejected(lines, lake.table("silver", "products"), order, counts["sales_lines"])
     lake.save("silver", "sales_lines", clean)
     lake.save("silver", "sales_lines_quarantine", refused)
-    lake.save("silver", "rule_metrics", ql.union_all([
-        rule_metrics(df, rules).select(F.lit(name).alias("source_table"), "*") for name, df, rules in counted]))
+    lake.save("silver", "rule_metrics", rule_counts(lake, version, counts))
+
+
+def rule_counts(lake: Lake, version: int, counts: dict[str, Counted]) -> DataFrame:
+    """Every rule's counts: those that this run's jobs observed on whole feeds, and the sums over the batches of streamed ones."""
+    found = [(feed, *row) for feed, counted in counts.items() for row in counted.rows()]
+    tables = [lake.spark.createDataFrame(found, f"source_table string, {METRICS}")]
+    for feed in STREAMED_SILVER:
+        out, _ = Refresh(lake.spark, lake.path("silver", "streams")).paths(feed, version)
+        seen = lake.spark.createDataFrame([(r.name, r.action, 0, 0) for r in silver.RULES[feed]], METRICS)
+        if folder_exists(lake.spark, f"{out}/rule_counts"):
+            seen = seen.unionByName(lake.spark.read.schema(METRICS).parquet(f"{out}/rule_counts").drop("batch_id"))
+        sums = seen.groupBy("rule", "action").agg(F.sum("passed_rows").alias("passed_rows"), F.sum("failed_rows").alias("failed_rows"))
+        tables.append(sums.select(F.lit(feed).alias("source_table"), "*"))
+    return ql.union_all(tables)
 
 
 def checked(feed: str, rows: DataFrame) -> DataFrame:
@@ -166,9 +199,27 @@ def streamed(lake: Lake, feed: str, version: int, side: str = "clean") -> DataFr
     return lake.spark.read.parquet(f"{out}/{side}").drop("batch_id")
 
 
-def gold_layer(lake: Lake, version: int, cfg: PlanConfig) -> None:
+def pending_months(lake: Lake, version: int, cfg: PlanConfig, raw_types: dict | None = None) -> tuple[ChangeLog, Pending]:
+    """What the feeds have brought since gold was last refreshed."""
+    spark, log = lake.spark, ChangeLog(lake.spark, lake.path("gold", "_changes"), version)
+    lines = lake.table("silver", "sales_lines").select("line_id", "order_id", "order_date")
+    for feed in FEED_KEYS:
+        source, _ = Refresh(spark, lake.path("bronze", "streams")).paths(feed, version)
+        if folder_exists(spark, source):
+            log.note(feed, bronze_stream(spark, source, f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"), lines)
+    joined = [lake.table("silver", t) for t in ("products", "stores", "product_costs", "channels", "events")]
+    settings = spark.createDataFrame([(cfg.calendar_start, cfg.calendar_end, cfg.fiscal_start_month)], "a string, b string, c int")
+    return log, log.pending([*joined, settings])
+
+
+def gold_layer(lake: Lake, version: int, cfg: PlanConfig, raw_types: dict | None = None) -> list[dt.date] | None:
+    """All gold tables; sales facts and aggregates for the months that this run touches only. Gives these months, None for all."""
+    log, pending = pending_months(lake, version, cfg, raw_types)
+    months, weeks = pending.months, week_months(pending.months)
     s = lambda name: lake.table("silver", name)
     g = lambda name, df: lake.save("gold", name, df)
+    by_month = lambda name, df, touched=months: lake.refresh("gold", name, df, touched)
+    of_months = lambda df: df.where(within("order_date", months))
     calendar = g("dim_date", dim_date(date_spine(lake.spark, cfg.calendar_start, cfg.calendar_end), s("events"),
                                       cfg.fiscal_start_month, cfg.as_of))
     products = g("dim_product", fx.dim_product(s("products")))
@@ -180,14 +231,15 @@ def gold_layer(lake: Lake, version: int, cfg: PlanConfig) -> None:
                          ("dim_supplier", "suppliers"), ("dim_event", "events")):
         g(name, s(source))
     orders, returns = streamed(lake, "orders", version), streamed(lake, "returns", version)
-    fact = g("fact_sales_line", fx.fact_sales_line(s("sales_lines"), orders, products, s("stores"), s("product_costs"), returns))
-    heads = g("fact_orders", fx.orders_from_lines(fact))
+    lines = of_months(s("sales_lines"))
+    fact = by_month("fact_sales_line", fx.fact_sales_line(lines, orders, products, s("stores"), s("product_costs"), returns))
+    heads = by_month("fact_orders", fx.orders_from_lines(of_months(fact)))
     g("fact_returns", fx.fact_returns(returns, fact, products))
     inv = g("fact_inventory_daily", inventory_daily(streamed(lake, "inventory", version), s("product_costs")))
     g("fact_purchase_orders", fx.fact_purchase_orders(streamed(lake, "purchase_orders", version), s("suppliers"), products))
-    daily = g("agg_sales_daily", ag.sales_daily(fact, s("channels")))
-    g("agg_sales_monthly", ag.sales_monthly(fact, calendar))
-    g("agg_sales_weekly", ag.sales_weekly(daily))
+    daily = by_month("agg_sales_daily", ag.sales_daily(of_months(fact), s("channels")))
+    by_month("agg_sales_monthly", ag.sales_monthly(of_months(fact), calendar))
+    by_month("agg_sales_weekly", ag.sales_weekly(daily.where(within_weeks("order_date", weeks))), weeks)
     g("agg_promo_effectiveness", promotion_lift(s("promotions"), daily, as_of=cfg.as_of))
     first_day = F.date_add(daily.agg(F.min("order_date")).scalar(), cfg.event_history_days)
     g("agg_event_uplift", event_uplift(
@@ -202,6 +254,8 @@ def gold_layer(lake: Lake, version: int, cfg: PlanConfig) -> None:
         rejects,
         [("sales_lines", "late-arriving (accepted)", s("sales_lines"), "arrived_late"),
          ("stores", "state name corrected (accepted)", s("stores"), "state_was_corrected")]))
+    log.done(pending)
+    return months
 
 
 def planning(lake: Lake, cfg: PlanConfig, first_week: str) -> None:
@@ -249,7 +303,7 @@ def run_end_to_end(spark: SparkSession, landing: str, root: str, cfg: PlanConfig
     with stages(spark):
         version = bronze(lake, landing, full, raw_types)
         silver_layer(lake, version, zones, spellings, raw_types)
-        gold_layer(lake, version, cfg)
+        gold_layer(lake, version, cfg, raw_types)
         planning(lake, cfg, first_week)
         quality_gate(lake, version, cfg, enforce)
     return lake

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeplan.operators.clean import RAW, arrived_late, conform, standardise_column
 from lakeplan.operators.dedupe import first_per_key, latest_per_key, mark_duplicates
-from lakeplan.operators.expectations import Rule, accepted, as_received, keep_valid, rejected, tag
+from lakeplan.operators.expectations import Counted, Rule, accepted, as_received, keep_valid, rejected, tag
 from lakeplan.operators.joins import flag_known, lookup
 from lakeplan.session import checkpoint_table
 
@@ -164,12 +164,13 @@ def tagged_lines(raw: DataFrame, products: DataFrame, order: list[Column], keys:
     return tag(known, RULES["sales_lines"], first=[(F.col("is_duplicate"), DUPLICATE_LINE)])
 
 
-def clean_and_rejected(raw: DataFrame, products: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the lines, ranked and joined once: the tagged frame is written before it is split.
+def clean_and_rejected(raw: DataFrame, products: DataFrame, order: list[Column], counted: Counted | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the lines, ranked and joined once: the tagged frame is written, and its rules counted, before it is split.
 
     Lines that carry their raw rows are quarantined with them.
     """
-    tagged = checkpoint_table(tagged_lines(raw, products, order), "tagged_lines")
+    tagged = tagged_lines(raw, products, order)
+    tagged = checkpoint_table(counted.watch(tagged) if counted else tagged, "tagged_lines")
     clean = accepted(tagged).drop("is_duplicate", RAW).withColumn("arrived_late", arrived_late())
     return clean, as_received(tagged) if RAW in tagged.columns else rejected(tagged)
 

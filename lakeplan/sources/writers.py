@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:
@@ -47,9 +46,24 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop knows them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
+    """Whether a folder has anything in it besides markers and checkpoints; asks the file system only."""
+    fs, where = hadoop_path(spark, path)
+    if not fs.exists(where):
         return False
+    names = fs.listStatusIterator(where)
+    while names.hasNext():
+        if not names.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = hadoop_path(spark, path)
+    fs.delete(where, True)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeplan.operators.clean import RAW
-from lakeplan.operators.expectations import Rule, accepted, as_received, rejected, tag
+from lakeplan.operators.expectations import METRICS, Counted, Rule, accepted, as_received, rejected, tag
 from lakeplan.sources.readers import with_lineage
 from lakeplan.sources.writers import append_rows, folder_exists
 
@@ -53,18 +53,23 @@ def ingest_stream(spark: SparkSession, path: str, schema: StructType | str, out:
     return append_stream(file_stream(spark, path, schema, fmt, pattern), out, checkpoint)
 
 
-def expect_stream(df: DataFrame, rules: list[Rule], good: str, bad: str, checkpoint: str) -> StreamingQuery:
+def expect_stream(df: DataFrame, rules: list[Rule], good: str, bad: str, checkpoint: str, metrics: str | None = None) -> StreamingQuery:
     """Split a stream into accepted and quarantined rows.
 
     A frame that carries its raw rows (``with_raw``) is quarantined with them.  Each micro-batch overwrites its own ``batch_id`` folder, so a batch that is replayed
-    after a lost driver replaces its rows instead of adding them again.
+    after a lost driver replaces its rows instead of adding them again. With ``metrics`` the rule counts of each batch, observed
+    while it is split, are kept the same way.
     """
     def split(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag(batch, rules).persist()
+        counted = Counted(rules)
+        tagged = counted.watch(tag(batch, rules)).persist()
         try:
             accepted(tagged).drop(RAW).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
             refused = as_received(tagged) if RAW in tagged.columns else rejected(tagged)
             refused.write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
+            if metrics:
+                rows = batch.sparkSession.createDataFrame(counted.rows(), METRICS)
+                rows.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
         finally:
             tagged.unpersist()
 

@@ -79,10 +79,9 @@ def test_spelling_and_whitespace_count_as_corrections(spark):
 
 def test_warn_only_rule_keeps_rows_and_counts(spark):
     df = spark.createDataFrame([("a", "N"), ("b", None)], "store_id string, zone string")
-    warn = [r for r in silver.RULES["stores"] if r.action == "warn"]
-    seen_df, seen = ex.observe(ex.keep_valid(df, silver.RULES["stores"]), warn, "w1")
-    assert seen_df.count() == 2
-    assert seen.get["state_resolved"] == 1 and seen.get["rows"] == 2
+    counted = ex.Counted(silver.RULES["stores"])
+    assert ex.keep_valid(counted.watch(df), silver.RULES["stores"]).count() == 2
+    assert counted.rows() == [("store_id_present", "drop", 2, 0), ("state_resolved", "warn", 1, 1)]
 
 
 def test_rule_metrics_add_up(spark):

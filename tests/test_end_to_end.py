@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeplan.config import PlanConfig
-from lakeplan.plans import runner
+from lakeplan.plans import runner, silver
 
 CFG = PlanConfig(as_of="2024-06-30", last_full_week="2024-06-17", calendar_start="2022-01-01",
                  calendar_end="2024-12-31", horizon_weeks=4, reject_limit=0.05)
@@ -104,8 +104,24 @@ def test_clean_and_quarantine_are_the_input(lake):
     bad = {r.line_id: r for r in lake.table("silver", "sales_lines_quarantine").collect()}
     assert bad["LT"].quantity == "many" and bad["LT"].dq_reason == "non-positive quantity"
     assert bad["LT"]._source_file.endswith(".parquet") and bad["LT"]._ingest_ts is not None
-    warned = lake.table("silver", "rule_metrics").where("rule = 'state_resolved'").first()
+
+
+def test_every_rule_is_counted_by_the_run(lake):
+    got = {(r.source_table, r.rule): r for r in lake.table("silver", "rule_metrics").collect()}
+    rules = {f: rules for f, rules in silver.RULES.items()}
+    assert set(got) == {(f, r.name) for f in rules for r in rules[f]} and len(got) == 14
+    warned = got["stores", "state_resolved"]
     assert (warned.action, warned.passed_rows, warned.failed_rows) == ("warn", 1, 1)
+    snapshots = {f: lake.table("bronze", f).count() for f in ("geography", "products", "stores")}
+    for (feed, _), r in got.items():
+        rows = snapshots.get(feed) or runner.raw(lake, feed, 1, RAW_TYPES).count()
+        assert r.passed_rows + r.failed_rows == rows, feed
+    failed = {k: r.failed_rows for k, r in got.items() if r.failed_rows}
+    assert failed == {("geography", "valid_zone"): 1, ("products", "positive_mrp"): 1, ("stores", "store_id_present"): 1,
+                      ("stores", "state_resolved"): 1, ("customers", "customer_id_present"): 1, ("orders", "store_id_present"): 1,
+                      ("orders", "valid_status"): 1, ("sales_lines", "positive_quantity"): 2, ("sales_lines", "known_sku"): 1,
+                      ("sales_lines", "price_present"): 1, ("returns", "positive_return_qty"): 1, ("inventory", "non_negative_stock"): 1,
+                      ("purchase_orders", "positive_order_qty"): 1}
 
 
 def test_one_row_per_order(lake):
