@@ -42,19 +42,39 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return counted.join(dim.select(key).distinct(), key, "left_anti")
 
 
-def window_days(events: DataFrame, first: Column, last: Column, day: str = "day") -> DataFrame:
-    """One row per event and day of its window.  Windows are short, so this replaces a range join."""
-    return events.withColumn(day, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))))
+#: Windows up to 2 ** 22 days; a day number fits well below it.
+MOST_LEVELS = 22
+
+
+def dyadic_pieces(first: Column, last: Column) -> Column:
+    """Array of (level, at): the days from ``first`` to ``last`` as at most two aligned blocks of 2 ** level days a level.
+
+    On each level the blocks that still fit run from ``lo`` to ``hi``; an odd end has no sibling inside and is a piece of its own.
+    """
+    def pieces(level):
+        width = F.pow(F.lit(2), level).cast("long")
+        lo = F.floor((F.unix_date(first).cast("long") + width - 1) / width).cast("long")
+        hi = F.floor((F.unix_date(last).cast("long") + 1) / width).cast("long")
+        odd = lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1
+        piece = lambda at: F.struct(level.cast("int").alias("level"), at.alias("at"))
+        return F.array(F.when((lo < hi) & odd(lo), piece(lo)), F.when((lo < hi) & odd(hi), piece(hi - 1)))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(MOST_LEVELS)), pieces)))
 
 
 def event_window_join(events: DataFrame, daily: DataFrame, event_day_start: str, event_day_end: str,
                       before: int, on: list[str], daily_date: str = "order_date") -> DataFrame:
     """Join daily rows lying between ``before`` days ahead of the start and the end, per key.
 
-    The window is exploded to days and joined by equality on the keys and the day.
+    A window of any length becomes a few dyadic pieces, at most two a level; a day has one block on every level that some
+    piece has. Both meet by equality on the keys, the level and the block, and exactly once. A NULL end makes no window.
     """
-    days = window_days(events, F.date_sub(F.col(event_day_start), before), F.col(event_day_end), daily_date)
-    return daily.join(broadcast_if_small(days), [*on, daily_date])
+    windows = events.withColumn("_piece", F.explode(dyadic_pieces(F.date_sub(F.col(event_day_start), before), F.col(event_day_end))))
+    pieces = measured(windows.withColumns({"_level": F.col("_piece.level"), "_at": F.col("_piece.at")}).drop("_piece"), "windows")
+    levels = sorted(r[0] for r in pieces.select("_level").distinct().collect()) or [0]
+    blocks = F.explode(F.array(*[F.struct(F.lit(n).alias("_level"), F.floor(F.unix_date(daily_date) / F.lit(1 << n)).cast("long").alias("_at")) for n in levels]))
+    keyed = daily.withColumn("_block", blocks).withColumns({"_level": F.col("_block._level"), "_at": F.col("_block._at")}).drop("_block")
+    return keyed.join(pieces, [*on, "_level", "_at"]).drop("_level", "_at")
 
 
 def trailing_join(cutoffs: DataFrame, grid: DataFrame, weeks: int, cutoff: str = "cutoff",
@@ -93,14 +113,35 @@ def shifted_join(df: DataFrame, calendar: DataFrame, day: str, offset: int, keys
     return df.join(ahead, [*keys, day], "left").fillna({value: default})
 
 
+def count_up_to(starts: Column, day: Column) -> Column:
+    """How many of a sorted array's dates are not after ``day``: a binary search, one step for each halving."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(starts) + F.lit(1))).cast("int"))
+    bounds = F.struct(F.lit(0).alias("lo"), F.size(starts).alias("hi"))
+
+    def halve(s, _):
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        after, is_open = F.get(starts, middle) > day, s["lo"] < s["hi"]
+        return F.struct(F.when(is_open & ~after, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(is_open & after, middle).otherwise(s["hi"]).alias("hi"))
+
+    return F.aggregate(steps, bounds, halve)["lo"]
+
+
 def asof_price(days: DataFrame, history: DataFrame, key: str, day: str) -> DataFrame:
-    """The history row in force on each day: ``valid_from <= day < valid_to`` (NULL is open)."""
-    h = history.select(F.col(key).alias("_hk"), *[c for c in history.columns if c != key])
-    in_force = (
-        (F.col(key) == F.col("_hk")) & (F.col("valid_from") <= F.col(day))
-        & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
-    )
-    return days.join(broadcast_if_small(h), in_force, "left").drop("_hk")
+    """The version in force on each day: the last with ``valid_from <= day``, if ``day < valid_to`` (NULL is open at either end).
+
+    A key's versions, at most one a day, are one row of sorted arrays, so the join gives a row for each row and the version
+    is searched inside it. Of versions that begin on one day the one that ends last counts. A NULL key or day finds nothing.
+    """
+    values = [c for c in history.columns if c not in (key, "valid_from", "valid_to")]
+    since, until = F.coalesce("valid_from", F.lit("0001-01-01").cast("date")), F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))
+    version = F.struct(since.alias("since"), until.alias("until"), F.struct("valid_from", "valid_to", *values).alias("v"))
+    held = history.where(F.col(key).isNotNull()).groupBy(F.col(key)).agg(F.array_sort(F.collect_list(version)).alias("_versions"))
+    joined = days.join(broadcast_if_small(held), key, "left")
+    at = F.get(F.col("_versions"), count_up_to(F.col("_versions.since"), F.col(day)) - 1)
+    found = joined.withColumn("_at", at).drop("_versions")
+    live = F.col(day) < F.col("_at.until")
+    picked = [F.when(live, F.col(f"_at.v.{c}")).alias(c) for c in history.columns if c != key]
+    return found.select(*days.columns, *picked)
 
 
 def nearest(points: DataFrame, sites: list[tuple[str, float, float]], lat: str = "lat", lon: str = "lon",

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from lakeplan.forecast.conformal import quantiles
 from lakeplan.functions.calendar import names_per_day
-from lakeplan.functions.columns import avg_if, count_if, ratio, sum_if
+from lakeplan.functions.columns import avg_if, count_if, month_start, ratio, sum_if
 from lakeplan.operators import aggregates as ag
+from lakeplan.operators import distinct as ds
 from lakeplan.operators.inventory import weekly_variability
+from lakeplan.operators.joins import lookup
 from lakeplan.operators.lift import event_uplift, promotion_lift
 from lakeplan.operators.quality import union_all
 from lakeplan.operators.rfm import rfm_totals
@@ -14,6 +16,7 @@ from lakeplan.plans import reports
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.oracle import B, M, R, S, month, ratio as sql_ratio, week
 from lakeplan.plans.stand_in import CFG
+from lakeplan.session import checkpoint_table
 
 ZONES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
@@ -43,6 +46,32 @@ def agg5(s):
     return s.raw_lines.groupBy("sku_id").agg(F.countDistinct("order_id").alias("orders"))
 
 
+ACTIVE_KEYS = ["order_date", "zone", "channel_code"]
+
+
+def active_customers(s):
+    """The stored daily aggregate of delivered customers."""
+    orders = checkpoint_table(s.fact.where("order_status = 'Delivered'").select(*ACTIVE_KEYS, "customer_id"), "active")
+    return checkpoint_table(ds.member_bitmaps(orders, ds.dense_ids(orders, "customer_id"), "customer_id", ACTIVE_KEYS), "bitmaps")
+
+
+@query("agg5_mergeable_distinct", f"""SELECT {month('order_date')} AS month, zone, count(DISTINCT customer_id) AS active_customers
+    FROM s_fact WHERE order_status = 'Delivered' AND customer_id IS NOT NULL GROUP BY ALL""")
+def agg5_mergeable(s):
+    """Active customers by month and zone, merged from the daily bitmaps alone."""
+    return ds.distinct_members(active_customers(s).withColumn("month", month_start("order_date")), ["month", "zone"], "active_customers")
+
+
+@query("sem5_active_customers", f"""SELECT d.fiscal_year, c.channel_name AS channel, count(DISTINCT f.customer_id) AS active_customers
+    FROM s_fact f JOIN s_dim_date d ON f.order_date = d.date JOIN s_channels c ON c.channel_code = f.channel_code
+    WHERE f.order_status = 'Delivered' AND f.customer_id IS NOT NULL GROUP BY ALL""")
+def sem5_active(s):
+    """The same measure at the grain of fiscal year and channel, asked of the pre-aggregated table."""
+    dated = lookup(active_customers(s), s.dim_date.select(F.col("date").alias("order_date"), "fiscal_year"), "order_date")
+    named = lookup(dated, s.channels.select("channel_code", F.col("channel_name").alias("channel")), "channel_code")
+    return ds.distinct_members(named, ["fiscal_year", "channel"], "active_customers")
+
+
 @query("agg6_conditional", f"""SELECT o_orderpriority AS channel_code,
     {R("sum(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END)", 2)} AS cancelled,
     {R(M("CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END", 2), 4)} AS delivered_mean,

@@ -5,7 +5,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from lakeplan.functions.calendar import spine_of
+from lakeplan.functions.columns import month_start
+from lakeplan.operators.aggregates import sales_daily
+from lakeplan.operators.decisions import DecisionLog
 from lakeplan.operators.expectations import Rule
+from lakeplan.operators.refresh import replace_partitions, touched_months, within
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.stand_in import CHANNELS
 from lakeplan.session import checkpoint_table, scratch_path
@@ -14,6 +18,8 @@ from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, inges
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENT_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
+DAILY_INPUT = ["line_id", "order_id", "order_date", "order_status", "sku_id", "category", "base_product", "zone", "channel_code", "promo_code",
+               "quantity", "volume_kg", "gross_amount", "net_revenue", "discount_amount", "cogs", "gross_margin", "tax_amount", "is_returned"]
 EVENT_RULES = [
     Rule("positive_value", "value > 1", reason="value too small"),
     Rule("known_type", "event_type <> 'error'", reason="error event"),
@@ -112,12 +118,16 @@ def snk3(s):
     return round_trip(s, s.customer.select("c_custkey", "c_name", "c_acctbal"), "csv")
 
 
-@query("snk6_append_log", "SELECT CAST(2 * count(*) AS BIGINT) AS rows, CAST(count(DISTINCT event_id) AS BIGINT) AS ids FROM events")
+@query("snk6_append_log", "SELECT warehouse_id, sku_id, decision, override_units FROM s_decisions")
 def snk6(s):
-    path = scratch_path(s.spark, "log")
-    for _ in range(2):
-        writers.append_rows(s.events_tbl.select("event_id", "value"), path)
-    return s.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("ids"))
+    """The decision log, whose batches come twice each, once under a key and once known by their rows."""
+    log = DecisionLog(s.spark, scratch_path(s.spark, "log"))
+    rows = s.decisions.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("recommended_order_units", "double"), ("comment", "string"), ("decided_by", "string"))])
+    for side, key in (("decision = 'Approved'", "approved"), ("decision <> 'Approved'", None)):
+        for _ in range(2):
+            log.append(rows.where(side), key)
+    return log.read().select("warehouse_id", "sku_id", "decision", "override_units")
 
 
 @query("snk7_lineage_cut", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
@@ -219,3 +229,15 @@ def snk9(s):
     rows = [s.spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(v).alias("version"), "event_type", "n")
             for v, out in found.items()]
     return rows[0].unionByName(rows[1])
+
+
+@query("snk9_touched_months", "SELECT * FROM s_daily")
+def snk9_months(s):
+    """The daily aggregate refreshed by month: without two periods first, then with the lines that come later."""
+    path = scratch_path(s.spark, "daily")
+    fact = checkpoint_table(s.fact.select(*DAILY_INPUT).withColumn("order_month", month_start("order_date")), "fact_months")
+    arrived_first = "order_date < DATE'2001-01-01' AND NOT (month(order_date) = 3 AND pmod(hash(line_id), 5) = 0)"
+    for rows, months in ((fact.where(arrived_first), None), (fact, touched_months(fact.where(f"NOT ({arrived_first})"), "order_date"))):
+        daily = sales_daily(rows.where(within("order_date", months)), s.channels).withColumn("order_month", month_start("order_date"))
+        replace_partitions(daily, path, "order_month", months, ["order_date", "zone"])
+    return s.spark.read.parquet(path).drop("order_month")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,6 +50,36 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+APPEND_ID = "append_id"
+
+
+def append_once(df: DataFrame, path: str, key: str) -> bool:
+    """Append rows under an idempotency key; a key that is there already adds nothing. Says whether rows were added.
+
+    The rows are written aside and published by a single rename that fails if its target exists, so of several writers with one
+    key one wins, and readers see all of its rows or none. On a store without atomic rename writers of one key must take turns.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]{1,200}", key) or key.startswith((".", "_")):
+        raise ValueError(f"not a key: {key!r}")
+    spark = df.sparkSession
+    fs, target = hadoop_path(spark, f"{path}/{APPEND_ID}={key}")
+    if fs.exists(target):
+        return False
+    aside = f"{path}/_appends/{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    source = fs.makeQualified(hadoop.Path(aside))
+    try:
+        hadoop.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, fs.makeQualified(target), options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        fs.delete(source, True)
+        return False
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) as Hadoop knows them."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

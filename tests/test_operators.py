@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeplan.config import PlanConfig
 from lakeplan.functions.calendar import date_spine, dim_date
 from lakeplan.operators import demand as dm
+from lakeplan.operators import distinct as dd
 from lakeplan.operators import joins as jn
 from lakeplan.operators import quality as ql
 from lakeplan.operators import reorder as ro
@@ -176,6 +178,76 @@ def test_joins(spark):
     assert got == {"N": "a", "S": "a"}
 
 
+def test_asof_finds_one_version_a_row(spark):
+    """1,000 versions of a key: the join gives as many rows as came in."""
+    rng = random.Random(1)
+    first = D(2000, 1, 1)
+    starts = sorted(rng.sample(range(8000), 1000))
+    versions = [("S", first + dt.timedelta(days=a), first + dt.timedelta(days=b) if rng.random() < 0.9 else first + dt.timedelta(days=a + 1), float(i))
+                for i, (a, b) in enumerate(zip(starts, [*starts[1:], 9000], strict=True))]
+    versions[-1] = (*versions[-1][:2], None, versions[-1][3])
+    versions += [("O", None, D(2001, 1, 1), 1.0), ("O", D(2001, 1, 1), None, 2.0), ("O", None, None, 0.5), (None, first, None, 9.0)]
+    hist = spark.createDataFrame(versions, "sku_id string, valid_from date, valid_to date, p double")
+    days = [(i, "S", first + dt.timedelta(days=rng.randrange(-50, 9500))) for i in range(600)]
+    days += [(1000, "O", D(1990, 1, 1)), (1001, "O", D(2001, 1, 1)), (1002, "O", None), (1003, None, first), (1004, "missing", first)]
+    at = spark.createDataFrame(days, "i int, sku_id string, d date")
+    out = jn.asof_price(at, hist, "sku_id", "d")
+
+    def plain(key, day):
+        if key != "S" or day is None:
+            return None
+        begun = [v for v in versions[:1000] if v[1] <= day]
+        return begun[-1][3] if begun and (begun[-1][2] is None or day < begun[-1][2]) else None
+
+    want = {i: plain(k, d) for i, k, d in days} | {1000: 0.5, 1001: 2.0}
+    assert {r.i: r.p for r in out.collect()} == want
+    assert out.columns == ["i", "sku_id", "d", "valid_from", "valid_to", "p"]
+    for broadcast in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        try:
+            run = jn.asof_price(at, hist, "sku_id", "d")
+            run.collect()
+            assert join_rows(run) == len(days)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def join_rows(df):
+    """Rows out of the joins of an executed plan."""
+    plans, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        node = plans.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(node.executedPlan())
+            continue
+        if kind.endswith("JoinExec"):
+            total += node.metrics().apply("numOutputRows").value()
+        if kind.endswith("QueryStageExec"):
+            plans.append(node.plan())
+        children = node.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_windows_of_any_length(spark):
+    """From a day to ten years; a window takes at most two pieces a level."""
+    rng = random.Random(2)
+    spans = [(i, "ab"[i % 2], D(1960, 1, 1) + dt.timedelta(days=rng.randrange(9000)), n) for i, n in enumerate([1, 2, 3, 7, 28, 60, 61, 365, 366, 1000, 3652, 3653] * 3)]
+    rows = [(i, k, a, a + dt.timedelta(days=n - 1)) for i, k, a, n in spans] + [(90, "a", D(1970, 1, 5), D(1970, 1, 1)), (91, "a", None, D(1970, 1, 1)), (92, "a", D(1970, 1, 1), None)]
+    events = spark.createDataFrame(rows, "e int, k string, a date, b date")
+    days = [("ab"[i % 2], D(1959, 12, 1) + dt.timedelta(days=7 * i // 2)) for i in range(4000)]
+    daily = spark.createDataFrame([(k, d) for k, d in days], "k string, day date")
+    got = sorted((r.e, r.day) for r in jn.event_window_join(events, daily, "a", "b", 5, ["k"], "day").select("e", "day").collect())
+    want = sorted((e, d) for e, k, a, b in rows if a and b for key, d in days if key == k and a - dt.timedelta(days=5) <= d <= b)
+    assert got == want
+    pieces = events.where("a <= b").select("e", F.datediff("b", "a").alias("n"), F.size(jn.dyadic_pieces(F.col("a"), F.col("b"))).alias("pieces")).collect()
+    assert all(r.pieces <= 2 * (r.n + 1).bit_length() for r in pieces) and max(r.pieces for r in pieces) <= 22
+    assert jn.event_window_join(events.limit(0), daily, "a", "b", 5, ["k"], "day").count() == 0
+    pure = jn.event_window_join(events.select("e", "a", "b"), daily.select("day"), "a", "b", 0, [], "day")
+    assert pure.count() == sum(a <= d <= b for _, _, a, b in rows if a and b for _, d in days)
+
+
 def test_bucket_allocation_follows_shares(spark):
     shares = spark.sql("SELECT * FROM VALUES ('Z', 'a', 0.7D), ('Z', 'b', 0.2D), ('Z', 'c', 0.1D) t(zone, item, share)")
     rows = spark.range(20000).select("id", F.lit("Z").alias("zone"))
@@ -241,3 +313,22 @@ def test_metric_view_joins_only_what_is_asked(spark):
         view.query(["nope"], ["revenue"])
     with pytest.raises(ValueError):
         MetricView(src, [Field("x", "1")], [Field("X", "2")])
+
+
+def test_distinct_members_merge_over_any_keys(spark):
+    """More members than one bitmap holds; the second day's members come later and keep the first day's numbers."""
+    days = spark.range(120_000).selectExpr("date_add(DATE'2024-01-01', CAST(id % 3 AS int)) AS d", "CAST(id % 7 AS int) AS z",
+                                           "CASE WHEN id % 11 <> 0 THEN concat('c', pmod(hash(id), 50000)) END AS c")
+    first, later = days.where("d < DATE'2024-01-03'"), days.where("d >= DATE'2024-01-03'")
+    ids = checkpoint_table(dd.dense_ids(first, "c"))
+    more = checkpoint_table(dd.more_ids(ids, later, "c"))
+    numbers = more.agg(F.min("member_no"), F.max("member_no"), F.count(F.lit(1)), F.countDistinct("member_no")).first()
+    assert numbers[0] == 1 and numbers[1] == numbers[2] == numbers[3] > 32_768
+    assert ids.join(more, ["c", "member_no"]).count() == ids.count()
+    stored = dd.member_bitmaps(first, ids, "c", ["d", "z"]).unionByName(dd.member_bitmaps(later, more, "c", ["d", "z"]))
+    stored = checkpoint_table(stored)
+    for keys in (["d"], ["z"], ["d", "z"]):
+        got = {tuple(r) for r in dd.distinct_members(stored, keys, "n").collect()}
+        assert got == {tuple(r) for r in days.groupBy(*keys).agg(F.countDistinct("c")).collect()}
+    assert dd.distinct_members(stored, [], "n").first().n == days.select("c").where("c IS NOT NULL").distinct().count()
+    assert dd.distinct_members(dd.member_bitmaps(days.limit(0), ids, "c", ["d"]), ["d"], "n").count() == 0

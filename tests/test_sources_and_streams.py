@@ -1,11 +1,14 @@
 """Sinks, incremental ingestion, refresh modes and session helpers."""
 
+import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakeplan import session
+from lakeplan.operators.decisions import DecisionLog
 from lakeplan.operators.expectations import Rule
 from lakeplan.sources import readers, writers
 from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, ingest_stream
@@ -141,3 +144,29 @@ def test_plan_shapes(spark, name, wanted, unwanted):
     df = entry.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert all(w in plan for w in wanted) and not any(u in plan for u in unwanted)
+
+
+def test_append_once(spark, tmp_path):
+    path, rows = f"{tmp_path}/log", spark.range(3)
+    assert writers.append_once(rows, path, "a") and not writers.append_once(rows, path, "a")
+    assert writers.append_once(rows, path, "b-1.c")
+    assert spark.read.parquet(path).count() == 6
+    for bad in ("", "_x", ".x", "a/b", "a=b", "x" * 201):
+        with pytest.raises(ValueError):
+            writers.append_once(rows, path, bad)
+
+
+def test_append_once_from_two_threads(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda _: writers.append_once(spark.range(100), path, "same"), range(8)))
+    assert sum(won) == 1 and spark.read.parquet(path).count() == 100
+    assert os.listdir(f"{path}/_appends") == [] or all(f.startswith(".") for f in os.listdir(f"{path}/_appends"))
+
+
+def test_decisions_are_logged_once(spark, tmp_path):
+    log = DecisionLog(spark, f"{tmp_path}/decisions")
+    row = lambda d: ("W", "S", 1.0, None, d, None, "me", dt.datetime(2024, 1, 1))
+    assert log.append([row("Approved"), row("Rejected")]) and not log.append([row("Rejected"), row("Approved")])
+    assert log.append([row("Approved")]) and log.append([row("Approved")], "second-call") and not log.append([row("Other")], "second-call")
+    assert log.read().count() == 4 and log.latest().count() == 1
