@@ -1,10 +1,12 @@
 """Phrase collocations: Rabin-Karp fingerprints of all n-grams, counted level by level, verified against the texts.
 
 A worker turns words into 64-bit values and keeps prefix polynomials of them, so that the fingerprint of every n-gram of a batch
-is one difference of an array. Per language and length a task adds occurrences of equal fingerprints before they are shuffled;
-a row is a fingerprint, its occurrences, a pointer to a document that holds it, and the least and greatest value of a second
-polynomial. An n-gram is counted only where the words, then both shorter n-grams inside it, may be frequent: a bitmap of fixed
-size says so, lets frequent ones through always and others sometimes, and so decides nothing.
+is one difference of an array. Per language and length a task adds occurrences of equal fingerprints before they are shuffled.
+Each length is counted twice: first fingerprints and counts alone, then, for the frequent ones, rows with a pointer to a document
+that holds the n-gram and the least and greatest value of a second polynomial. An n-gram is counted only where both shorter
+n-grams inside it may be frequent: a bitmap of fixed size says so, lets frequent ones through always and others sometimes, and so
+decides nothing. Tasks that count are large, TASK_WORDS words where the table allows: the more of a phrase's occurrences
+meet in a task, the fewer rows are shuffled.
 
 Texts appear only for frequent phrases. A fingerprint with one second value is read from the document that it points to. With two,
 different phrases collided: their occurrences are read again and counted by their text. Counts are therefore those of the texts.
@@ -20,7 +22,8 @@ columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from functools import reduce
+from collections.abc import Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,13 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 MARK = b"\xff"
 TABLE = bytes(255 if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 BITMAP_BITS = 1 << 24
-HELD_ROWS = 1 << 20
-CACHE_WORDS = 1_000_000
+HELD_ROWS = 1 << 19
+SENT_ROWS = 1 << 15
+BATCH_WORDS = 1 << 18
+TASK_WORDS = 1 << 24
+BLOCK_WORDS = 1 << 16
+LONGEST_WINDOW = 64
+CACHE_WORDS = 500_000
 UNKNOWN = "und"
 
 BASE, CHECK_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
@@ -68,33 +76,26 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(TABLE).replace(MARK, b" \xff ").split()
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+@cache
+def powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** i and base ** -i modulo 2 ** 64, as far as a block and a window reach."""
+    n = BLOCK_WORDS + LONGEST_WINDOW
+    return tuple(np.cumprod(np.append(np.ones(1, np.uint64), np.full(n - 1, b, np.uint64))) for b in (base, pow(base, -1, 1 << 64)))
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and base ** -i modulo 2 ** 64 for i below n or more."""
-    known = _powers.get(base)
-    if known is None or len(known[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            known = tuple(np.cumprod(np.append(np.ones(1, np.uint64), np.full(size - 1, b, np.uint64))) for b in (base, pow(base, -1, 1 << 64)))
-        _powers[base] = known
-    return known
+def windows(values: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Polynomials of all windows of n values: a difference of prefix sums of value * base ** -i, times a power.
 
-
-class Polynomials:
-    """Prefix sums of value * base ** -i: the polynomial of any window is a difference times a power."""
-
-    def __init__(self, values: np.ndarray):
-        self.values = values
-        self.sums = {}
-        for base in (BASE, CHECK_BASE):
-            self.sums[base] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(base, len(values) + 1)[1][:len(values)], dtype=np.uint64)])
-
-    def windows(self, n: int, base: int) -> np.ndarray:
-        sums = self.sums[base]
-        count = max(0, len(self.values) - n + 1)
-        return (sums[n:n + count] - sums[:count]) * powers(base, len(self.values) + 1)[0][n - 1:n - 1 + count]
+    The sums start anew every BLOCK_WORDS windows, so that the powers are a table of fixed size.
+    """
+    up, down = powers(base)
+    out = np.empty(max(0, len(values) - n + 1), np.uint64)
+    for start in range(0, len(out), BLOCK_WORDS):
+        block = values[start:start + BLOCK_WORDS + n - 1]
+        sums = np.append(np.zeros(1, np.uint64), np.cumsum(block * down[:len(block)], dtype=np.uint64))
+        count = len(block) - n + 1
+        out[start:start + count] = (sums[n:] - sums[:count]) * up[n - 1:n - 1 + count]
+    return out
 
 
 class Batch:
@@ -108,7 +109,6 @@ class Batch:
         self.tongue = np.repeat(np.array(tongues, np.uint64), lengths) if values else zero
         self.row = np.repeat(np.array(rows, np.int64), lengths) if values else zero.astype(np.int64)
         self.bits = bits
-        self.polynomials = Polynomials(self.values)
         self.gaps = np.concatenate([[0], np.cumsum(self.values == 0)])
 
     def whole(self, n: int) -> np.ndarray:
@@ -116,14 +116,16 @@ class Batch:
         count = max(0, len(self.values) - n + 1)
         return self.gaps[n:n + count] == self.gaps[:count]
 
+    def hashed(self, n: int, base: int) -> np.ndarray:
+        """Polynomials of all windows, mixed with their language and length."""
+        fingerprints = windows(self.values, n, base)
+        return mixed(fingerprints + self.tongue[:len(fingerprints)] + np.uint64(n * int(MIX[2]) % (1 << 64)))
+
     def keys(self, n: int) -> np.ndarray:
-        """Fingerprints by language and length."""
-        fingerprints = self.polynomials.windows(n, BASE)
-        mix = mixed(fingerprints + self.tongue[:len(fingerprints)] + np.uint64(n * int(MIX[2]) % (1 << 64)))
-        return (mix >> np.uint64(64 - self.bits)).view(np.int64)
+        return (self.hashed(n, BASE) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def checks(self, n: int) -> np.ndarray:
-        return mixed(self.polynomials.windows(n, CHECK_BASE)).view(np.int64)
+        return self.hashed(n, CHECK_BASE).view(np.int64)
 
 
 def tongue_value(lang: str) -> int:
@@ -146,38 +148,45 @@ def bitmap_of(counted: DataFrame) -> np.ndarray:
     return bitmap.view(np.uint64)
 
 
-def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+MERGED = {"n": np.add, "row": np.minimum, "low": np.minimum, "high": np.maximum}
+
+
+def added(parts: list[tuple[np.ndarray, ...]], columns: tuple[str, ...]) -> tuple[np.ndarray, ...]:
     """Rows of equal keys as one."""
-    key, n, row, low, high = (np.concatenate(c) for c in zip(*parts, strict=True))
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    if not len(starts):
-        return key, n, row, low, high
-    return (key[starts], np.add.reduceat(n[order], starts), np.minimum.reduceat(row[order], starts),
-            np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts))
+    whole = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    order = np.argsort(whole[0], kind="stable")
+    key = whole[0][order]
+    if not len(key):
+        return tuple(whole)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return (key[starts], *(MERGED[c].reduceat(x[order], starts) for c, x in zip(columns[1:], whole[1:], strict=True)))
 
 
 class Occurrences:
     """Adds up the occurrences that a task meets, and hands them on when it holds too many keys."""
 
-    def __init__(self):
+    def __init__(self, columns: tuple[str, ...]):
+        self.columns = columns
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.held = self.fresh = 0
 
     def add(self, batch: Batch, n: int, where: np.ndarray) -> None:
         at = np.flatnonzero(where)
-        check = batch.checks(n)[at]
-        self.parts.append((batch.keys(n)[at], np.ones(len(at), np.int64), batch.row[at], check, check))
+        found = {"key": batch.keys(n)[at], "n": np.ones(len(at), np.int64)}
+        if "row" in self.columns:
+            found["row"] = batch.row[at]
+            found["low"] = found["high"] = batch.checks(n)[at]
+        self.parts.append(tuple(found[c] for c in self.columns))
         self.fresh += len(at)
 
     def batches(self, last: bool = False):
         if self.fresh > HELD_ROWS or (last and self.parts):
-            whole = added(self.parts)
+            whole = added(self.parts, self.columns)
             self.parts, self.held, self.fresh = [whole], len(whole[0]), 0
             if self.held > HELD_ROWS or last:
                 self.parts, self.held = [], 0
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in whole], names=list(COLUMNS))
+                for i in range(0, len(whole[0]), SENT_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + SENT_ROWS]) for c in whole], names=list(self.columns))
 
 
 def prepared(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
@@ -185,58 +194,80 @@ def prepared(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     return docs.select(row.alias("row"), F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), common.whole_text(text).cast("binary").alias("text"))
 
 
-def text_batch(batch: pa.RecordBatch, bits: int) -> Batch:
-    values = []
-    for text in batch.column(2).to_pylist():
-        words = words_of(text)
-        values.append(np.fromiter(map(VALUES.__getitem__, words), np.uint64, len(words)))
-    return Batch(values, [tongue_value(x) for x in batch.column(1).to_pylist()], batch.column(0).to_pylist(), bits)
+def text_values(column: pa.Array) -> Iterator[np.ndarray]:
+    for text in column:
+        words = words_of(text.as_py())
+        yield np.fromiter(map(VALUES.__getitem__, words), np.uint64, len(words))
+
 
+def encoded_values(column: pa.Array) -> Iterator[np.ndarray]:
+    for words in column:
+        yield np.frombuffer(words.as_py(), np.uint64)
 
-def encoded_batch(batch: pa.RecordBatch, bits: int) -> Batch:
-    values = [np.frombuffer(x, np.uint64) for x in batch.column(3).to_pylist()]
-    return Batch(values, [tongue_value(x) for x in batch.column(1).to_pylist()], batch.column(0).to_pylist(), bits)
 
+def word_batches(rows: pa.RecordBatch, values_of, bits: int) -> Iterator[tuple[int, int, Batch]]:
+    """(first row, end, batch) of rows(row, lang, words): some documents at a time, or one long one."""
+    row, lang, column = rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2)
+    first, held, size = 0, [], 0
+    for i, values in enumerate(values_of(column)):
+        held.append(values)
+        size += len(values)
+        if size >= BATCH_WORDS or i + 1 == len(row):
+            yield first, i + 1, Batch(held, [tongue_value(x) for x in lang[first:i + 1]], row[first:i + 1], bits)
+            first, held, size = i + 1, [], 0
 
-def possible(batch: Batch, n: int, bitmap: np.ndarray | None) -> np.ndarray:
-    """Windows of n words without a gap, both of whose shorter n-grams the bitmap lets pass."""
+
+def possible(batch: Batch, n: int, shorter: np.ndarray | None, own: np.ndarray | None) -> np.ndarray:
+    """Windows of n words without a gap that the bitmaps of the n-grams one word shorter, and of their own length, let pass."""
     where = batch.whole(n)
-    if bitmap is None or not len(where):
-        return where
-    shorter = in_bitmap(bitmap, batch.keys(n - 1))
-    return where & shorter[:-1] & shorter[1:]
+    if shorter is not None and len(where):
+        inside = in_bitmap(shorter, batch.keys(n - 1))
+        where = where & inside[:-1] & inside[1:]
+    return where if own is None else where & in_bitmap(own, batch.keys(n))
 
 
-def counted(rows: DataFrame, batch_of, n: int, bitmap: np.ndarray | None, least: int, bits: int) -> DataFrame:
-    """(key, n, row, low, high, size): n-grams with at least ``least`` occurrences, written."""
+def occurrences(rows: DataFrame, values_of, n: int, shorter: np.ndarray | None, own: np.ndarray | None, columns: tuple[str, ...], bits: int) -> DataFrame:
+    """Partial rows of every task."""
     def run(batches):
-        found = Occurrences()
+        found = Occurrences(columns)
         for arrow in batches:
-            batch = batch_of(arrow, bits)
-            found.add(batch, n, possible(batch, n, bitmap))
-            yield from found.batches()
+            for _, _, batch in word_batches(arrow, values_of, bits):
+                found.add(batch, n, possible(batch, n, shorter, own))
+                yield from found.batches()
         yield from found.batches(last=True)
 
-    partial = common.map_arrow(rows, run, ", ".join(f"{c} long" for c in COLUMNS))
+    return common.map_arrow(rows, run, ", ".join(f"{c} long" for c in columns))
+
+
+def frequent_keys(rows: DataFrame, values_of, n: int, shorter: np.ndarray | None, least: int, bits: int) -> np.ndarray:
+    """Bitmap of the fingerprints with at least ``least`` occurrences; only fingerprints and counts are shuffled."""
+    partial = occurrences(rows, values_of, n, shorter, None, ("key", "n"), bits)
+    heavy = partial.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return bitmap_of(common.written(heavy, f"heavy-{n}"))
+
+
+def counted(tokens: DataFrame, n: int, own: np.ndarray, least: int, bits: int) -> DataFrame:
+    """(key, n, row, low, high, size): n-grams with at least ``least`` occurrences, written."""
+    partial = occurrences(tokens, encoded_values, n, None, own, COLUMNS, bits)
     sums = partial.groupBy("key").agg(F.sum("n").alias("n"), F.min("row").alias("row"), F.min("low").alias("low"), F.max("high").alias("high"))
     return common.written(sums.filter(F.col("n") >= least).withColumn("size", F.lit(n)), f"grams-{n}")
 
 
 def encoded(rows: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
-    """(row, lang, n_words, words), written: each document's word values, 0 where no frequent word can be."""
+    """(row, lang, words, n_words), written: each document's word values, 0 where no frequent word can be."""
     def run(batches):
         for arrow in batches:
-            batch = text_batch(arrow, bits)
-            held = np.where(in_bitmap(bitmap, batch.keys(1)), batch.values, np.uint64(0))
-            out, counts, at = [], [], 0
-            for length in batch.lengths:
-                out.append(held[at:at + length].tobytes())
-                counts.append(int(np.count_nonzero(batch.values[at:at + length])))
-                at += length + 1
-            yield pa.RecordBatch.from_arrays([arrow.column(0), arrow.column(1), pa.array(counts, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["row", "lang", "n_words", "words"])
+            for first, end, batch in word_batches(arrow, text_values, bits):
+                held = np.where(in_bitmap(bitmap, batch.keys(1)), batch.values, np.uint64(0))
+                out, counts, at = [], [], 0
+                for length in batch.lengths:
+                    out.append(held[at:at + length].tobytes())
+                    counts.append(int(np.count_nonzero(batch.values[at:at + length])))
+                    at += length + 1
+                yield pa.RecordBatch.from_arrays([arrow.column(0)[first:end], arrow.column(1)[first:end], pa.array(out, pa.binary()), pa.array(counts, pa.int64())],
+                                                 names=["row", "lang", "words", "n_words"])
 
-    return common.written(common.map_arrow(rows, run, "row long, lang string, n_words long, words binary"), "encoded")
+    return common.written(common.map_arrow(rows, run, "row long, lang string, words binary, n_words long"), "encoded")
 
 
 def pointed_phrases(rows: DataFrame, grams: DataFrame, longest: int, bits: int) -> DataFrame:
@@ -271,20 +302,19 @@ def collided_phrases(rows: DataFrame, grams: DataFrame, longest: int, bits: int,
     bitmap = bitmap_of(grams)
 
     def run(batches):
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64())
         for arrow in batches:
-            batch, words = text_batch(arrow, bits), []
             langs = arrow.column(1).to_pylist()
-            for text in arrow.column(2).to_pylist():
-                words += [*words_of(text), MARK]
-            owner = np.repeat(np.arange(len(langs)), np.array(batch.lengths, np.int64) + 1)
-            seen: Counter = Counter()
-            for n in range(1, longest + 1):
-                keys = batch.keys(n)
-                for i in np.flatnonzero(batch.whole(n) & in_bitmap(bitmap, keys)).tolist():
-                    seen[int(keys[i]), langs[owner[i]], b" ".join(words[i:i + n]).decode(), n] += 1
-            columns = zip(*((*k, c) for k, c in seen.items()), strict=True) if seen else [[]] * 5
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "lang", "phrase", "size", "f"])
+            for first, end, batch in word_batches(arrow, text_values, bits):
+                words = [w for text in arrow.column(2)[first:end].to_pylist() for w in (*words_of(text), MARK)]
+                owner = np.repeat(np.arange(first, end), np.array(batch.lengths, np.int64) + 1)
+                seen: Counter = Counter()
+                for n in range(1, longest + 1):
+                    keys = batch.keys(n)
+                    for i in np.flatnonzero(batch.whole(n) & in_bitmap(bitmap, keys)).tolist():
+                        seen[int(keys[i]), langs[owner[i]], b" ".join(words[i:i + n]).decode(), n] += 1
+                columns = zip(*((*k, c) for k, c in seen.items()), strict=True) if seen else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "lang", "phrase", "size", "f"])
 
     found = common.map_arrow(rows, run, "key long, lang string, phrase string, size int, f long")
     ours = found.join(grams.select("key", "size"), ["key", "size"], "left_semi")
@@ -295,17 +325,21 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST,
                      lang: str = "lang", bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all phrases of 1 to ``longest`` words, and (lang, n) of all words; both written."""
     rows = prepared(docs, doc_id, text, lang)
-    levels = [counted(rows, text_batch, 1, None, least, bits)]
-    tokens = encoded(rows, bitmap_of(levels[0]), bits)
+    frequent = frequent_keys(rows, text_values, 1, None, least, bits)
+    tokens = encoded(rows, frequent, bits)
+    totals = common.written(tokens.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
+    words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tokens = tokens.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, words // TASK_WORDS))
+    levels = [counted(tokens, 1, frequent, least, bits)]
     for n in range(2, longest + 1):
-        levels.append(counted(tokens, encoded_batch, n, bitmap_of(levels[-1]) if n > 2 else None, least, bits))
+        frequent = frequent_keys(tokens, encoded_values, n, frequent, least, bits)
+        levels.append(counted(tokens, n, frequent, least, bits))
     grams = common.written(reduce(DataFrame.unionByName, levels), "grams")
     pure, mixed_up = grams.filter("low = high"), grams.filter("low <> high")
     texts = pure.join(pointed_phrases(rows, pure, longest, bits), ["key", "low"]).select("lang", "phrase", "size", F.col("n").alias("f"))
     if not mixed_up.isEmpty():
         texts = texts.unionByName(collided_phrases(rows, common.written(mixed_up, "collided"), longest, bits, least))
-    totals = tokens.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    return common.written(texts, "phrases"), common.written(totals, "totals")
+    return common.written(texts, "phrases"), totals
 
 
 def part(words: Column, start, length) -> Column:
