@@ -13,7 +13,7 @@ from lakeplan.operators.refresh import replace_partitions, touched_months, withi
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.stand_in import CHANNELS
 from lakeplan.session import checkpoint_table, scratch_path
-from lakeplan.sources import readers, writers
+from lakeplan.sources import clustering, readers, rescue, writers
 from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, ingest_stream
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
@@ -145,6 +145,29 @@ def snk8(s):
     return s.spark.read.parquet(path).where("order_date >= DATE'2000-01-01'")
 
 
+@query("snk8_interleaved_write", """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE o_custkey <= 40""")
+def snk8_interleaved(s):
+    """Clustered on date and customer; the filter is on the second column alone."""
+    path = scratch_path(s.spark, "interleaved")
+    rows = s.orders_tbl.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"))
+    clustering.write_interleaved(rows, path, clustering.quantile_cuts(rows, ["order_date", "o_custkey"]), 16)
+    return s.spark.read.parquet(path).where("o_custkey <= 40")
+
+
+@query("src4_rescued_fields", """SELECT s_suppkey, s_name, CAST(CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS DOUBLE) AS balance, CASE WHEN s_suppkey % 2 = 0
+    THEN NULL ELSE 'unknown' END AS refused, CAST(s_nationkey AS VARCHAR) AS extra FROM supplier""")
+def src4_rescued(s):
+    """A snapshot with a column that is not declared, and with values that are not of their type."""
+    path = scratch_path(s.spark, "odd")
+    odd = s.supplier.select("s_suppkey", "s_name", F.expr("CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_acctbal AS string) ELSE 'unknown' END").alias("balance"),
+                            F.col("s_nationkey").alias("extra"))
+    writers.export(odd, path, "csv")
+    kind = s.supplier.schema["s_suppkey"].dataType.simpleString()
+    back = rescue.read_snapshot_rescued(s.spark, path, "csv", f"s_suppkey {kind}, s_name string, balance double")
+    return back.select("s_suppkey", "s_name", "balance", F.get_json_object(rescue.RESCUED, "$.balance").alias("refused"),
+                       F.get_json_object(rescue.RESCUED, "$.extra").alias("extra"))
+
+
 @query("str1_append_new_files", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def str1(s):
     """Two triggered runs over the same folder; the second finds nothing new."""

@@ -23,7 +23,8 @@ from lakeplan.sources.writers import append_rows, folder_exists
 from lakeplan.streaming.ingest import FILES_PER_BATCH, drain
 
 LOG_SCHEMA = "version int, fingerprint string, batches map<string,bigint>, refreshed_at timestamp"
-FEED_KEYS = {"sales_lines": "line_id", "orders": "order_id", "returns": "line_id"}
+#: What says which lines a new row of a feed touches: their day, or their key.
+FEED_KEYS = {"sales_lines": "order_date", "orders": "order_id", "returns": "line_id"}
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ class ChangeLog:
 
         def months(batch: DataFrame, batch_id: int) -> None:
             if feed == "sales_lines":
-                days = batch.select(F.to_date("order_date").alias("order_date"))
+                days = batch.select(F.to_date(key).alias("order_date"))
             else:
                 days = lines.join(batch.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_semi").select("order_date")
             found = days.where("order_date IS NOT NULL").select(month_start("order_date").alias("month")).distinct()

@@ -34,9 +34,10 @@ from lakeplan.operators.rfm import customer_rfm
 from lakeplan.plans import kpi, silver
 from lakeplan.plans.incremental import FEED_KEYS, ChangeLog, Pending, bronze_stream
 from lakeplan.session import stages
-from lakeplan.sources.readers import read_snapshot
-from lakeplan.sources.writers import folder_exists, write_clustered
-from lakeplan.streaming.ingest import FILES_PER_BATCH, Refresh, expect_stream, ingest_stream
+from lakeplan.sources.clustering import files_for, quantile_cuts, write_interleaved
+from lakeplan.sources.rescue import read_snapshot_rescued
+from lakeplan.sources.writers import folder_exists
+from lakeplan.streaming.ingest import FILES_PER_BATCH, Refresh, expect_stream, ingest_rescued
 
 STREAM_FEEDS = ["orders", "sales_lines", "returns", "inventory", "purchase_orders", "customers"]
 JSON_FEEDS = ["stores", "promotions"]
@@ -63,7 +64,7 @@ def ddl(feed: str, as_text: bool = False, raw_types: dict[str, dict[str, str]] |
     return ", ".join(f"{c} {'string' if as_text else t}" for c, t in cols.items())
 
 
-LINEAGE = "_source_file string, _ingest_ts timestamp"
+LINEAGE = "_source_file string, _ingest_ts timestamp, _rescued string"
 
 
 @dataclass
@@ -76,10 +77,11 @@ class Lake:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def save(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+    def save(self, layer: str, name: str, df: DataFrame, like: DataFrame | None = None) -> DataFrame:
+        """Replace a table; one with ``like``, a stored table of its columns, is clustered on all of its CLUSTERING columns."""
         path = self.path(layer, name)
-        if name in CLUSTERING:
-            write_clustered(df, path, CLUSTERING[name])
+        if like is not None:
+            write_interleaved(df, path, quantile_cuts(like, CLUSTERING[name]), files_for(like))
         else:
             df.write.mode("overwrite").parquet(path)
         return self.table(layer, name)
@@ -107,10 +109,10 @@ def bronze(lake: Lake, landing: str, full: bool = False, raw_types: dict | None
     for feed in STREAM_FEEDS:
         out, ckpt = refresh.paths(feed, version)
         if folder_exists(lake.spark, f"{landing}/{feed}"):
-            ingest_stream(lake.spark, f"{landing}/{feed}", ddl(feed, raw_types=raw_types), out, ckpt)
+            ingest_rescued(lake.spark, f"{landing}/{feed}", ddl(feed, raw_types=raw_types), out, ckpt)
     for fmt, feeds in (("json", JSON_FEEDS), ("csv", CSV_FEEDS)):
         for feed in feeds:
-            lake.save("bronze", feed, read_snapshot(lake.spark, f"{landing}/{feed}", fmt, ddl(feed, as_text=True)))
+            lake.save("bronze", feed, read_snapshot_rescued(lake.spark, f"{landing}/{feed}", fmt, ddl(feed, as_text=True)))
     return version
 
 
@@ -119,7 +121,7 @@ def raw(lake: Lake, feed: str, version: int, raw_types: dict | None = None) -> D
     schema = f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"
     if not folder_exists(lake.spark, out):
         return lake.spark.createDataFrame([], schema)
-    return lake.spark.read.schema(schema).parquet(out)
+    return lake.spark.read.schema(schema).parquet(out).drop("batch_id")
 
 
 def typed(feed: str, rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -168,7 +170,7 @@ def silver_layer(lake: Lake, version: int, zones: list[str] | None = None, spell
              F.xxhash64(*silver.SCHEMAS["sales_lines"]).asc()]
     counts["sales_lines"] = Counted(silver.RULES["sales_lines"])
     clean, refused = silver.clean_and_rejected(lines, lake.table("silver", "products"), order, counts["sales_lines"])
-    lake.save("silver", "sales_lines", clean)
+    lake.save("silver", "sales_lines", clean, like=lines)
     lake.save("silver", "sales_lines_quarantine", refused)
     lake.save("silver", "rule_metrics", rule_counts(lake, version, counts))
 
@@ -203,10 +205,11 @@ def pending_months(lake: Lake, version: int, cfg: PlanConfig, raw_types: dict |
     """What the feeds have brought since gold was last refreshed."""
     spark, log = lake.spark, ChangeLog(lake.spark, lake.path("gold", "_changes"), version)
     lines = lake.table("silver", "sales_lines").select("line_id", "order_id", "order_date")
-    for feed in FEED_KEYS:
+    for feed, key in FEED_KEYS.items():
         source, _ = Refresh(spark, lake.path("bronze", "streams")).paths(feed, version)
         if folder_exists(spark, source):
-            log.note(feed, bronze_stream(spark, source, f"{ddl(feed, raw_types=raw_types)}, {LINEAGE}"), lines)
+            kind = (raw_types or {}).get(feed, {}).get(key, silver.SCHEMAS[feed][key])
+            log.note(feed, bronze_stream(spark, source, f"{key} {kind}"), lines)
     joined = [lake.table("silver", t) for t in ("products", "stores", "product_costs", "channels", "events")]
     settings = spark.createDataFrame([(cfg.calendar_start, cfg.calendar_end, cfg.fiscal_start_month)], "a string, b string, c int")
     return log, log.pending([*joined, settings])
@@ -235,7 +238,8 @@ def gold_layer(lake: Lake, version: int, cfg: PlanConfig, raw_types: dict | None
     fact = by_month("fact_sales_line", fx.fact_sales_line(lines, orders, products, s("stores"), s("product_costs"), returns))
     heads = by_month("fact_orders", fx.orders_from_lines(of_months(fact)))
     g("fact_returns", fx.fact_returns(returns, fact, products))
-    inv = g("fact_inventory_daily", inventory_daily(streamed(lake, "inventory", version), s("product_costs")))
+    stock = streamed(lake, "inventory", version)
+    inv = lake.save("gold", "fact_inventory_daily", inventory_daily(stock, s("product_costs")), like=stock)
     g("fact_purchase_orders", fx.fact_purchase_orders(streamed(lake, "purchase_orders", version), s("suppliers"), products))
     daily = by_month("agg_sales_daily", ag.sales_daily(of_months(fact), s("channels")))
     by_month("agg_sales_monthly", ag.sales_monthly(of_months(fact), calendar))

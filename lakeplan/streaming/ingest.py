@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from lakeplan.operators.clean import RAW
 from lakeplan.operators.expectations import METRICS, Counted, Rule, accepted, as_received, rejected, tag
 from lakeplan.sources.readers import with_lineage
+from lakeplan.sources.rescue import read_parquet_files
 from lakeplan.sources.writers import append_rows, folder_exists
 
 FILES_PER_BATCH = 10000
@@ -53,6 +54,27 @@ def ingest_stream(spark: SparkSession, path: str, schema: StructType | str, out:
     return append_stream(file_stream(spark, path, schema, fmt, pattern), out, checkpoint)
 
 
+FILE_NAMES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def ingest_rescued(spark: SparkSession, path: str, schema: StructType | str, out: str, checkpoint: str,
+                   files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
+    """Like :func:`ingest_stream` for Parquet files that need not agree: what ``schema`` has no place for is kept as JSON.
+
+    The stream carries the names of new files only; each micro-batch reads its files by what they hold and overwrites its own
+    ``batch_id`` folder, so a replayed batch replaces its rows.
+    """
+    names = (spark.readStream.format("binaryFile").schema(FILE_NAMES).option("maxFilesPerTrigger", files_per_batch)
+             .option("pathGlobFilter", "*.parquet").load(path).select("path"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r.path for r in batch.collect())
+        if files:
+            read_parquet_files(batch.sparkSession, files, schema).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return drain(names.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def expect_stream(df: DataFrame, rules: list[Rule], good: str, bad: str, checkpoint: str, metrics: str | None = None) -> StreamingQuery:
     """Split a stream into accepted and quarantined rows.
 

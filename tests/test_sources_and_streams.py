@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lakeplan import session
 from lakeplan.operators.decisions import DecisionLog
 from lakeplan.operators.expectations import Rule
-from lakeplan.sources import readers, writers
-from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, ingest_stream
+from lakeplan.sources import clustering, readers, rescue, writers
+from lakeplan.streaming.ingest import Refresh, expect_stream, file_stream, ingest_rescued, ingest_stream
 
 SCHEMA = "id int, qty int, batch string"
 
@@ -170,3 +170,72 @@ def test_decisions_are_logged_once(spark, tmp_path):
     assert log.append([row("Approved"), row("Rejected")]) and not log.append([row("Rejected"), row("Approved")])
     assert log.append([row("Approved")]) and log.append([row("Approved")], "second-call") and not log.append([row("Other")], "second-call")
     assert log.read().count() == 4 and log.latest().count() == 1
+
+
+def test_landing_files_that_differ_lose_nothing(spark, tmp_path):
+    """An extra column, a wrong type and a missing column arrive one after the other; all rows and values stay."""
+    src, out, ck = (f"{tmp_path}/{n}" for n in ("src", "out", "ck"))
+    schema = "id int, qty int, batch string"
+    land(spark, src, [1, 2])
+    ingest_rescued(spark, src, schema, out, ck)
+    for sql in ("SELECT 3 AS id, 7 AS qty, 'b' AS batch, 'red' AS colour, named_struct('x', 1.5D) AS more", "SELECT 4 AS id, 'many' AS qty, 'b' AS batch",
+                "SELECT 5 AS id, '12' AS qty, 'b' AS batch", "SELECT 6L AS id, 'b' AS batch", "SELECT 9999999999L AS id, 1 AS qty, 'b' AS batch"):
+        spark.sql(sql).write.mode("append").parquet(src)
+    for _ in range(2):
+        ingest_rescued(spark, src, schema, out, ck)
+    rows = spark.read.parquet(out).collect()
+    assert {(r.id, r.qty): r._rescued for r in rows if r._rescued is None or "999" not in r._rescued} == {
+        (1, -1): None, (2, 0): None, (3, 7): '{"colour":"red","more":{"x":1.5}}', (4, None): '{"qty":"many"}', (5, 12): None, (6, None): None}
+    assert [r._rescued for r in rows if r.qty == 1] == ['{"id":9999999999}'] and len(rows) == 7
+    assert all(r._source_file.endswith(".parquet") and r._ingest_ts for r in rows)
+
+
+def test_snapshots_that_differ_lose_nothing(spark, tmp_path):
+    csv, json = f"{tmp_path}/csv", f"{tmp_path}/json"
+    os.makedirs(csv), os.makedirs(json)
+    for name, text in (("a.csv", "id,name\n1,x\n2,\n"), ("b.csv", "name,id,colour\ny,3,red\nz,four,\n")):
+        with open(f"{csv}/{name}", "w") as f:
+            f.write(text)
+    got = rescue.read_snapshot_rescued(spark, csv, "csv", "id int, name string").collect()
+    assert {(r.id, r.name, r._rescued) for r in got} == {(1, "x", None), (2, None, None), (3, "y", '{"colour":"red"}'), (None, "z", '{"id":"four"}')}
+    with open(f"{json}/a.json", "w") as f:
+        f.write('{"id": 1, "name": "x"}\n{"id": "two", "more": {"k": [1, 2]}}\nnot json\n')
+    rows = {r.id: r._rescued for r in rescue.read_snapshot_rescued(spark, json, "json", "id int, name string").where("id = 1 OR _rescued LIKE '%two%'").collect()}
+    assert rows[1] is None and '"id":"two"' in rows[None] and '"k":["1","2"]' in rows[None]
+    broken = rescue.read_snapshot_rescued(spark, json, "json", "id int, name string").where("_rescued LIKE '%not json%'").collect()
+    assert len(broken) == 1 and broken[0].id is None
+    assert rescue.read_snapshot_rescued(spark, f"{tmp_path}/none", "csv", "id int").count() == 0
+
+
+def scanned(df):
+    """Rows that the scan of an executed plan handed on."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_a_filter_on_the_second_column_skips_files(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("date_add(DATE'2020-01-01', CAST(pmod(hash(id), 1000) AS int)) AS d",
+                                          "concat('k', format_string('%04d', pmod(hash(id, 1), 3000))) AS k", "id")
+    rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS date) AS d, 'k0001' AS k, -1L AS id"))
+    cuts = clustering.quantile_cuts(rows, ["d", "k"])
+    clustering.write_interleaved(rows, f"{tmp_path}/z", cuts, 16)
+    back = spark.read.parquet(f"{tmp_path}/z")
+    assert back.count() == 40_001 and back.exceptAll(rows).count() == 0
+    files = back.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("a"), F.max("k").alias("b"))
+    stats = files.collect()
+    assert len(stats) == 16 and max(r.n for r in stats) < 2 * 40_000 / 16, "the parts are equal to each other"
+    assert sum(r.a <= "k1500" <= r.b for r in stats) <= 8
+    for only in ("k = 'k1500'", "d = DATE'2021-06-01'"):
+        assert scanned(back.where(only)) <= 20_000, only
+
+
+def test_interleaved_key_and_parts(spark):
+    assert [r[0] for r in spark.sql("SELECT * FROM VALUES (0, 0), (1, 0), (0, 1), (3, 1), (255, 255) t(a, b)").select(
+        clustering.interleaved([F.col("a"), F.col("b")])).collect()] == [0, 2, 1, 11, 65535]
+    for n in (1, 2, 7, 64):
+        parts = clustering.numbers_by_part(spark, n)
+        got = spark.createDataFrame([(i,) for i in parts], "i int").select(F.pmod(F.hash("i"), F.lit(n))).collect()
+        assert [r[0] for r in got] == list(range(n))
+    empty = spark.sql("SELECT CAST(NULL AS date) AS d, CAST(NULL AS string) AS k WHERE false")
+    assert clustering.quantile_cuts(empty, ["d", "k"]) == {"d": [], "k": []}
