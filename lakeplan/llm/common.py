@@ -131,6 +131,17 @@ def flagged(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return known.withColumn("__maybe", hit).drop("__word", "__bits")
 
 
+def maybe_in(ids: DataFrame, key: str) -> F.Column:
+    """A condition on ``key``: false only where it is certainly not in ``ids``. The bitmap, of fixed size, is one scalar: no join."""
+    words = [0] * (BITMAP_BITS // 64)
+    for r in bitmap(ids, key).collect():
+        words[r["__word"]] = r["__bits"]
+    held = ids.sparkSession.createDataFrame([(words,)], "bits array<bigint>").select("bits").scalar()
+    at = f"pmod(xxhash64({key}), {BITMAP_BITS})"
+    word = F.get(held, F.expr(f"CAST(floor({at} / 64) AS INT)"))
+    return F.expr(f"shiftleft(1L, CAST({at} % 64 AS INT))").bitwiseAND(word) != 0
+
+
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``ids``(key); only rows that the bitmap cannot clear are shuffled."""
     known = flagged(df, ids, key)

@@ -219,35 +219,45 @@ def signed_sets(docs: DataFrame, join: Join) -> DataFrame:
     return common.map_arrow(docs.select("text"), run, "signature long, set_id long")
 
 
+def blocks_for(n: Column) -> Column:
+    """How many blocks hold n rows: a power of two, so that signatures of nearly the same rows are dealt alike."""
+    return F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(n / BLOCK_MEMBERS)))).cast("long")
+
+
 def hot_rows(signed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of signatures with at most two blocks of rows; distinct (signature, set_id, blocks) of the others, if any."""
+    """Rows of signatures with at most two blocks of rows; distinct (signature, set_id, blocks) of the others, if any.
+
+    A bitmap of the hot signatures keeps all other rows out of the joins.
+    """
     counts = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * BLOCK_MEMBERS)
-    hot = common.written(counts.select("signature", F.ceil(F.col("n") / BLOCK_MEMBERS).alias("blocks")), "hot")
+    hot = common.written(counts.select("signature", blocks_for(F.col("n")).alias("blocks")), "hot")
     if hot.isEmpty():
         return signed, None
-    rows = common.flagged(signed, hot, "signature").filter("__maybe").join(hot, "signature")
-    return common.without(signed, hot, "signature"), common.written(rows.select("signature", "set_id", "blocks").distinct(), "hot-rows")
+    maybe = common.maybe_in(hot, "signature")
+    rows = signed.filter(maybe).join(hot, "signature")
+    false_hits = signed.filter(maybe).join(hot.select("signature"), "signature", "left_anti")
+    return signed.filter(~maybe).unionByName(false_hits), common.written(rows.select("signature", "set_id", "blocks").distinct(), "hot-rows")
 
 
 def salted(hot: DataFrame) -> DataFrame:
-    """(signature, set_id): a signature for each block of a hot one, in each round."""
+    """(signature, set_id, block): a signature for each block of a hot one, in each round; ``block`` is that of any signature."""
     made = None
     for r in range(ROUNDS):
         salt = F.pmod(F.xxhash64(F.lit(r), F.col("set_id")), F.col("blocks"))
-        dealt = hot.select(F.xxhash64(F.col("signature"), F.lit(r), salt).alias("signature"), "set_id")
+        dealt = hot.select(F.xxhash64(F.col("signature"), F.lit(r), salt).alias("signature"), "set_id", F.xxhash64(F.lit(r), "blocks", salt).alias("block"))
         made = dealt if made is None else made.unionByName(dealt)
     return made
 
 
 def block_pairs(hot: DataFrame, labels: DataFrame) -> DataFrame:
-    """(group_id, set_id): pairs of blocks of a hot signature, without those inside one component of ``labels``(set_id, component)."""
+    """(group_id, set_id, block): pairs of blocks of a hot signature, without those inside one component of ``labels``(set_id, component)."""
     members = common.written(hot.join(labels, "set_id").select("signature", "set_id", "component"), "hot-members")
     sizes = common.written(members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("size")), "hot-sizes")
     small = F.sum(F.when(F.col("size") < BLOCK_MEMBERS, F.col("size")).otherwise(0)).alias("small")
     opened = sizes.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), small).filter("n > 1").drop("n")
     dealt = sizes.join(opened, "signature")
     whole = F.col("size") >= BLOCK_MEMBERS
-    salt = F.pmod(F.xxhash64("set_id"), F.ceil(F.when(whole, F.col("size")).otherwise(F.col("small")) / BLOCK_MEMBERS))
+    salt = F.pmod(F.xxhash64("set_id"), blocks_for(F.when(whole, F.col("size")).otherwise(F.col("small"))))
     only = F.when(whole, F.col("component"))
     placed = common.written(members.join(dealt, ["signature", "component"])
                             .select("signature", "set_id", only.alias("only"), F.xxhash64(whole, only, salt).alias("block")), "hot-blocks")
@@ -255,21 +265,22 @@ def block_pairs(hot: DataFrame, labels: DataFrame) -> DataFrame:
     left = blocks.select("signature", F.col("block").alias("a"), F.col("only").alias("a_only"), F.pmod("block", F.lit(PARTS)).cast("int").alias("part"))
     right = blocks.select("signature", F.col("block").alias("b"), F.col("only").alias("b_only"), F.explode(F.array(*[F.lit(i) for i in range(PARTS)])).alias("part"))
     pairs = left.join(right, ["signature", "part"]).filter("a <= b AND (a_only <> b_only OR a_only IS NULL OR b_only IS NULL)")
-    sides = pairs.select(F.xxhash64("signature", "a", "b").alias("group_id"), "signature", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
-    return sides.join(placed, ["signature", "block"]).select("group_id", "set_id")
+    sides = pairs.select(F.xxhash64("signature", "a", "b").alias("group_id"), F.xxhash64("a", "b").alias("both"), "signature",
+                         F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    return sides.join(placed, ["signature", "block"]).select("group_id", "set_id", F.col("both").alias("block"))
 
 
 def groups(signed: DataFrame) -> DataFrame:
-    """(group_id, members): distinct lists of sets that share a signature."""
+    """(group_id, members, block): distinct lists of sets that share a signature, from signed(signature, set_id, block)."""
     def run(batches):
         seen: set[int] = set()
 
-        def of(signature: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+        def of(signature: np.ndarray, owner: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
             new = np.concatenate([[True], (signature[1:] != signature[:-1]) | (owner[1:] != owner[:-1])])
-            signature, owner = signature[new], owner[new]
+            signature, owner, block = signature[new], owner[new], block[new]
             starts = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
             ends = np.append(starts[1:], len(signature))
-            ids, members = [], []
+            ids, members, blocks = [], [], []
             for i in np.flatnonzero(ends - starts > 1):
                 part = owner[starts[i]:ends[i]]
                 key = xxhash.xxh64_intdigest(part.tobytes())
@@ -279,24 +290,28 @@ def groups(signed: DataFrame) -> DataFrame:
                     seen.add(key)
                     ids.append(int(np.int64(np.uint64(key))))
                     members.append(part)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(members, pa.list_(pa.int64()))], names=["group_id", "members"])
+                    blocks.append(int(block[starts[i]]))
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(members, pa.list_(pa.int64())), pa.array(blocks, pa.int64())],
+                                              names=["group_id", "members", "block"])
 
-        held_s, held_o = [], []
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            s, o = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            columns = [batch.column(i).to_numpy() for i in range(3)]
+            s = columns[0]
             if not len(s):
                 continue
             cut = int(np.searchsorted(s, s[-1]))
-            if cut or (held_s and held_s[-1][-1] != s[0]):
-                yield of(np.concatenate([*held_s, s[:cut]]), np.concatenate([*held_o, o[:cut]])) if held_s or cut else of(s[:0], o[:0])
-                held_s, held_o = [], []
-            held_s.append(s[cut:])
-            held_o.append(o[cut:])
-        if held_s:
-            yield of(np.concatenate(held_s), np.concatenate(held_o))
+            if cut or (held and held[-1][0][-1] != s[0]):
+                whole = [*held, [c[:cut] for c in columns]]
+                yield of(*(np.concatenate(c) for c in zip(*whole, strict=True)))
+                held = []
+            held.append([c[cut:] for c in columns])
+        if held:
+            yield of(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    runs = common.map_arrow(signed.repartition("signature").sortWithinPartitions("signature", "set_id"), run, "group_id long, members array<long>")
-    return runs.groupBy("group_id").agg(F.first("members").alias("members"))
+    dealt = signed.select("signature", "set_id", "block").repartition("signature").sortWithinPartitions("signature", "set_id")
+    runs = common.map_arrow(dealt, run, "group_id long, members array<long>, block long")
+    return runs.groupBy("group_id").agg(F.first("members").alias("members"), F.min("block").alias("block"))
 
 
 def members_table(rows: DataFrame, needed: DataFrame, join: Join) -> DataFrame:
@@ -315,7 +330,9 @@ def members_table(rows: DataFrame, needed: DataFrame, join: Join) -> DataFrame:
 
 
 def possible_pairs(rows: DataFrame, join: Join, all_pairs: bool) -> DataFrame:
-    """(a, b) set ids that the sketches cannot rule out, from rows(group_id, set_id, n, sketch, component).
+    """(a, b) set ids that the sketches cannot rule out, from rows(group_id, set_id, n, sketch, component, block).
+
+    Groups of one block meet in one task, one after the other, and a pair is handed on once a task.
 
     A spanning forest of each group, nearest pairs first; or, with ``all_pairs``, every pair between two components.
     """
@@ -360,7 +377,7 @@ def possible_pairs(rows: DataFrame, join: Join, all_pairs: bool) -> DataFrame:
             yield batch_of(pairs)
         yield batch_of(of(held) if held else [])
 
-    dealt = rows.select("group_id", "set_id", "n", "sketch", "component").repartition("group_id").sortWithinPartitions("group_id", "set_id")
+    dealt = rows.repartition(F.coalesce("block", "group_id")).select("group_id", "set_id", "n", "sketch", "component").sortWithinPartitions("group_id", "set_id")
     return common.map_arrow(dealt, run, "a long, b long").distinct()
 
 
@@ -407,9 +424,9 @@ def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataF
 
     def listed_of(signed):
         lists = common.written(groups(signed), "groups")
-        return lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"))
+        return lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"), "block")
 
-    cold_lists = listed_of(cold)
+    cold_lists = listed_of(cold.withColumn("block", F.col("signature")))
     listed = cold_lists if hot is None else cold_lists.unionByName(listed_of(salted(hot)))
     needed = common.written(listed.select("set_id").distinct().join(classes, "set_id").select("key"), "needed")
     members = common.written(members_table(rows, needed, join), "members")
@@ -419,7 +436,7 @@ def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataF
     tried = common.written(verified(possible_pairs(first, join, False), members, join), "pairs")
     joined = components(tried.filter("linked"))
     labelled = sketched.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    again = cold_lists.filter("size > 2").select("group_id", "set_id")
+    again = cold_lists.filter("size > 2").select("group_id", "set_id", "block")
     if hot is not None:
         labelled = common.written(labelled, "labelled")
         again = again.unionByName(block_pairs(hot, labelled.select("set_id", "component")))
