@@ -82,20 +82,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op4_line_dedup", r"""
-    WITH l AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS position FROM documents),
-    k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM l),
-    b AS (SELECT bare FROM k WHERE length(bare) >= 20 GROUP BY bare HAVING count(DISTINCT source) >= 5),
-    m AS (SELECT k.*, b.bare IS NOT NULL AS removed FROM k LEFT JOIN b USING (bare)),
-    c AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
-                 coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (NOT removed), '') AS clean FROM m GROUP BY doc_id)
-    SELECT doc_id, n_lines, n_removed, length(clean) AS clean_chars, sha256(clean) AS clean_sha256 FROM c""")
-def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only lines of 20 characters or more, as its SQL has it."""
-    return cleaned_lines(spark, sf_dir, 20)
-
-
-@query("all_line_dedup", r"""
     WITH l AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                       unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS position FROM documents),
     k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM l),
@@ -104,14 +90,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     c AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
                  coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (NOT removed), '') AS clean FROM m GROUP BY doc_id)
     SELECT doc_id, n_lines, n_removed, length(clean) AS clean_chars, sha256(clean) AS clean_sha256 FROM c""")
-def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line that is not blank."""
-    return cleaned_lines(spark, sf_dir, line_dedup.LEAST_CHARS)
-
-
-def cleaned_lines(spark: SparkSession, sf_dir: str, least_chars: int) -> DataFrame:
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that is not blank counts."""
     docs = common.documents(spark, sf_dir).select("doc_id", "text", "source")
-    cleaned = line_dedup.without_boilerplate(docs, least_chars=least_chars)
+    cleaned = line_dedup.without_boilerplate(docs)
     whole = common.whole_text()
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length(whole).cast("long").alias("clean_chars"), F.sha2(whole, 256).alias("clean_sha256"))
 

@@ -30,7 +30,9 @@ def line_key(line: Column, least_chars: int) -> Column:
 
 
 def row_key(doc_id: str, text: Column) -> Column:
-    return F.unhex(F.md5(F.concat_ws("|", F.col(doc_id).cast("string"), text).cast("binary")))
+    """MD5 of the text and a hash of the id, which differs for NULL and any text of an id."""
+    own = F.col(doc_id).cast("string")
+    return F.concat(F.unhex(F.md5(text.cast("binary"))), F.unhex(F.lpad(F.hex(F.xxhash64(own.isNull(), own)), 16, "0")))
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str, site: str, least_chars: int) -> DataFrame:
@@ -55,7 +57,8 @@ def boilerplate(lines: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
 
 def without_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
                         sites: int = SITES, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` with its text cleaned, and n_lines and n_removed."""
+    """``docs`` with its text cleaned, and n_lines and n_removed; columns of these names are replaced."""
+    docs = docs.drop("n_lines", "n_removed")
     lines = lines_of(docs, doc_id, text, site, least_chars)
     common_lines = common.written(boilerplate(lines, sites), "boilerplate")
     hits = common.flagged(lines.select("row", "position", "line"), common_lines, "line").filter("__maybe").join(common_lines, "line", "left_semi")

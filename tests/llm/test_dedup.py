@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakeplan.llm import components, exact_dedup, line_dedup, ngram_join
 from tests.llm import cases
@@ -239,3 +240,16 @@ def test_lines_on_many_sites_go(spark):
     got = Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in cleaned.collect())
     assert got == brute_lines(docs.collect(), 4, line_dedup.LEAST_CHARS)
     assert line_dedup.without_boilerplate(cases.empty(spark)).collect() == []
+
+
+def test_rows_that_read_alike_keep_their_own_lines(spark):
+    """A row without an id whose text looks like another row's id and text."""
+    rows = [(i, "same line", "en", f"s{i}", 1) for i in range(1, 7)] + [(None, "1|same line", "en", "s1", 1), (None, "same line", "en", "s1", 1)]
+    got = Counter((r.doc_id, r.text) for r in line_dedup.without_boilerplate(spark.createDataFrame(rows, cases.SCHEMA)).collect())
+    assert got == Counter([(i, "") for i in range(1, 7)] + [(None, "1|same line"), (None, "")])
+
+
+def test_line_counts_replace_columns_of_their_name(spark):
+    docs = cases.awkward(spark).withColumns({"n_lines": F.lit("clash"), "n_removed": F.lit("clash")})
+    cleaned = line_dedup.without_boilerplate(docs)
+    assert cleaned.columns == [*docs.drop("n_lines", "n_removed").columns, "n_lines", "n_removed"] and cleaned.filter("n_lines < 1").count() == 0
