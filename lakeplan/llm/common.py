@@ -65,6 +65,15 @@ def bounded_sample(labelled: DataFrame, bound: int, key: str = "doc_id") -> Data
     return labelled.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(bound)
 
 
+def one_text_each(docs: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
+    """``picked`` with the text of its rows in ``docs``; of several texts under one key the one with the smallest hash.
+
+    So a sample of keys is a sample of as many rows. Copies of a key are reduced before they are shuffled.
+    """
+    found = docs.join(F.broadcast(picked), keys).select(*picked.columns, "text")
+    return found.groupBy(*picked.columns).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a stage to the shared folder and read it back."""
     return checkpoint_table(df, f"llm-{label}")
@@ -87,14 +96,15 @@ def train_once(rows: DataFrame, train: Callable[[list[pa.RecordBatch]], bytes])
 def labelled_rows(docs: DataFrame, marks: DataFrame, label: str, per_class: int, folds: int = 5) -> tuple[DataFrame, dict[int, int]]:
     """Texts of at most ``per_class`` training rows of each label value, and the counts of all training rows by value.
 
-    Rows whose fold is 0 are held out. ``docs`` and ``marks`` share doc_id; ids and labels are sampled, then joined to texts.
+    Rows whose fold is 0 are held out. ``docs`` and ``marks`` share doc_id; ids and labels are sampled, then joined to one text
+    each, so that a repeated id does not exceed the bound.
     """
     known = (marks.filter(F.col(label).isin(0, 1)).filter(crc_fold(folds=folds) != 0)
              .select("doc_id", F.col(label).cast("int").alias("label")).distinct())
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [bounded_sample(known.filter(F.col("label") == v), per_class) for v in (0, 1)]
     picked = parts[0].unionByName(parts[1])
-    return docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text"), counts
+    return one_text_each(docs, picked, ["doc_id"]), counts
 
 
 def logistic(x, y, weight, steps: int = 50, ridge: float = 1e-3):

@@ -7,8 +7,8 @@ of the 256 bins, each value mixed with its bin's number so that chance hits of b
 as unequal values agree in four bits by chance once in 16, the likeness is (m - 1/16) / (15/16), at least 0.
 
 Defined results: NULL text counts as empty; texts without words have the fingerprint '' and a likeness of 1 to each other
-and 0 to any other; texts of fewer than five words are one shingle. Of rows that repeat an id the order is that of their
-texts; NULL ids come after all others. Extra columns are ignored.
+and 0 to any other; texts of fewer than five words are one shingle. Of rows that repeat an id the order is that of the
+hashes of their texts, descending; NULL ids come after all others. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -73,41 +73,50 @@ def likeness(a: str, b: str, low_bits: int = LOW_BITS) -> Column:
             .otherwise(F.greatest(F.lit(0.0), (share - chance) / (1 - chance))))
 
 
-def block_of(ids: DataFrame, order_id: str) -> Column:
-    """A monotone block number of an id, with about ROWS_PER_BLOCK rows a block and MOST_BLOCKS blocks at most.
+def place_of(lowest: int) -> Column:
+    """One number for (order_id, order_hash), monotone in both: the id plus the hash as a part of one; NULL ids just below ``lowest``."""
+    whole = F.when(F.col("order_id") == NO_ID, F.lit(float(lowest)) - 1).otherwise(F.col("order_id").cast("double"))
+    return whole + F.col("order_hash").cast("double") / 2.0 ** 64 + 0.5
 
-    A few quantiles of all ids cut the range into segments, and blocks divide a segment evenly.
+
+def block_of(ids: DataFrame) -> Column:
+    """A monotone block number of (order_id, order_hash), with about ROWS_PER_BLOCK rows a block and MOST_BLOCKS blocks at most.
+
+    A few quantiles of all rows cut the range into segments, and blocks divide a segment evenly. The rows of an id that
+    repeats, NULL among them, spread by their hashes. Doubles round large ids; then blocks are coarser and still monotone.
     """
+    lowest = ids.agg(F.min(F.when(F.col("order_id") != NO_ID, F.col("order_id"))).alias("lowest")).first().lowest or 0
+    place = place_of(lowest)
     shares = [i / SEGMENTS for i in range(SEGMENTS + 1)]
-    found = ids.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order_id, shares, 10_000).alias("knots")).first()
-    knots = sorted(set(found.knots or [0]))
+    found = ids.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(place, shares, 10_000).alias("knots")).first()
+    knots = sorted(set(found.knots or [0.0]))
     blocks = min(MOST_BLOCKS, -(-found.n // ROWS_PER_BLOCK))
     each = max(1, -(-blocks // max(1, len(knots))))
-    known = F.expr("array(" + ",".join(f"{k}L" if k != NO_ID else "-9223372036854775808L" for k in knots) + ")")
-    at = F.size(F.filter(known, lambda k: k <= F.col(order_id)))
-    low, high = F.get(known, at - 1).cast("double"), F.get(known, at).cast("double")
-    inside = F.least(F.lit(each - 1), F.floor((F.col(order_id).cast("double") - low) * each / (high - low)))
+    known = F.array(*[F.lit(k) for k in knots])
+    at = F.size(F.filter(known, lambda k: k <= place))
+    low, high = F.get(known, at - 1), F.get(known, at)
+    inside = F.least(F.lit(each - 1), F.floor((place - low) * each / (high - low)))
     return (at * each + F.coalesce(F.greatest(F.lit(0), inside), F.lit(0))).cast("long")
 
 
-def with_next(rows: DataFrame, order_id: str, carried: list[str], ties: list[str]) -> DataFrame:
-    """Each row with the ``carried`` columns of the next row in descending id order as next_*; after the last the first.
+def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """Each row with the ``carried`` columns of the next row in descending (order_id, order_hash) as next_*; after the last the first.
 
     Rows are sorted inside blocks; the first row of a block is also sent to the block before it in this order, which needs
     only a table of one row per block.
     """
-    narrow = common.written(rows.select(order_id), "ids")
-    block = block_of(narrow, order_id)
-    tops = narrow.select(block.alias("block"), order_id).groupBy("block").agg(F.max(order_id).alias("top"))
+    narrow = common.written(rows.select("order_id", "order_hash"), "ids")
+    block = block_of(narrow)
+    tops = narrow.select(block.alias("block"), F.struct("order_id", "order_hash").alias("at")).groupBy("block").agg(F.max("at").alias("top"))
     everything = Window.orderBy("block")
     above = F.coalesce(F.lead("block").over(everything), F.first("block").over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     receivers = tops.select(F.col("block").alias("__block"), F.col("top").alias("__top"), above.alias("__above"))
     placed = rows.withColumn("__block", block).join(F.broadcast(receivers), "__block")
     own = F.struct(F.col("__block").alias("block"), F.lit(0).alias("helper"))
     helper = F.struct(F.col("__above").alias("block"), F.lit(1).alias("helper"))
-    copies = F.when(F.col(order_id) == F.col("__top"), F.array(own, helper)).otherwise(F.array(own))
+    copies = F.when(F.struct("order_id", "order_hash") == F.col("__top"), F.array(own, helper)).otherwise(F.array(own))
     dealt = placed.withColumn("__at", F.explode(copies)).drop("__block", "__top", "__above")
-    order = Window.partitionBy("__at.block").orderBy("__at.helper", F.col(order_id).desc(), *ties)
+    order = Window.partitionBy("__at.block").orderBy("__at.helper", F.col("order_id").desc(), F.col("order_hash").desc())
     following = {f"next_{c}": F.lead(c).over(order) for c in carried}
     return dealt.withColumns(following).filter("__at.helper = 0").drop("__at")
 
@@ -115,9 +124,9 @@ def with_next(rows: DataFrame, order_id: str, carried: list[str], ties: list[str
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.expr("-9223372036854775808L")).alias("order_id"),
-                       common.whole_text(text).alias("text"))
+                       common.whole_text(text).alias("text")).withColumn("order_hash", F.xxhash64("text"))
     known = rows.withColumn("packed", packed_minhash("text"))
-    paired = with_next(known, "order_id", ["text", "packed"], ["text"])
+    paired = with_next(known, ["text", "packed"])
     moved = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - moved), F.substring("next_text", F.lit(1), moved))
     made = paired.select("doc_id", F.length("text").cast("long").alias("n_chars"), "packed", "next_packed", edited.alias("edited"))

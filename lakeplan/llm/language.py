@@ -4,11 +4,12 @@ N-grams of one to three characters of the lower-cased letters and spaces are has
 document frequency and scaled to unit length. One weight vector per language follows the regularised leader (FTRL-Proximal)
 with an elastic-net penalty, whose L1 part leaves most weights zero. A temperature, fitted on rows that the weights have
 not seen, turns the logits into calibrated probabilities. The model is fitted on at most SAMPLE_ROWS rows with a language
-that are not held out; every row is predicted from its whole text.
+that are not held out, the first LEAST_PER_LANGUAGE of each language before any other; every row is predicted from its
+whole text.
 
 Defined results: NULL texts and texts without a letter are `und` with score 0; without any training row all are; a single
 training language is predicted with score 1. Ties between languages go to the alphabetically first. Repeated ids are
-predicted row by row. Lang, source and id are no inputs of a prediction.
+predicted row by row, and learnt from by one text per id and language. Lang, source and id are no inputs of a prediction.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeplan.llm import common
 
 SAMPLE_ROWS = 8_000
+LEAST_PER_LANGUAGE = 200
 HASH_BITS = 15
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.1
@@ -138,11 +140,21 @@ class Predictor:
         return self.model["languages"][best], float(p[best])
 
 
+def training_ids(known: DataFrame, sample_rows: int = SAMPLE_ROWS, least: int = LEAST_PER_LANGUAGE) -> DataFrame:
+    """At most ``sample_rows`` distinct (doc_id, lang), by the hash of the id; up to ``least`` of every language go first.
+
+    Each place is given to all languages before the next, so a language is absent only if there are more than ``sample_rows``.
+    """
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    placed = known.select("doc_id", "lang").distinct().withColumn("place", place).filter(F.col("place") <= sample_rows)
+    return placed.orderBy(F.least("place", F.lit(least + 1)), *order, "lang").limit(sample_rows).select("doc_id", "lang")
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes:
     """Fit on a bounded sample of docs(doc_id, lang, text)."""
     known = docs.filter(F.col("lang").isNotNull() & (common.crc_fold(folds=FOLDS) != HELD_OUT))
-    ids = common.bounded_sample(known.select("doc_id"), sample_rows).distinct()
-    picked = known.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    picked = common.one_text_each(known, training_ids(known, sample_rows), ["doc_id", "lang"]).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def counted():
         def score(ids, langs, texts):

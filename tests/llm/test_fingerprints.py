@@ -83,10 +83,37 @@ def test_bins_hold_smallest_hashes_of_distinct_shingles(spark):
     assert near[0].x < 0.4
 
 
+def blocks(ids):
+    return ids.select("order_id", "order_hash", fingerprints.block_of(ids).alias("b"))
+
+
 def test_blocks_are_monotone_and_bounded(spark):
-    ids = spark.createDataFrame([(i,) for i in [*range(3000), *range(10 ** 12, 10 ** 12 + 3000), -(1 << 62), (1 << 62)]], "i long")
-    rows = ids.select("i", fingerprints.block_of(ids, "i").alias("b")).orderBy("i").collect()
-    numbers = [r.b for r in rows]
+    values = [*range(3000), *range(10 ** 12, 10 ** 12 + 3000), -(1 << 62), (1 << 62)]
+    ids = spark.createDataFrame([(i,) for i in values], "order_id long").withColumn("order_hash", F.xxhash64("order_id"))
+    numbers = [r.b for r in blocks(ids).orderBy("order_id").collect()]
+    assert numbers == sorted(numbers)
+    assert blocks(ids).groupBy("b").count().agg(F.max("count")).first()[0] <= 400
+
+
+def test_rows_of_one_id_spread(spark):
+    """A third of the rows without an id, a tenth with one id: no block holds more than a few times the aim."""
+    n = 30_000
+    order_id = F.when(F.col("id") % 3 == 0, F.lit(fingerprints.NO_ID)).when(F.col("id") % 10 == 1, F.lit(77)).otherwise(F.col("id"))
+    ids = spark.range(n).select(order_id.alias("order_id"), F.xxhash64("id").alias("order_hash"))
+    numbers = [r.b for r in blocks(ids).orderBy("order_id", "order_hash").collect()]
     assert numbers == sorted(numbers)
-    sizes = ids.groupBy(fingerprints.block_of(ids, "i").alias("b")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    assert sizes <= 400
+    sizes = [r["count"] for r in blocks(ids).groupBy("b").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 4 * fingerprints.ROWS_PER_BLOCK
+
+
+def test_next_of_rows_without_ids(spark):
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"t{i}") for i in range(3000)] + [(None, "t0"), (5, "t1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = docs.select(F.coalesce("doc_id", F.lit(fingerprints.NO_ID)).alias("order_id"), "text", F.xxhash64("text").alias("order_hash"))
+    got = fingerprints.with_next(known, ["text"]).collect()
+    order = sorted(got, key=lambda r: (r.order_id, r.order_hash), reverse=True)
+    following = {(r.order_id, r.text): set() for r in order}
+    for a, b in zip(order, order[1:] + order[:1], strict=True):
+        following[a.order_id, a.text].add(b.text)
+    assert len(got) == len(rows) and all(r.next_text in following[r.order_id, r.text] for r in got)
+    assert sorted(r.next_text for r in got) == sorted(t for _, t in rows)

@@ -93,3 +93,81 @@ def test_grams_see_the_whole_text():
     short, long_text = language.gram_counts("abc " * 10), language.gram_counts("abc " * 10 + "xyz" * 3)
     assert long_text.sum() > short.sum() and language.gram_counts("12 !?") is None
     assert language.ascii_letters("A-b9Z") == "a b z"
+
+
+def hot_id(spark, n=900):
+    """A third of the rows under one id that is not held out, each with its own text."""
+    doc_id = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id"))
+    return spark.range(n).select(doc_id.alias("doc_id"), F.concat(F.lit("words of text "), F.col("id").cast("string")).alias("text"),
+                                 F.when(F.col("id") == 5, "rare").otherwise("common").alias("lang"))
+
+
+@pytest.mark.parametrize("per_class", [10, 10_000])
+def test_samples_are_bounded_by_rows(spark, per_class):
+    docs = hot_id(spark)
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample, counts = common.labelled_rows(docs, marks, "toxic", per_class)
+    rows = sample.collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == sum(min(per_class, n) for n in counts.values())
+    assert all(r.text in {t.text for t in docs.filter(F.col("doc_id") == r.doc_id).collect()} for r in rows if r.doc_id in (1, 2))
+    assert sorted(map(str, rows)) == sorted(map(str, common.labelled_rows(docs.repartition(7), marks, "toxic", per_class)[0].collect()))
+
+
+def test_every_language_is_learnt(spark):
+    known = hot_id(spark).filter("lang IS NOT NULL")
+    picked = language.training_ids(known, 8, 3).collect()
+    assert len(picked) == len(set(picked)) == 8 and sum(r.lang == "rare" for r in picked) == 1
+    many = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 990, "a").otherwise(F.concat(F.lit("b"), F.col("id") % 5)).alias("lang"))
+    assert len({r.lang for r in language.training_ids(many, 6).collect()}) == 6
+    found = language.training_ids(many, 40, 2).collect()
+    assert all(sum(r.lang == f"b{k}" for r in found) == 2 for k in range(5)) and len(found) == 40
+
+
+def test_language_score_is_the_dense_model(spark):
+    """The predicted score, by a softmax over dense weights, one n-gram at a time."""
+    import pickle
+
+    docs = common.documents(spark, "/root/testdata/sf0.001")
+    model = pickle.loads(language.train(docs))
+    got = {(r.doc_id, r.lang_pred): r.score for r in language.predictions(docs).collect()}
+    for r in docs.filter("text IS NOT NULL").orderBy("doc_id").limit(50).collect():
+        counts = language.gram_counts(r.text)
+        if counts is None:
+            continue
+        x = [c * w for c, w in zip(counts.tolist(), model["idf"].tolist(), strict=True)]
+        length = sum(v * v for v in x) ** 0.5
+        logits = [(sum(v / length * w for v, w in zip(x, row, strict=False) if v) + row[-1]) / model["temperature"] for row in model["weights"].tolist()]
+        top = max(logits)
+        parts = [np.exp(z - top) for z in logits]
+        best = int(np.argmax(parts))
+        assert got[r.doc_id, model["languages"][best]] == pytest.approx(parts[best] / sum(parts), abs=1e-9)
+
+
+def test_quality_difference_is_the_sizes_by_hand(spark):
+    import pickle
+
+    import zstandard
+
+    docs, marks = common.documents(spark, "/root/testdata/sf0.001"), common.labels(spark, "/root/testdata/sf0.001")
+    sample, counts = common.labelled_rows(docs.select("doc_id", common.whole_text().alias("text")), marks, "quality", quality.PER_CLASS)
+    model = pickle.loads(quality.fit([tuple(r) for r in sample.select("doc_id", "label", "text").collect()], counts))
+    got = {r.doc_id: r for r in quality.scores(docs, marks).collect()}
+    for r in docs.orderBy("doc_id").limit(50).collect():
+        data, sizes = (r.text or "").encode(), []
+        for d in model["dictionaries"]:
+            packer = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False,
+                                              write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(packer.compress(data[i:i + quality.BLOCK_BYTES])) for i in range(0, len(data), quality.BLOCK_BYTES)))
+        difference = (sizes[1] - sizes[0]) / sum(sizes) if data else 0.0
+        assert got[r.doc_id].difference == pytest.approx(difference, abs=0.02)
+
+
+def test_machine_margin_is_the_double_loop():
+    rng = np.random.default_rng(5)
+    machine = toxicity.Machine(np.arange(40))
+    machine.bias, machine.w, machine.v = 0.3, rng.normal(size=41).astype(np.float32), rng.normal(size=(41, 4)).astype(np.float32)
+    for n in range(12):
+        at = rng.choice(40, n, replace=False)
+        plain = 0.3 + sum(float(machine.w[i]) for i in at)
+        plain += sum(float(machine.v[a] @ machine.v[b]) for i, a in enumerate(at) for b in at[i + 1:])
+        assert machine.margin(at) == pytest.approx(plain, abs=1e-3)
