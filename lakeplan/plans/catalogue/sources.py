@@ -11,6 +11,7 @@ from lakeplan.operators.decisions import DecisionLog
 from lakeplan.operators.expectations import Rule
 from lakeplan.operators.refresh import replace_partitions, touched_months, within
 from lakeplan.plans.catalogue import query
+from lakeplan.plans.runner import Lake
 from lakeplan.plans.stand_in import CHANNELS
 from lakeplan.session import checkpoint_table, scratch_path
 from lakeplan.sources import clustering, readers, rescue, writers
@@ -240,6 +241,22 @@ def snk5(s):
     return through_table(s, [s.customer.select("c_custkey")], """customers' keys \\ "all\"""")
 
 
+@query("snk4_run_tables", """SELECT order_date, sku_id, zone, channel_code, units, net_revenue, 'daily' AS kind FROM s_daily WHERE order_date >= DATE'1998-01-01'
+    UNION ALL SELECT order_date, NULL, NULL, NULL, count(*), NULL, 'lines' FROM s_fact WHERE order_date >= DATE'1998-01-01' GROUP BY order_date""")
+def snk4_run(s):
+    """Tables of a run, asked by their names in the catalog; a month is replaced in between."""
+    lake = Lake(s.spark, scratch_path(s.spark, "named"), f"lakeplan_{uuid.uuid4().hex}")
+    try:
+        fact = lake.refresh("gold", "fact_sales_line", s.fact.where("order_date >= DATE'1998-01-01'"), None)
+        lake.refresh("gold", "agg_sales_daily", sales_daily(fact.where("month(order_date) <> 3"), s.channels), None)
+        months = touched_months(fact.where("month(order_date) = 3"), "order_date")
+        lake.refresh("gold", "agg_sales_daily", sales_daily(fact.where(within("order_date", months)), s.channels), months)
+        return checkpoint_table(s.spark.sql(f"""SELECT order_date, sku_id, zone, channel_code, units, net_revenue, 'daily' AS kind FROM {lake.database}.gold_agg_sales_daily
+            UNION ALL SELECT order_date, NULL, NULL, NULL, count(*), NULL, 'lines' FROM {lake.database}.gold_fact_sales_line GROUP BY order_date"""), "named")
+    finally:
+        s.spark.sql(f"DROP DATABASE IF EXISTS {lake.database} CASCADE")
+
+
 @query("snk9_refresh_modes", "SELECT CAST(v AS INTEGER) AS version, event_type, count(*) AS n FROM events, (VALUES (1), (2)) r(v) GROUP BY ALL")
 def snk9(s):
     """Two incremental runs share a version and its rows; a full refresh starts the next one."""

@@ -36,7 +36,7 @@ from lakeplan.plans.incremental import FEED_KEYS, ChangeLog, Pending, bronze_str
 from lakeplan.session import stages
 from lakeplan.sources.clustering import files_for, quantile_cuts, write_interleaved
 from lakeplan.sources.rescue import read_snapshot_rescued
-from lakeplan.sources.writers import folder_exists
+from lakeplan.sources.writers import folder_exists, register_table
 from lakeplan.streaming.ingest import FILES_PER_BATCH, Refresh, expect_stream, ingest_rescued
 
 STREAM_FEEDS = ["orders", "sales_lines", "returns", "inventory", "purchase_orders", "customers"]
@@ -55,6 +55,30 @@ PARTITIONED = {
     "agg_sales_daily": ("order_month", "order_date"), "agg_sales_monthly": ("month", "month"), "agg_sales_weekly": ("week_month", "week_start"),
 }
 
+# What the catalog says of the tables that people query by name.
+COMMENTS = {
+    ("gold", "fact_sales_line"): "One row per delivered or cancelled order line, with net revenue, cost and margin; by month of the order.",
+    ("gold", "fact_orders"): "One row per order, from its lines; by month of the order.",
+    ("gold", "fact_returns"): "One row per return, with the line it belongs to.",
+    ("gold", "fact_inventory_daily"): "Stock by warehouse, SKU and day, with demand, shipments and stockouts.",
+    ("gold", "fact_purchase_orders"): "Purchase orders with the promised and the actual lead time.",
+    ("gold", "agg_sales_daily"): "Delivered sales by day, SKU, zone and channel; by month.",
+    ("gold", "agg_sales_weekly"): "Delivered sales by week, SKU and zone, what the forecast learns from; by month of the week's start.",
+    ("gold", "agg_sales_monthly"): "Delivered sales by month, fiscal period, product and zone.",
+    ("gold", "agg_promo_effectiveness"): "Lift of each promotion over its baseline.",
+    ("gold", "agg_event_uplift"): "Demand around each event against ordinary days.",
+    ("gold", "agg_customer_rfm"): "Recency, frequency and value quintiles of customers.",
+    ("gold", "agg_inventory_weekly"): "Fill rate and stockout days by week.",
+    ("gold", "agg_margin_monthly"): "Margin by month, with the material price index.",
+    ("gold", "dq_summary"): "Rejected and flagged rows by feed and reason.",
+    ("gold", "gate_status"): "Outcome of the checks at the end of the run.",
+    ("ml", "demand_forecast"): "Weekly demand by SKU and zone with a calibrated band; one row per week of the horizon.",
+    ("ml", "forecast_backtest"): "Forecast against actual demand in the backtest's folds.",
+    ("ml", "forecast_accuracy"): "WAPE and bias of the champion by segment.",
+    ("ml", "forecast_model_comparison"): "WAPE of every candidate by level.",
+    ("ml", "reorder_recommendation"): "What to order by warehouse and SKU, with the stockout risk behind it.",
+}
+
 
 def ddl(feed: str, as_text: bool = False, raw_types: dict[str, dict[str, str]] | None = None) -> str:
     """Columns of a landing feed: text for CSV and JSON, else the silver types unless ``raw_types`` names others."""
@@ -69,10 +93,22 @@ LINEAGE = "_source_file string, _ingest_ts timestamp, _rescued string"
 
 @dataclass
 class Lake:
-    """Tables of all layers below one root folder."""
+    """Tables of all layers below one root folder; with ``database`` also catalog tables <database>.<layer>_<name>."""
 
     spark: SparkSession
     root: str
+    database: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.database:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+
+    def published(self, layer: str, name: str) -> DataFrame:
+        """The table just written, after the catalog has learnt of it."""
+        if self.database:
+            register_table(self.spark, f"{self.database}.{layer}_{name}", self.path(layer, name), COMMENTS.get((layer, name)),
+                           layer == "gold" and name in PARTITIONED)
+        return self.table(layer, name)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -84,7 +120,7 @@ class Lake:
             write_interleaved(df, path, quantile_cuts(like, CLUSTERING[name]), files_for(like))
         else:
             df.write.mode("overwrite").parquet(path)
-        return self.table(layer, name)
+        return self.published(layer, name)
 
     def refresh(self, layer: str, name: str, df: DataFrame, months: list[dt.date] | None) -> DataFrame:
         """Replace the partitions of ``months``, all if None, of a table kept by month."""
@@ -93,7 +129,7 @@ class Lake:
             df = df.withColumn(partition, month_start(day))
         if months is None or months:
             replace_partitions(df, self.path(layer, name), partition, months, CLUSTERING.get(name, [day]))
-        return self.table(layer, name)
+        return self.published(layer, name)
 
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
@@ -301,9 +337,9 @@ def quality_gate(lake: Lake, version: int, cfg: PlanConfig, enforce: bool = True
 
 def run_end_to_end(spark: SparkSession, landing: str, root: str, cfg: PlanConfig, first_week: str,
                    zones: list[str] | None = None, full: bool = False, enforce: bool = True,
-                   spellings: dict[str, str] | None = None, raw_types: dict | None = None) -> Lake:
-    """All layers; the scratch stages of the run are removed when it ends."""
-    lake = Lake(spark, root)
+                   spellings: dict[str, str] | None = None, raw_types: dict | None = None, database: str | None = None) -> Lake:
+    """All layers; the scratch stages of the run are removed when it ends. With ``database`` its tables are also in the catalog."""
+    lake = Lake(spark, root, database)
     with stages(spark):
         version = bronze(lake, landing, full, raw_types)
         silver_layer(lake, version, zones, spellings, raw_types)

@@ -7,6 +7,7 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:
@@ -42,8 +43,42 @@ def save_table(df: DataFrame, name: str, comment: str | None = None) -> None:
     writer = df.write.mode("overwrite").option("overwriteSchema", True)
     writer.saveAsTable(name)
     if comment:
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS {quoted(comment)}")
+
+
+def quoted(text: str) -> str:
+    """A string literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table, None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+
+
+def register_table(spark: SparkSession, name: str, path: str, comment: str | None = None, partitioned: bool = False) -> None:
+    """Make the files of a folder, just written, a catalog table; the folder stays their owner.
+
+    A table of that name over another folder or with other columns gives way; otherwise only its file list, and the list
+    of partitions where it has any, is brought up to date. No row is read or moved.
+    """
+    fs, where = hadoop_path(spark, path)
+    at, columns = fs.makeQualified(where).toString(), spark.read.parquet(path).schema
+    known = table_location(spark, name)
+    if known is not None and (known != at or described(spark.table(name).schema) != described(columns)):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {quoted(at)}")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {quoted(comment)}")
+
+
+def described(schema: StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema}
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -131,3 +131,37 @@ def test_month_and_week_ranges(spark):
     assert rf.week_months([dt.date(2024, 2, 1)]) == [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
     got = days.where(rf.within_weeks("d", [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]))
     assert got.count() == days.where(f"trunc({week}, 'MM') IN (DATE'2024-01-01', DATE'2024-02-01')").count()
+
+
+@pytest.fixture
+def database(spark):
+    yield "lakeplan_named"
+    spark.sql("DROP DATABASE IF EXISTS lakeplan_named CASCADE")
+
+
+def test_tables_of_a_run_by_name(spark, tmp_path, database):
+    lake = runner.Lake(spark, str(tmp_path / "it's"), database)
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-03-31')) AS order_date, 'N' AS zone")
+    name = f"{database}.gold_agg_sales_daily"
+    lake.refresh("gold", "agg_sales_daily", days, None)
+    assert spark.table(name).count() == 91
+    assert spark.catalog.getTable(name).description == runner.COMMENTS["gold", "agg_sales_daily"]
+    lake.refresh("gold", "agg_sales_daily", days.where("order_date = DATE'2024-02-03'"), [dt.date(2024, 2, 1)])
+    assert spark.table(name).count() == 91 - 29 + 1
+    later = days.withColumn("order_date", F.add_months("order_date", 3)).where("month(order_date) = 5")
+    lake.refresh("gold", "agg_sales_daily", later, [dt.date(2024, 5, 1)])
+    assert spark.table(name).where("month(order_date) = 5").count() == 29
+    lake.refresh("gold", "agg_sales_daily", days.where("month(order_date) = 1"), None)
+    assert spark.table(name).count() == 31 and spark.sql(f"SHOW PARTITIONS {name}").count() == 1
+
+
+def test_a_name_follows_new_columns_and_new_folders(spark, tmp_path, database):
+    name, rows = f"{database}.gold_dim_store", spark.range(3)
+    lake = runner.Lake(spark, str(tmp_path / "one"), database)
+    lake.save("gold", "dim_store", rows)
+    lake.save("gold", "dim_store", rows.withColumn("zone", F.lit("N")))
+    assert spark.table(name).columns == ["id", "zone"]
+    other = runner.Lake(spark, str(tmp_path / "two"), database)
+    other.save("gold", "dim_store", spark.range(5).withColumn("zone", F.lit("S")))
+    assert spark.table(name).where("zone = 'S'").count() == 5
+    assert lake.table("gold", "dim_store").count() == 3
