@@ -74,7 +74,7 @@ COMMENTS = {
     ("gold", "gate_status"): "Outcome of the checks at the end of the run.",
     ("ml", "demand_forecast"): "Weekly demand by SKU and zone with a calibrated band; one row per week of the horizon.",
     ("ml", "forecast_backtest"): "Forecast against actual demand in the backtest's folds.",
-    ("ml", "forecast_accuracy"): "WAPE and bias of the champion by segment.",
+    ("ml", "forecast_accuracy"): "WAPE of champion, direct and naive forecast, bias and coverage by SKU and zone.",
     ("ml", "forecast_model_comparison"): "WAPE of every candidate by level.",
     ("ml", "reorder_recommendation"): "What to order by warehouse and SKU, with the stockout risk behind it.",
 }
