@@ -1,8 +1,9 @@
 """Exact distinct counts that can be added up: bitmaps over dense ids.
 
-A member has a dense number from 1. An aggregate keeps, for every group, one bitmap of 32,768 numbers per bucket of numbers that
-occurs in it; bitmaps of several groups are merged by OR, so a coarser grain needs the stored aggregate only, and a new day is
-added without touching old ones.
+A member has a dense number from 1. An aggregate keeps, for every group, one word of 64 numbers per bucket of numbers that
+occurs in it; words of several groups are merged by OR, so a coarser grain needs the stored aggregate only, and a new day is
+added without touching old ones. A group of few among many members, as a day's, has a word per member and not more; longer
+bitmaps would be kept, sorted and merged nearly empty, at a size that grows with the members of other days.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from lakeplan.operators.joins import lookup
 from lakeplan.operators.windows import global_index
 
 BUCKET, MEMBERS = "member_bucket", "members"
+WORD_BITS = 6
 
 
 def dense_ids(df: DataFrame, member: str) -> DataFrame:
@@ -30,13 +32,13 @@ def more_ids(ids: DataFrame, df: DataFrame, member: str) -> DataFrame:
 
 
 def member_bitmaps(df: DataFrame, ids: DataFrame, member: str, keys: list[str]) -> DataFrame:
-    """(keys, member_bucket, members) of the rows with a member; a bitmap is 4 KB at most whatever its rows."""
+    """(keys, member_bucket, members) of the rows with a member; a bitmap is a long whatever its rows."""
     numbered = lookup(df.select(*keys, member), ids, member)
-    return numbered.groupBy(*keys, F.bitmap_bucket_number("member_no").alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("member_no")).alias(MEMBERS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("member_no").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int"))
+    return numbered.groupBy(*keys, F.shiftright("member_no", WORD_BITS).alias(BUCKET)).agg(F.bit_or(bit).alias(MEMBERS))
 
 
 def distinct_members(bitmaps: DataFrame, keys: list[str], out: str) -> DataFrame:
     """Exact distinct members by any keys of the aggregate."""
-    merged = bitmaps.groupBy(*keys, BUCKET).agg(F.bitmap_or_agg(MEMBERS).alias(MEMBERS))
-    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count(MEMBERS)).alias(out))
+    merged = bitmaps.groupBy(*keys, BUCKET).agg(F.bit_or(MEMBERS).alias(MEMBERS))
+    return merged.groupBy(*keys).agg(F.sum(F.bit_count(MEMBERS)).alias(out))

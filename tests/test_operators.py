@@ -332,3 +332,12 @@ def test_distinct_members_merge_over_any_keys(spark):
         assert got == {tuple(r) for r in days.groupBy(*keys).agg(F.countDistinct("c")).collect()}
     assert dd.distinct_members(stored, [], "n").first().n == days.select("c").where("c IS NOT NULL").distinct().count()
     assert dd.distinct_members(dd.member_bitmaps(days.limit(0), ids, "c", ["d"]), ["d"], "n").count() == 0
+
+
+def test_members_of_a_sparse_group_cost_a_word_each(spark):
+    """A day of two members far apart among many others stores two longs, not two bitmaps as long as a bucket."""
+    ids = spark.range(100_000).selectExpr("cast(id AS string) AS c", "id + 1 AS member_no")
+    days = spark.createDataFrame([("d1", "5"), ("d1", "5"), ("d1", "70000"), ("d2", "5"), ("d2", None)], "d string, c string")
+    stored = dd.member_bitmaps(days, ids, "c", ["d"])
+    assert dict(stored.dtypes)[dd.MEMBERS] == "bigint" and stored.count() == 3
+    assert dd.distinct_members(stored, [], "n").first().n == 2
