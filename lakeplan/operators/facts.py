@@ -72,19 +72,20 @@ FACT_COLUMNS = [
 
 
 def fact_sales_line(lines: DataFrame, orders: DataFrame, products: DataFrame, stores: DataFrame,
-                    costs: DataFrame, returns: DataFrame) -> DataFrame:
+                    costs: DataFrame, returns: DataFrame, by_order: bool = False) -> DataFrame:
     """One row per sold line; cancelled orders stay, lines without a store or product do not.
 
     The two large joins (order, returned lines) are plain equi-joins for adaptive
     execution to place and split; reference tables are broadcast only when small.
+    Stores meet the orders, which are fewer than the lines. ``by_order`` says that returns name the order of their
+    line: both joins then go by the order, and the lines are shuffled once at most.
     """
     heads = orders.select("order_id", "order_ts", "store_id", "channel_code", "customer_id", "order_status", "payment_mode")
     items = products.select("sku_id", "category", "base_product", "base_code", "pack_size", "tax_rate")
     places = stores.select("store_id", "warehouse_id", "zone", "state", "city")
-    sold = lookup(lines.join(heads, "order_id"), items, "sku_id")
-    sold = lookup(sold, places, "store_id")
+    sold = lookup(lines.join(lookup(heads, places, "store_id"), "order_id"), items, "sku_id")
     sold = monthly_lookup(sold, costs.select("sku_id", "month", "unit_cost"), ["sku_id"], "order_date")
-    sold = exists_flag(sold, returns, "line_id", "is_returned")
+    sold = exists_flag(sold, returns, "line_id", "is_returned", "order_id" if by_order else None)
     return price_columns(sold).withColumn("date_key", date_key("order_date")).select(*FACT_COLUMNS)
 
 

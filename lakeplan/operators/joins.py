@@ -27,10 +27,18 @@ def flag_known(df: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFrame:
     return df.join(broadcast_if_small(known), key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def exists_flag(df: DataFrame, other: DataFrame, key: str, flag: str) -> DataFrame:
-    """Like :func:`flag_known` for a large many-rows side: one row per key, then a left join."""
-    present = other.groupBy(key).agg(F.lit(True).alias(flag))
-    return df.join(present, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+def exists_flag(df: DataFrame, other: DataFrame, key: str, flag: str, within: str | None = None) -> DataFrame:
+    """Like :func:`flag_known` for a large many-rows side: one row per key, then a left join.
+
+    ``within`` names a column of both sides that the key determines (the order of a line), of few keys a value. The keys then
+    meet as one list per value, so rows that already lie together by it are not shuffled again.
+    """
+    if within is None:
+        present = other.groupBy(key).agg(F.lit(True).alias(flag))
+        return df.join(present, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    present = other.groupBy(within).agg(F.collect_set(key).alias("_keys"))
+    found = df.join(present, within, "left").withColumn(flag, F.coalesce(F.array_contains("_keys", F.col(key)), F.lit(False)))
+    return found.drop("_keys")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

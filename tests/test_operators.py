@@ -341,3 +341,35 @@ def test_members_of_a_sparse_group_cost_a_word_each(spark):
     stored = dd.member_bitmaps(days, ids, "c", ["d"])
     assert dict(stored.dtypes)[dd.MEMBERS] == "bigint" and stored.count() == 3
     assert dd.distinct_members(stored, [], "n").first().n == 2
+
+
+def test_returned_keys_meet_by_their_order(spark):
+    lines = spark.createDataFrame([(1, "1-1"), (1, "1-2"), (2, "2-1"), (3, None)], "o long, k string")
+    other = spark.createDataFrame([(1, "1-2"), (1, "1-2"), (3, None), (4, "4-1")], "o long, k string")
+    for within in (None, "o"):
+        got = jn.exists_flag(lines, other, "k", "hit", within)
+        assert got.columns.count("o") == 1
+        assert {(r.k, r.hit) for r in got.collect()} == {("1-1", False), ("1-2", True), ("2-1", False), (None, False)}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+def test_fact_lines_are_shuffled_once(spark, no_broadcast):
+    """Where orders are too large to send around, lines go by order from the first join to the returned flag."""
+    from lakeplan.plans.stand_in import StandIn
+    s = StandIn(spark, "/root/testdata/sf0.001")
+    s.costs = s.costs.hint("broadcast")
+    plan = s.fact._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert not [x for x in shuffles if "line_id" in x or "line_no" in x], shuffles
+    by_order = [x for x in shuffles if "orderkey" in x or "order_id" in x]
+    assert len(by_order) == 5, by_order  # lines and orders for the lines, lines and orders for the returns, order heads
