@@ -9,6 +9,9 @@ from lakeplan.functions.columns import mean, month_start, ratio, week_start
 from lakeplan.operators.joins import lookup
 
 DELIVERED = "order_status = 'Delivered'"
+#: Columns of the fact that the daily aggregate reads.
+DAILY_INPUT = ["order_id", "order_date", "order_status", "sku_id", "category", "base_product", "zone", "channel_code", "promo_code",
+               "quantity", "volume_kg", "gross_amount", "net_revenue", "discount_amount", "cogs", "gross_margin", "tax_amount", "is_returned"]
 
 
 def total(c: str, digits: int = 2):

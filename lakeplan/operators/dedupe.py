@@ -48,6 +48,11 @@ def mark_duplicates(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     return single.drop("_salt", "_repeated").unionByName(ranked.drop("_salt", "_repeated", "_rn", "_grp"))
 
 
+def mark_later(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """:func:`mark_duplicates` by one rank, for rows that already lie together by a key column: nothing is shuffled then."""
+    return df.withColumn(DUPLICATE, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) > 1)
+
+
 def dedupe(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """(kept rows, surplus rows)."""
     surplus = mark_duplicates(df, keys, order).where(DUPLICATE).drop(DUPLICATE)

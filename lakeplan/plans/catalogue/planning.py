@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lakeplan.operators import inventory as iv
 from lakeplan.operators import quality as ql
 from lakeplan.operators import reorder as ro
+from lakeplan.operators.aggregates import DAILY_INPUT
 from lakeplan.operators.decisions import planner_view
 from lakeplan.plans.catalogue import query
 from lakeplan.plans.catalogue.kpis import sales_view
@@ -155,7 +156,9 @@ def dq5(s):
     SELECT 'horizon', CAST(count(DISTINCT week_start) AS DOUBLE), 12.0, count(DISTINCT week_start) < 12 FROM s_forecast""")
 def dq6(s):
     """The status rows only; a breach is reported here and raised by ``enforce``."""
-    s.share("raw_lines", "fact")
+    s.split_lines()
+    s.share(fact=[*DAILY_INPUT, "store_id"])
+    s.share(daily=["order_date", "sku_id", "zone", "units", "net_revenue", "promo_revenue"])
     kpi = sales_view(s).query([], ["net_revenue"])
     return ql.gate(s.dq_summary, s.raw_lines, s.fact, s.products, s.stores, s.daily, kpi, s.plan.forecast, CFG.as_of)
 
@@ -172,7 +175,7 @@ def dq7(s):
     SELECT 'reject_rate', {R(REJECTS + ' / (SELECT count(*) FROM s_raw_lines)', 6)}, 0.01,
     {REJECTS} / (SELECT count(*) FROM s_raw_lines) > 0.01""")
 def dq8(s):
-    s.share("raw_lines")
+    s.split_lines()
     return ql.alerts(s.reorder, s.plan.backtest, s.dq_summary, s.raw_lines)
 
 

@@ -19,17 +19,19 @@ from lakeplan.forecast.grid import weekly_grid
 from lakeplan.forecast.run import candidate_table, plan_from_candidates, raw_forecasts
 from lakeplan.forecast.grid import rollup_series
 from lakeplan.functions.calendar import date_spine, dim_date, spine_of
-from lakeplan.operators.aggregates import sales_daily, sales_monthly, sales_weekly
+from lakeplan.operators.aggregates import DAILY_INPUT, DELIVERED, sales_daily, sales_monthly, sales_weekly
+from lakeplan.operators.clean import arrived_late
+from lakeplan.operators.dedupe import mark_later
+from lakeplan.operators.expectations import accepted, keep_valid, rejected
 from lakeplan.operators.facts import (
     dim_customer, dim_product, fact_purchase_orders, fact_returns, fact_sales_line, orders_from_lines,
 )
-from lakeplan.operators.expectations import keep_valid
 from lakeplan.operators.inventory import inventory_daily, inventory_weekly, ledger
 from lakeplan.operators.joins import lookup
 from lakeplan.operators.quality import dq_summary
 from lakeplan.operators.reorder import reorder_plan
 from lakeplan.plans import silver
-from lakeplan.session import checkpoint_table
+from lakeplan.session import checkpoint_table, measured
 
 CFG = PlanConfig(as_of="2001-07-31", last_full_week="2001-07-23",
                  calendar_start="1995-01-01", calendar_end="2001-12-31")
@@ -69,6 +71,9 @@ DECISIONS = [
 ]
 LINE_KEY = ["order_id", "line_no"]  # what a line_id is made of; lines lie together by order already
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+#: What planning reads: the daily aggregate, the warehouses' shares, open orders, lead times and decisions.
+PLANNING_FACT = [*DAILY_INPUT, "warehouse_id"]
+PLANNING_POS = ["warehouse_id", "sku_id", "po_date", "expected_date", "received_date", "ordered_units", "actual_lead_days"]
 
 
 def group_a():
@@ -81,10 +86,14 @@ class StandIn:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
-    def share(self, *layers: str) -> None:
-        """Write layers once that what follows reads more than once; later uses see the written rows."""
-        for name in layers:
-            self.__dict__[name] = checkpoint_table(getattr(self, name), name)
+    def share(self, *layers: str, **narrow: list[str]) -> None:
+        """Write layers once that what follows reads more than once; later uses see the written rows.
+
+        Of a layer named with columns only these are written, and what follows must need no others.
+        """
+        for name in (*layers, *narrow):
+            layer = getattr(self, name)
+            self.__dict__[name] = checkpoint_table(layer.select(*narrow[name]) if name in narrow else layer, name)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -177,7 +186,7 @@ class StandIn:
     def supplier_site(self) -> DataFrame:
         at = lookup(lookup(self.supplier, self.nation, F.col("s_nationkey") == F.col("n_nationkey")),
                     self.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        return at.select("s_suppkey", F.concat(F.lit("WH-"), F.col("r_name")).alias("warehouse_id"))
+        return measured(at.select("s_suppkey", F.concat(F.lit("WH-"), F.col("r_name")).alias("warehouse_id")), "supplier_site")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -268,6 +277,17 @@ class StandIn:
         """Shuffled by order at most once: the join with the orders may have done so, and what follows needs no other place."""
         return silver.silver_lines(self.raw_lines.repartition("order_id"), self.products, self.line_order, LINE_KEY)
 
+    def split_lines(self) -> None:
+        """Write the lines with their reasons once, ranked where the join with the orders left them.
+
+        Clean, rejected and raw lines are read from that, without the columns that only order copies.
+        """
+        tagged = checkpoint_table(silver.tagged_lines(
+            self.raw_lines.repartition("order_id"), self.products, self.line_order, LINE_KEY, mark_later).drop(*LINE_ORDER), "tagged_lines")
+        self.__dict__["lines"] = accepted(tagged).drop("is_duplicate").withColumn("arrived_late", arrived_late())
+        self.__dict__["lines_quarantine"] = rejected(tagged)
+        self.__dict__["raw_lines"] = tagged.drop("sku_known", "is_duplicate", "dq_reason")
+
     @cached_property
     def lines_quarantine(self) -> DataFrame:
         return silver.lines_quarantine(self.raw_lines, self.products, self.line_order)
@@ -400,7 +420,8 @@ class StandIn:
 
     @cached_property
     def reorder(self) -> DataFrame:
-        self.share("fact", "inventory", "pos")
+        self.__dict__["fact"] = self.fact.where(DELIVERED)  # planning counts no others
+        self.share("inventory", fact=PLANNING_FACT, pos=PLANNING_POS)
         return reorder_plan(self.plan.forecast, self.fact, self.inventory, self.pos, self.products, self.warehouses,
                             CFG, FIRST_FORECAST_WEEK, latest_stock=True)
 

@@ -373,3 +373,18 @@ def test_fact_lines_are_shuffled_once(spark, no_broadcast):
     assert not [x for x in shuffles if "line_id" in x or "line_no" in x], shuffles
     by_order = [x for x in shuffles if "orderkey" in x or "order_id" in x]
     assert len(by_order) == 5, by_order  # lines and orders for the lines, lines and orders for the returns, order heads
+
+
+def test_split_lines_add_up_and_planning_writes_narrow(spark):
+    from lakeplan.operators.aggregates import DELIVERED
+    from lakeplan.plans.stand_in import LINE_ORDER, PLANNING_FACT, StandIn
+    whole, split = StandIn(spark, "/root/testdata/sf0.001"), StandIn(spark, "/root/testdata/sf0.001")
+    split.split_lines()
+    assert not set(LINE_ORDER) & set(split.lines.columns)
+    assert split.lines.count() + split.lines_quarantine.count() == split.raw_lines.count() == whole.raw_lines.count()
+    reasons = lambda s: {tuple(r) for r in s.lines_quarantine.groupBy("dq_reason").count().collect()}
+    assert reasons(split) == reasons(whole)
+    for name in ("order_id", "line_id"):
+        assert {r[0] for r in split.lines.select(name).collect()} == {r[0] for r in whole.lines.select(name).collect()}
+    whole.reorder
+    assert whole.fact.columns == PLANNING_FACT and whole.fact.where(f"NOT ({DELIVERED})").count() == 0
