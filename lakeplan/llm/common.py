@@ -74,9 +74,22 @@ def one_text_each(docs: DataFrame, picked: DataFrame, keys: list[str]) -> DataFr
     return found.groupBy(*picked.columns).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a stage to the shared folder and read it back."""
-    return checkpoint_table(df, f"llm-{label}")
+    """Write a stage to the shared folder and read it back.
+
+    Its shuffle files go once it is written, and not only when the driver happens to collect its garbage: the disk of an
+    operator is that of its stages and of one shuffle, whatever ran before.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return checkpoint_table(df, f"llm-{label}")
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
 
 
 def worker_threads() -> None:

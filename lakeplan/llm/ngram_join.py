@@ -271,13 +271,19 @@ def block_pairs(hot: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def groups(signed: DataFrame) -> DataFrame:
-    """(group_id, members, block): distinct lists of sets that share a signature, from signed(signature, set_id, block)."""
+    """(group_id, members, block): distinct lists of sets that share a signature, from signed(signature, set_id, block).
+
+    Without a block column a signature is its own block, and is not shuffled twice.
+    """
+    sent = [c for c in ("signature", "set_id", "block") if c in signed.columns]
+
     def run(batches):
         seen: set[int] = set()
 
-        def of(signature: np.ndarray, owner: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+        def of(signature: np.ndarray, owner: np.ndarray, block: np.ndarray | None = None) -> pa.RecordBatch:
             new = np.concatenate([[True], (signature[1:] != signature[:-1]) | (owner[1:] != owner[:-1])])
-            signature, owner, block = signature[new], owner[new], block[new]
+            signature, owner = signature[new], owner[new]
+            block = signature if block is None else block[new]
             starts = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
             ends = np.append(starts[1:], len(signature))
             ids, members, blocks = [], [], []
@@ -296,7 +302,7 @@ def groups(signed: DataFrame) -> DataFrame:
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(3)]
+            columns = [c.to_numpy() for c in batch.columns]
             s = columns[0]
             if not len(s):
                 continue
@@ -309,7 +315,7 @@ def groups(signed: DataFrame) -> DataFrame:
         if held:
             yield of(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    dealt = signed.select("signature", "set_id", "block").repartition("signature").sortWithinPartitions("signature", "set_id")
+    dealt = signed.select(*sent).repartition("signature").sortWithinPartitions("signature", "set_id")
     runs = common.map_arrow(dealt, run, "group_id long, members array<long>, block long")
     return runs.groupBy("group_id").agg(F.first("members").alias("members"), F.min("block").alias("block"))
 
@@ -426,7 +432,7 @@ def row_components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataF
         lists = common.written(groups(signed), "groups")
         return lists.select("group_id", F.size("members").alias("size"), F.explode("members").alias("set_id"), "block")
 
-    cold_lists = listed_of(cold.withColumn("block", F.col("signature")))
+    cold_lists = listed_of(cold)
     listed = cold_lists if hot is None else cold_lists.unionByName(listed_of(salted(hot)))
     needed = common.written(listed.select("set_id").distinct().join(classes, "set_id").select("key"), "needed")
     members = common.written(members_table(rows, needed, join), "members")

@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeplan.llm import components, exact_dedup, line_dedup, ngram_join
+from lakeplan.llm import common, components, exact_dedup, line_dedup, ngram_join
 from tests.llm import cases
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -253,3 +254,28 @@ def test_line_counts_replace_columns_of_their_name(spark):
     docs = cases.awkward(spark).withColumns({"n_lines": F.lit("clash"), "n_removed": F.lit("clash")})
     cleaned = line_dedup.without_boilerplate(docs)
     assert cleaned.columns == [*docs.drop("n_lines", "n_removed").columns, "n_lines", "n_removed"] and cleaned.filter("n_lines < 1").count() == 0
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {n for n in re.findall(r"shuffle_\d+_\d+", disk.getAllBlocks().mkString(" "))}
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    df = spark.range(50_000).repartition(7, "id").groupBy(F.expr("id % 1000").alias("k")).count()
+    assert common.written(df, "shuffled").count() == 1000
+    for _ in range(50):
+        left = {n for n in shuffle_files(spark) - before}
+        if len(left) <= 8:  # of the count, which is no stage
+            break
+        time.sleep(0.2)
+    assert len(left) <= 8, left
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
+def test_a_cold_signature_is_its_own_block(spark):
+    signed = spark.createDataFrame([(5, 1), (5, 2), (9, 2), (9, 1), (7, 3)], "signature long, set_id long")
+    found = ngram_join.groups(signed)
+    assert [(sorted(r.members), r.block) for r in found.collect()] == [([1, 2], 5)]
+    assert sorted(found.columns) == ["block", "group_id", "members"]
