@@ -30,8 +30,10 @@ def share_of(df: DataFrame, value: str, keys: list[str], out: str = "share") ->
     """Each row's part of its group total.
 
     The total is aggregated map-side and its measured, small table is joined back, so a hot group
-    is not gathered into one task as a window would.  A NULL key is a group like any other.
+    is not gathered into one task as a window would.  Both read the rows as written once, since a row is often an aggregate
+    over much.  A NULL key is a group like any other.
     """
+    df = checkpoint_table(df, "parts")
     total = measured(df.groupBy(*keys).agg(F.sum(value).alias("_total")), "totals")
     part = F.coalesce(F.col(value) / F.nullif(F.col("_total").cast("double"), F.lit(0.0)), F.lit(0.0))
     return null_safe(df, total, keys).withColumn(out, part).drop("_total")

@@ -46,6 +46,7 @@ def inv4(s):
 
 
 def allocated(s):
+    s.share_sold()
     return ro.allocate(s.plan.forecast, ro.warehouse_share(s.fact, CFG.as_of), FIRST_FORECAST_WEEK)
 
 

@@ -418,10 +418,15 @@ class StandIn:
         return self.raw_forecasts.where("kind = 'forecast' AND level = 'sku'").select(
             F.col("series_key").alias("sku_id"), "zone", "week_start", F.round("recent_mean", 1).alias("forecast_units"))
 
+    def share_sold(self) -> None:
+        """Write the fact as planning reads it, delivered lines only: the weekly series and the shares both start from it."""
+        self.__dict__["fact"] = self.fact.where(DELIVERED)
+        self.share(fact=PLANNING_FACT)
+
     @cached_property
     def reorder(self) -> DataFrame:
-        self.__dict__["fact"] = self.fact.where(DELIVERED)  # planning counts no others
-        self.share("inventory", fact=PLANNING_FACT, pos=PLANNING_POS)
+        self.share_sold()
+        self.share("inventory", pos=PLANNING_POS)
         return reorder_plan(self.plan.forecast, self.fact, self.inventory, self.pos, self.products, self.warehouses,
                             CFG, FIRST_FORECAST_WEEK, latest_stock=True)
 

@@ -388,3 +388,18 @@ def test_split_lines_add_up_and_planning_writes_narrow(spark):
         assert {r[0] for r in split.lines.select(name).collect()} == {r[0] for r in whole.lines.select(name).collect()}
     whole.reorder
     assert whole.fact.columns == PLANNING_FACT and whole.fact.where(f"NOT ({DELIVERED})").count() == 0
+
+
+def test_shares_and_allocation_start_from_written_rows(spark):
+    """The rows behind a share are made once, and the weekly series and the warehouses' shares read one written fact."""
+    from lakeplan.plans.catalogue.planning import allocated
+    from lakeplan.plans.stand_in import StandIn
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    units = spark.range(10).selectExpr("id % 2 AS k", "id % 5 AS sku", "id AS v").groupBy("k", "sku").agg(F.sum("v").alias("v"))
+    shares = wn.share_of(units, "v", ["k"])
+    assert "Range" not in plan(shares)
+    assert sorted((r.k, r.share) for r in shares.collect())[0] == (0, 0.0) and shares.agg(F.sum("share")).first()[0] == pytest.approx(2)
+    s = StandIn(spark, "/root/testdata/sf0.001")
+    out = allocated(s)
+    assert "l_orderkey" not in plan(out) and out.count() > 0
+    assert s.fact.where("order_status <> 'Delivered'").count() == 0
