@@ -31,7 +31,7 @@ from lakeplan.operators.joins import lookup
 from lakeplan.operators.quality import dq_summary
 from lakeplan.operators.reorder import reorder_plan
 from lakeplan.plans import silver
-from lakeplan.session import checkpoint_table, measured
+from lakeplan.session import checkpoint_table, is_small, measured
 
 CFG = PlanConfig(as_of="2001-07-31", last_full_week="2001-07-23",
                  calendar_start="1995-01-01", calendar_end="2001-12-31")
@@ -243,16 +243,18 @@ class StandIn:
 
     @cached_property
     def line_base(self) -> DataFrame:
-        """Lines with their order date and part attributes, shared by the sales, return and purchase feeds."""
+        """Lines with their order date, SKU and list price, shared by the sales, return and purchase feeds.
+
+        Parts too many to send around meet the lines first: the join with the orders then leaves these by order in either case.
+        """
         o = self.orders_tbl.selectExpr("o_orderkey AS l_orderkey", "CAST(o_orderdate AS date) AS order_date")
-        p = self.part.selectExpr("p_partkey AS l_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
-        joined = lookup(self.lineitem.join(o, "l_orderkey"), p, "l_partkey")
+        p = self.part.selectExpr(
+            "p_partkey AS l_partkey", "p_retailprice",
+            "CASE WHEN p_size > 45 THEN concat('X-', p_brand) ELSE concat_ws('|', p_brand, p_type) END AS sku_id")
+        joined = (lookup(self.lineitem.join(o, "l_orderkey"), p, "l_partkey") if is_small(p)
+                  else self.lineitem.join(p.hint("shuffle_hash"), "l_partkey").join(o, "l_orderkey"))
         return joined.withColumns({
-            "ship_date": F.to_date("l_shipdate"),
-            "sku_id": F.expr("CASE WHEN p_size > 45 THEN concat('X-', p_brand) "
-                             "ELSE concat_ws('|', p_brand, p_type) END"),
-            "line_id": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        })
+            "ship_date": F.to_date("l_shipdate"), "line_id": F.concat_ws("-", "l_orderkey", "l_linenumber")})
 
     @cached_property
     def raw_lines(self) -> DataFrame:

@@ -13,7 +13,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+#: Of compressed files. Rows take about ten times as much in memory, and the driver holds them more than once while it builds a broadcast.
+BROADCAST_LIMIT_BYTES = 8 * 1024 * 1024
 BROADCAST_LIMIT_ROWS = 1_000_000
 
 _written: list[str] = []
@@ -83,13 +84,18 @@ def multiplies_rows(df: DataFrame) -> bool:
     return any(word in df._jdf.queryExecution().analyzed().toString() for word in ("Generate ", "Expand "))
 
 
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether the planner's own size estimate holds and is below ``limit``."""
+    return not multiplies_rows(df) and planned_bytes(df) <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the planner's own size estimate holds and is below ``limit``.
 
     Otherwise the frame is returned unhinted: the join then shuffles, adaptive
     execution splits skewed partitions, and it may still broadcast by measured size.
     """
-    return F.broadcast(df) if not multiplies_rows(df) and planned_bytes(df) <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def measured(df: DataFrame, label: str, limit: int = BROADCAST_LIMIT_ROWS) -> DataFrame:
