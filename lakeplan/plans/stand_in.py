@@ -143,8 +143,9 @@ class StandIn:
 
     @cached_property
     def products(self) -> DataFrame:
+        """Written once: an aggregate is planned as large as all the parts behind it, and every join of lines with SKUs asks its size."""
         pack = F.create_map(*[F.lit(x) for kv in PACKS.items() for x in kv])
-        return (
+        return checkpoint_table(
             self.part.groupBy("p_brand", "p_type").agg(F.max("p_retailprice").alias("mrp"))
             .select(
                 F.concat_ws("|", "p_brand", "p_type").alias("sku_id"),
@@ -152,8 +153,8 @@ class StandIn:
                 F.col("p_brand").alias("base_code"), F.col("p_brand").alias("base_product"),
                 F.col("p_type").alias("category"), pack[F.col("p_type")].alias("pack_size"), "mrp",
                 F.when(F.col("p_type") == "PROMO", 0.15).otherwise(0.05).alias("tax_rate"),
-                (F.col("p_type") == "PROMO").alias("is_organic"), F.lit("1994-01-01").cast("date").alias("launch_date"))
-        )
+                (F.col("p_type") == "PROMO").alias("is_organic"), F.lit("1994-01-01").cast("date").alias("launch_date")),
+            "products")
 
     @cached_property
     def dim_product(self) -> DataFrame:
